@@ -1,0 +1 @@
+"""Empty on purpose: none of the supported workloads reads a stream (see README)."""
