@@ -33,12 +33,10 @@ def _present(df: DataFrame, column: str) -> DataFrame:
 
 
 def levels_by_appearance(df: DataFrame, column: str, order_by: Order) -> DataFrame:
-    """Levels in the order in which they first appear when rows are sorted."""
+    """Levels in the order in which they first appear when rows are sorted upwards."""
     names = order_names(order_by)
     if any(key.startswith("-") for key in order_by):
-        # min() of a struct sorts upwards, so the first row of each level is
-        # taken with min_by on a struct whose number columns are negated.
-        raise ValueError("sort upwards, or negate the column first")
+        raise ValueError("the order of appearance sorts upwards; negate the column instead")
     first = F.min(F.struct(*[F.struct(F.col(n).isNull(), F.col(n)) for n in names])).alias("__first")
     levels = _present(df, column).groupBy(F.col(column).alias("level")).agg(first)
     return _numbered(levels, ["__first", "level"])
