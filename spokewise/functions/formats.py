@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spokewise.operators.columns import quoted
@@ -37,6 +39,32 @@ def percent_text(column: Column, accuracy: float = 0.1) -> Column:
     return number_text(column, decimals, 100.0, suffix="%")
 
 
+def with_dollar_texts(
+    df: DataFrame,
+    names: Mapping[str, str],
+    largest_with_cents: float = LARGEST_WITH_CENTS,
+    scale: float = 1.0,
+    suffix: str = "",
+) -> DataFrame:
+    """Add money text for each column, under the name it maps to.
+
+    Cents show in a column only if all of it is small and it has fractions. One
+    aggregate over the table settles that for all columns (a scalar subquery).
+    """
+    choices, texts = [], {}
+    for i, (column, name) in enumerate(names.items()):
+        value = F.col(quoted(column))
+        amount = value * F.lit(scale) if scale != 1.0 else value
+        small = F.max(F.abs(amount)) <= largest_with_cents
+        broken = F.max((amount != F.floor(amount)).cast("int")) == 1
+        choices.append(F.coalesce(small & broken, F.lit(False)).alias(f"c{i}"))
+        texts[name] = F.when(
+            F.col(f"__cents.c{i}"), dollar_text(value, True, scale, suffix)
+        ).otherwise(dollar_text(value, False, scale, suffix))
+    choice = df.agg(*choices).select(F.struct("*")).scalar()
+    return df.withColumn("__cents", choice).withColumns(texts).drop("__cents")
+
+
 def with_dollar_text(
     df: DataFrame,
     column: str,
@@ -45,17 +73,7 @@ def with_dollar_text(
     scale: float = 1.0,
     suffix: str = "",
 ) -> DataFrame:
-    """Add a column of money text.
-
-    Cents show only if the whole column is small and has fractions, so the
-    choice takes one aggregate over the column (a scalar subquery).
-    """
-    amount = F.col(quoted(column)) * F.lit(scale) if scale != 1.0 else F.col(quoted(column))
-    small = F.max(F.abs(amount)) <= largest_with_cents
-    broken = F.max((amount != F.floor(amount)).cast("int")) == 1
-    cents = df.agg(F.coalesce(small & broken, F.lit(False))).scalar()
-    value = F.col(quoted(column))
-    text = F.when(cents, dollar_text(value, True, scale, suffix)).otherwise(
-        dollar_text(value, False, scale, suffix)
+    """Add money text for one column, by default as ``<column>_text``."""
+    return with_dollar_texts(
+        df, {column: name or f"{column}_text"}, largest_with_cents, scale, suffix
     )
-    return df.withColumn(name or f"{column}_text", text)

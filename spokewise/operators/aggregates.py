@@ -7,9 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spokewise.operators.ordering import sort_columns
+from spokewise.session import stage
 
 # Rank error of the sketch that brackets a quantile: one part in so many.
 _SKETCH_ACCURACY = 10_000
+# Up to so many distinct values in all groups together fit into one task.
+FEW_VALUES = 1_000_000
+
+_VALUE = "__value"
+_WEIGHT = "__weight"
 
 
 def _unless_missing(column: Column, result: Column, na_rm: bool) -> Column:
@@ -80,83 +86,123 @@ def _per_group(df: DataFrame, facts: DataFrame, keys: Sequence[str], name: str)
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], column: str, probabilities: dict[str, float]
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    probabilities: dict[str, float],
+    few_values: int = FEW_VALUES,
 ) -> DataFrame:
     """Exact quantiles per group, with linear interpolation between ranks.
 
     ``probabilities`` maps output names to probabilities; missing values are
-    skipped. The built-in exact percentile holds all distinct values of a group
-    in one task. Here a sketch of fixed size first brackets each quantile,
-    exact counts check the bracket, and only the few values inside are sorted.
-    Equal values are counted before the shuffle. A bracket that fails the
-    check is replaced by the whole range, so the result is always exact.
+    skipped. Equal values are first counted, with a partial count before the
+    shuffle, and the counts are staged. The built-in exact percentile holds all
+    distinct values of a group in one task, so it runs only when there are few
+    in all; otherwise see :func:`_bracketed_quantiles`.
     """
     keys = list(keys)
-    value, weight = "__value", "__weight"
-    rows = df.select(*keys, F.col(column).cast("double").alias(value)).filter(
-        F.col(value).isNotNull()
+    rows = df.select(*keys, F.col(column).cast("double").alias(_VALUE)).filter(
+        F.col(_VALUE).isNotNull()
+    )
+    counts = stage(rows.groupBy(*keys, _VALUE).agg(F.count(F.lit(1)).alias(_WEIGHT)), "counts")
+    if counts.count() > few_values:
+        return _bracketed_quantiles(rows, counts, keys, probabilities)
+    marks = F.percentile(_VALUE, list(probabilities.values()), F.col(_WEIGHT))
+    found = counts.groupBy(*keys).agg(marks.alias("marks"))
+    picked = [F.get("marks", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
+    return found.select(*keys, *picked)
+
+
+def _bracketed_quantiles(
+    rows: DataFrame, counts: DataFrame, keys: Sequence[str], probabilities: dict[str, float]
+) -> DataFrame:
+    """Exact quantiles of groups with any number of distinct values.
+
+    A sketch of fixed size first brackets each quantile, exact counts check the
+    bracket, and only the few values inside are sorted. A bracket that fails
+    the check is replaced by the whole range, so the result is always exact.
+    The per-group tables are staged, so that their written size tells Spark
+    whether to broadcast them.
+    """
+    value, weight = _VALUE, _WEIGHT
+    names, probs = list(probabilities), list(probabilities.values())
+    bounds = stage(_sketched(rows, keys, value, probs), "bounds")
+    targets = stage(_checked(counts, bounds, keys, probs), "targets")
+
+    inside = (
+        _per_group(counts, targets, keys, "g")
+        .withColumn(
+            "t",
+            F.explode(F.filter("g.targets", lambda t: F.col(value).between(t["low"], t["high"]))),
+        )
+        .select(*keys, value, weight, "t")
+    )
+    so_far = (
+        Window.partitionBy(*keys, "t.i")
+        .orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    probs = list(probabilities.values())
+    ranked = inside.withColumn("__rank", F.col("t.below") + F.sum(weight).over(so_far))
+    picked = []
+    for i, name in enumerate(names):
+        own, rank = F.col("t.i") == i, F.col("__rank")
+        low = F.min(F.when(own & (rank >= F.col("t.first")), F.col(value)))
+        high = F.min(F.when(own & (rank >= F.col("t.last")), F.col(value)))
+        part = F.max(F.when(own, F.col("t.part")))
+        picked.append((low + (high - low) * part).alias(name))
+    return ranked.groupBy(*keys).agg(*picked)
+
+
+def _sketched(
+    rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
+) -> DataFrame:
+    """Per group the count, the range, and marks just below and above each quantile."""
     slack = 2.0 / _SKETCH_ACCURACY
-    bounds = rows.groupBy(*keys).agg(
+    below = [max(p - slack, 0.0) for p in probs]
+    above = [min(p + slack, 1.0) for p in probs]
+    return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(value).alias("least"),
         F.max(value).alias("greatest"),
-        F.percentile_approx(value, [max(p - slack, 0.0) for p in probs], _SKETCH_ACCURACY).alias("low"),
-        F.percentile_approx(value, [min(p + slack, 1.0) for p in probs], _SKETCH_ACCURACY).alias("high"),
+        F.percentile_approx(value, below + above, _SKETCH_ACCURACY).alias("marks"),
     )
-    weighted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(weight))
-    bounded = _per_group(weighted, bounds, keys, "b")
+
+
+def _checked(
+    counts: DataFrame, bounds: DataFrame, keys: Sequence[str], probs: Sequence[float]
+) -> DataFrame:
+    """Per group and quantile the ranks to find, and the value range that surely holds them."""
+    value, weight = F.col(_VALUE), F.col(_WEIGHT)
 
     def weight_where(test: Column) -> Column:
-        return F.coalesce(F.sum(F.when(test, F.col(weight))), F.lit(0))
+        return F.coalesce(F.sum(F.when(test, weight)), F.lit(0))
 
-    tallies = [F.first("b").alias("b")]
+    tallies = []
     for i in range(len(probs)):
-        tallies.append(weight_where(F.col(value) < F.col("b.low")[i]).alias(f"below_{i}"))
-        tallies.append(weight_where(F.col(value) <= F.col("b.high")[i]).alias(f"upto_{i}"))
-    checked = bounded.groupBy(*keys).agg(*tallies)
-
-    brackets = []
+        low, high = F.col("b.marks")[i], F.col("b.marks")[len(probs) + i]
+        tallies.append(weight_where(value < low).alias(f"below_{i}"))
+        tallies.append(weight_where(value <= high).alias(f"upto_{i}"))
+    targets = []
     for i, p in enumerate(probs):
+        low, high = F.col("b.marks")[i], F.col("b.marks")[len(probs) + i]
         at = (F.col("b.n") - 1) * F.lit(p)
         first, last = F.floor(at) + 1, F.ceil(at) + 1
         holds = (F.col(f"below_{i}") < first) & (F.col(f"upto_{i}") >= last)
-        brackets.append(
+        targets.append(
             F.struct(
                 F.lit(i).alias("i"),
                 first.alias("first"),
                 last.alias("last"),
                 (at - F.floor(at)).alias("part"),
-                F.when(holds, F.col("b.low")[i]).otherwise(F.col("b.least")).alias("low"),
-                F.when(holds, F.col("b.high")[i]).otherwise(F.col("b.greatest")).alias("high"),
+                F.when(holds, low).otherwise(F.col("b.least")).alias("low"),
+                F.when(holds, high).otherwise(F.col("b.greatest")).alias("high"),
                 F.when(holds, F.col(f"below_{i}")).otherwise(0).alias("below"),
             )
         )
-    targets = checked.select(*keys, F.array(*brackets).alias("targets"))
-
-    inside = (
-        _per_group(weighted, targets, keys, "g")
-        .withColumn(
-            "t",
-            F.explode(F.filter("g.targets", lambda t: F.col(value).between(t["low"], t["high"]))),
-        )
-        .select(*keys, value, weight, "t")
-    )
-    frame = (
-        Window.partitionBy(*keys, "t.i")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = inside.withColumn("__rank", F.col("t.below") + F.sum(weight).over(frame))
-    names = list(probabilities)
-    picked = []
-    for i, name in enumerate(names):
-        low = F.min(F.when((F.col("t.i") == i) & (F.col("__rank") >= F.col("t.first")), F.col(value)))
-        high = F.min(F.when((F.col("t.i") == i) & (F.col("__rank") >= F.col("t.last")), F.col(value)))
-        part = F.max(F.when(F.col("t.i") == i, F.col("t.part")))
-        picked.append((low + (high - low) * part).alias(name))
-    return ranked.groupBy(*keys).agg(*picked)
+    # The bounds are joined twice: carried through the aggregate, a struct would
+    # force it to sort all rows.
+    tallied = _per_group(counts, bounds, keys, "b").groupBy(*keys).agg(*tallies)
+    return _per_group(tallied, bounds, keys, "b").select(*keys, F.array(*targets).alias("targets"))
 
 
 def with_group_facts(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -225,17 +271,18 @@ def box_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame
         df, keys, column, {"least": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "greatest": 1.0}
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    marks = marks.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
+    marks = stage(marks.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach}), "marks")
     rows = _per_group(df.select(*keys, column).filter(F.col(column).isNotNull()), marks, keys, "m")
     x = F.col(column)
     inside = x.between(F.col("m.low"), F.col("m.high"))
     measured = summarise(
         rows,
         keys,
-        m=F.first("m"),
         whisker_low=F.min(F.when(inside, x)),
         whisker_high=F.max(F.when(inside, x)),
         outliers=F.count(F.when(~inside, 1)),
     )
     fixed = [F.col(f"m.{n}").alias(n) for n in ("least", "q1", "median", "q3", "greatest")]
-    return measured.select(*keys, *fixed, "whisker_low", "whisker_high", "outliers")
+    return _per_group(measured, marks, keys, "m").select(
+        *keys, *fixed, "whisker_low", "whisker_high", "outliers"
+    )

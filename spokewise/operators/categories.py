@@ -35,10 +35,15 @@ def _present(df: DataFrame, column: str) -> DataFrame:
 def levels_by_appearance(df: DataFrame, column: str, order_by: Order) -> DataFrame:
     """Levels in the order in which they first appear when rows are sorted upwards."""
     names = order_names(order_by)
+    # min() skips NULLs, and a level with nothing else gets NULL, which sorts last.
+    # A struct needs the flag for the same effect, and a sort-based aggregate.
     if any(key.startswith("-") for key in order_by):
         raise ValueError("the order of appearance sorts upwards; negate the column instead")
-    first = F.min(F.struct(*[F.struct(F.col(n).isNull(), F.col(n)) for n in names])).alias("__first")
-    levels = _present(df, column).groupBy(F.col(column).alias("level")).agg(first)
+    if len(names) == 1:
+        first = F.min(names[0])
+    else:
+        first = F.min(F.struct(*[F.struct(F.col(n).isNull(), F.col(n)) for n in names]))
+    levels = _present(df, column).groupBy(F.col(column).alias("level")).agg(first.alias("__first"))
     return _numbered(levels, ["__first", "level"])
 
 
@@ -114,7 +119,11 @@ def lump(
     again to get one row per group.
     """
     measure = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    weights = _present(df, column).groupBy(F.col(column).alias("__level")).agg(measure.alias("__w"))
+    present = _present(df, column)
+    # Staged, so that its written size tells Spark whether to broadcast it.
+    weights = stage(
+        present.groupBy(F.col(column).alias("__level")).agg(measure.alias("__w")), "weights"
+    )
     heaviest = weights.select("__w").orderBy(F.col("__w").desc_nulls_last()).limit(n)
     light = weights.filter(F.col("__w") < heaviest.agg(F.min("__w")).scalar())
     several = light.agg(F.count(F.lit(1))).scalar() > 1

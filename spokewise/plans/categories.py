@@ -16,12 +16,14 @@ from spokewise.operators.categories import (
 )
 from spokewise.plans.sales import dollars_by
 from spokewise.plans.series import sales_by_quarter
+from spokewise.session import stage
 
 OTHER_CATEGORY = "all other bike category"
 
 
 def category_revenue(sales: DataFrame, category: str = "category_2") -> DataFrame:
-    return dollars_by(sales, category).withColumnRenamed("sales", "revenue")
+    """Revenue per category, staged: the steps that follow read it several times."""
+    return stage(dollars_by(sales, category).withColumnRenamed("sales", "revenue"), "revenue")
 
 
 def category_codes(sales: DataFrame, category: str = "category_2") -> DataFrame:
@@ -40,13 +42,14 @@ def category_codes(sales: DataFrame, category: str = "category_2") -> DataFrame:
 def category_reordered(sales: DataFrame, category: str = "category_2") -> DataFrame:
     """Revenue per category, levels from the largest revenue to the smallest."""
     revenue = category_revenue(sales, category).withColumn("negative_sales", -F.col("revenue"))
-    levels = levels_by_summary(revenue, category, "negative_sales")
+    # There is one row per category, so its median is the value itself.
+    levels = levels_by_summary(revenue, category, "negative_sales", F.median("negative_sales"))
     return with_codes(revenue, category, levels)
 
 
 def quarterly_reordered(sales: DataFrame, category: str = "category_2") -> DataFrame:
     """Quarterly revenue, levels by the revenue of their last quarter."""
-    quarterly = sales_by_quarter(sales, category)
+    quarterly = stage(sales_by_quarter(sales, category), "quarterly")
     return with_codes(
         quarterly, category, levels_by_last(quarterly, category, "order_quarter", "revenue")
     )

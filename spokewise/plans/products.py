@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spokewise.functions.formats import with_dollar_text
+from spokewise.functions.formats import with_dollar_texts
 from spokewise.functions.numbers import first_case, natural_log, power, recode
 from spokewise.functions.text import (
     detect,
@@ -104,9 +104,9 @@ def price_by_base_model(
 
 def base_model_price_report(prices: DataFrame) -> DataFrame:
     """All number columns as money text, names in title case."""
-    for name in of_kind(prices, "number"):
-        prices = with_dollar_text(prices, name, name, largest_with_cents=10)
-    return rename_with(prices, title_name)
+    numbers = of_kind(prices, "number")
+    text = with_dollar_texts(prices, {n: n for n in numbers}, largest_with_cents=10)
+    return rename_with(text, title_name)
 
 
 def rounded_numbers(df: DataFrame, digits: int) -> DataFrame:

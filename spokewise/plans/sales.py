@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from spokewise.functions.text import separate
 from spokewise.operators.columns import clean_names, pick, rename
 from spokewise.operators.joins import cast_keys, left_join
-from spokewise.sources.files import write_csv, write_table
+from spokewise.sources.files import read_table, write_csv, write_table
 
 PRODUCT_COLUMNS = ("price", "model", "category_1", "category_2", "frame_material")
 SHOP_COLUMNS = ("bikeshop_name", "city", "state")
@@ -80,6 +81,24 @@ def export_sales(sales: DataFrame, folder: str) -> None:
     write_table(by_year, f"{folder}/parquet", ["order_year"])
 
 
+# Declared, so that no file has to be opened to plan a query.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 class SalesTables:
     """The three sales tables over a folder of order, part and customer tables."""
 
@@ -91,7 +110,8 @@ class SalesTables:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        schema = StructType.fromDDL(TABLE_SCHEMAS[name])
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", schema)
 
     def lines(self) -> DataFrame:
         """Order lines without the columns of the order header."""

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from spokewise.functions.formats import with_dollar_text
+from spokewise.functions.formats import with_dollar_text, with_dollar_texts
 from spokewise.functions.text import detect
 from spokewise.operators.aggregates import missing_share, quantiles, six_statistics
 from spokewise.operators.columns import rename, rename_with, sentence_name
@@ -46,9 +46,8 @@ def shop_revenue_wide(sales: DataFrame, categories: Sequence[str]) -> DataFrame:
 
 def shop_revenue_report(sales: DataFrame, categories: Sequence[str]) -> DataFrame:
     """The wide table as money text under sentence-case names."""
-    report = shop_revenue_wide(sales, categories)
-    for category in categories:
-        report = with_dollar_text(report, category, category)
+    wide = shop_revenue_wide(sales, categories)
+    report = with_dollar_texts(wide, {c: c for c in categories})
     return rename_with(report, sentence_name, ["bikeshop_name"])
 
 
@@ -78,9 +77,8 @@ def frame_gaps(sales: DataFrame, frames: Sequence[str]) -> DataFrame:
 
 
 def frame_gap_report(sales: DataFrame, frames: Sequence[str]) -> DataFrame:
-    report = frame_gaps(sales, frames)
-    for name in (*frames, "total_sales"):
-        report = with_dollar_text(report, name, name)
+    amounts = (*frames, "total_sales")
+    report = with_dollar_texts(frame_gaps(sales, frames), {c: c for c in amounts})
     return rename(
         report,
         {
@@ -91,16 +89,24 @@ def frame_gap_report(sales: DataFrame, frames: Sequence[str]) -> DataFrame:
     )
 
 
-def median_by_attribute(sales: DataFrame, word: str, name: str) -> DataFrame:
-    """Median order-line value of models with and without a word in their name."""
-    flagged = sales.select(
-        detect(F.col("model"), word, ignore_case=True).alias(name), "total_price"
+def median_by_attributes(sales: DataFrame, words: Sequence[str]) -> DataFrame:
+    """Median order-line value of models with and without each word in their name.
+
+    All words share one pass: each row counts once per word.
+    """
+    model = F.col("model")
+    tests = F.array(
+        *[
+            F.struct(F.lit(w).alias("word"), detect(model, w, ignore_case=True).alias("has_word"))
+            for w in words
+        ]
     )
-    return quantiles(flagged, [name], "total_price", {"sales_median": 0.5})
+    flagged = sales.select("total_price", F.inline(tests))
+    return quantiles(flagged, ["word", "has_word"], "total_price", {"sales_median": 0.5})
 
 
 def median_report(sales: DataFrame, word: str, title: str) -> DataFrame:
-    medians = median_by_attribute(sales, word, "has_word")
+    medians = median_by_attributes(sales, [word])
     text = with_dollar_text(medians, "sales_median", largest_with_cents=10)
     return text.select(
         F.col("has_word").alias(title), F.col("sales_median_text").alias("Median Sales")

@@ -35,7 +35,7 @@ def sales_by_year(t: SalesTables) -> DataFrame:
     "P3 A3 A18 X1",
     with_sales(
         "SELECT order_year, category_2, round(sales, 2) AS sales, round(slope, 2) AS slope, "
-        "round(intercept, -2) AS intercept, round(intercept + slope * order_year, 0) AS fitted, "
+        "round(intercept, -2) AS intercept, round(intercept + slope * order_year, -1) AS fitted, "
         "'$' || format('{:,.0f}', sales) AS sales_text FROM summed JOIN lines USING (category_2)",
         "summed AS (SELECT year(order_date) AS order_year, category_2, "
         "round(sum(total_price), 6) AS sales FROM sales GROUP BY 1, 2)",
@@ -45,7 +45,7 @@ def sales_by_year(t: SalesTables) -> DataFrame:
 )
 def sales_by_year_category_trend(t: SalesTables) -> DataFrame:
     trend = p.sales_by_year_and_category(t.sales("order_date", "category_2", "total_price"))
-    return rounded(as_long(trend, "order_year"), sales=2, slope=2, intercept=-2, fitted=0)
+    return rounded(as_long(trend, "order_year"), sales=2, slope=2, intercept=-2, fitted=-1)
 
 
 @query(
@@ -245,15 +245,15 @@ def days_since_order(t: SalesTables) -> DataFrame:
 @query(
     "event_intervals",
     "D14",
-    "SELECT event_id, round((epoch_us(TIMESTAMP '2025-01-01') - epoch_us(ts)) / 86400000000.0, 9) AS days, "
-    "round((epoch_us(TIMESTAMP '2025-01-01') - epoch_us(ts)) / 60000000.0, 6) AS minutes FROM events",
+    "SELECT event_id, (epoch_us(TIMESTAMP '2025-01-01') - epoch_us(ts)) / 864e8 AS days, "
+    "(epoch_us(TIMESTAMP '2025-01-01') - epoch_us(ts)) / 6e7 AS minutes FROM events",
 )
 def event_intervals(t: SalesTables) -> DataFrame:
     end = F.lit("2025-01-01").cast("timestamp_ntz")
     return t.table("events").select(
         "event_id",
-        F.round(d.length_between(F.col("ts"), end), 9).alias("days"),
-        F.round(d.length_between(F.col("ts"), end, d.MINUTE), 6).alias("minutes"),
+        d.length_between(F.col("ts"), end).alias("days"),
+        d.length_between(F.col("ts"), end, d.MINUTE).alias("minutes"),
     )
 
 

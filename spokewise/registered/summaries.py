@@ -15,7 +15,7 @@ from spokewise.plans.products import (
 )
 from spokewise.plans.sales import SalesTables
 from spokewise.plans.summaries import (
-    median_by_attribute,
+    median_by_attributes,
     median_report,
     missing_profile,
     price_statistics,
@@ -182,12 +182,8 @@ def boxplot_stats(t: SalesTables) -> DataFrame:
     ),
 )
 def medians_by_attribute(t: SalesTables) -> DataFrame:
-    s = t.sales("model", "total_price")
-    tables = [
-        median_by_attribute(s, w, "has_word").select(F.lit(w).alias("word"), "*")
-        for w in ("red", "plate", "hot")
-    ]
-    return rounded(tables[0].unionAll(tables[1]).unionAll(tables[2]), sales_median=4)
+    medians = median_by_attributes(t.sales("model", "total_price"), ["red", "plate", "hot"])
+    return rounded(medians, sales_median=4)
 
 
 @query(
