@@ -108,8 +108,8 @@ def quantiles(
     if counts.count() > few_values:
         return _bracketed_quantiles(rows, counts, keys, probabilities)
     marks = F.percentile(_VALUE, list(probabilities.values()), F.col(_WEIGHT))
-    found = counts.groupBy(*keys).agg(marks.alias("marks"))
-    picked = [F.get("marks", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
+    found = counts.groupBy(*keys).agg(marks.alias("__marks"))
+    picked = [F.get("__marks", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
     return found.select(*keys, *picked)
 
 
@@ -130,25 +130,25 @@ def _bracketed_quantiles(
     targets = stage(_checked(counts, bounds, keys, probs), "targets")
 
     inside = (
-        _per_group(counts, targets, keys, "g")
+        _per_group(counts, targets, keys, "__g")
         .withColumn(
-            "t",
-            F.explode(F.filter("g.targets", lambda t: F.col(value).between(t["low"], t["high"]))),
+            "__t",
+            F.explode(F.filter("__g.__targets", lambda t: F.col(value).between(t["low"], t["high"]))),
         )
-        .select(*keys, value, weight, "t")
+        .select(*keys, value, weight, "__t")
     )
     so_far = (
-        Window.partitionBy(*keys, "t.i")
+        Window.partitionBy(*keys, "__t.i")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = inside.withColumn("__rank", F.col("t.below") + F.sum(weight).over(so_far))
+    ranked = inside.withColumn("__rank", F.col("__t.below") + F.sum(weight).over(so_far))
     picked = []
     for i, name in enumerate(names):
-        own, rank = F.col("t.i") == i, F.col("__rank")
-        low = F.min(F.when(own & (rank >= F.col("t.first")), F.col(value)))
-        high = F.min(F.when(own & (rank >= F.col("t.last")), F.col(value)))
-        part = F.max(F.when(own, F.col("t.part")))
+        own, rank = F.col("__t.i") == i, F.col("__rank")
+        low = F.min(F.when(own & (rank >= F.col("__t.first")), F.col(value)))
+        high = F.min(F.when(own & (rank >= F.col("__t.last")), F.col(value)))
+        part = F.max(F.when(own, F.col("__t.part")))
         picked.append((low + (high - low) * part).alias(name))
     return ranked.groupBy(*keys).agg(*picked)
 
@@ -161,10 +161,10 @@ def _sketched(
     below = [max(p - slack, 0.0) for p in probs]
     above = [min(p + slack, 1.0) for p in probs]
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(value).alias("least"),
-        F.max(value).alias("greatest"),
-        F.percentile_approx(value, below + above, _SKETCH_ACCURACY).alias("marks"),
+        F.count(F.lit(1)).alias("__n"),
+        F.min(value).alias("__least"),
+        F.max(value).alias("__greatest"),
+        F.percentile_approx(value, below + above, _SKETCH_ACCURACY).alias("__marks"),
     )
 
 
@@ -179,30 +179,30 @@ def _checked(
 
     tallies = []
     for i in range(len(probs)):
-        low, high = F.col("b.marks")[i], F.col("b.marks")[len(probs) + i]
-        tallies.append(weight_where(value < low).alias(f"below_{i}"))
-        tallies.append(weight_where(value <= high).alias(f"upto_{i}"))
+        low, high = F.col("__b.__marks")[i], F.col("__b.__marks")[len(probs) + i]
+        tallies.append(weight_where(value < low).alias(f"__below_{i}"))
+        tallies.append(weight_where(value <= high).alias(f"__upto_{i}"))
     targets = []
     for i, p in enumerate(probs):
-        low, high = F.col("b.marks")[i], F.col("b.marks")[len(probs) + i]
-        at = (F.col("b.n") - 1) * F.lit(p)
+        low, high = F.col("__b.__marks")[i], F.col("__b.__marks")[len(probs) + i]
+        at = (F.col("__b.__n") - 1) * F.lit(p)
         first, last = F.floor(at) + 1, F.ceil(at) + 1
-        holds = (F.col(f"below_{i}") < first) & (F.col(f"upto_{i}") >= last)
+        holds = (F.col(f"__below_{i}") < first) & (F.col(f"__upto_{i}") >= last)
         targets.append(
             F.struct(
                 F.lit(i).alias("i"),
                 first.alias("first"),
                 last.alias("last"),
                 (at - F.floor(at)).alias("part"),
-                F.when(holds, low).otherwise(F.col("b.least")).alias("low"),
-                F.when(holds, high).otherwise(F.col("b.greatest")).alias("high"),
-                F.when(holds, F.col(f"below_{i}")).otherwise(0).alias("below"),
+                F.when(holds, low).otherwise(F.col("__b.__least")).alias("low"),
+                F.when(holds, high).otherwise(F.col("__b.__greatest")).alias("high"),
+                F.when(holds, F.col(f"__below_{i}")).otherwise(0).alias("below"),
             )
         )
     # The bounds are joined twice: carried through the aggregate, a struct would
     # force it to sort all rows.
-    tallied = _per_group(counts, bounds, keys, "b").groupBy(*keys).agg(*tallies)
-    return _per_group(tallied, bounds, keys, "b").select(*keys, F.array(*targets).alias("targets"))
+    tallied = _per_group(counts, bounds, keys, "__b").groupBy(*keys).agg(*tallies)
+    return _per_group(tallied, bounds, keys, "__b").select(*keys, F.array(*targets).alias("__targets"))
 
 
 def with_group_facts(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -272,9 +272,9 @@ def box_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     marks = stage(marks.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach}), "marks")
-    rows = _per_group(df.select(*keys, column).filter(F.col(column).isNotNull()), marks, keys, "m")
+    rows = _per_group(df.select(*keys, column).filter(F.col(column).isNotNull()), marks, keys, "__m")
     x = F.col(column)
-    inside = x.between(F.col("m.low"), F.col("m.high"))
+    inside = x.between(F.col("__m.low"), F.col("__m.high"))
     measured = summarise(
         rows,
         keys,
@@ -282,7 +282,7 @@ def box_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame
         whisker_high=F.max(F.when(inside, x)),
         outliers=F.count(F.when(~inside, 1)),
     )
-    fixed = [F.col(f"m.{n}").alias(n) for n in ("least", "q1", "median", "q3", "greatest")]
-    return _per_group(measured, marks, keys, "m").select(
+    fixed = [F.col(f"__m.{n}").alias(n) for n in ("least", "q1", "median", "q3", "greatest")]
+    return _per_group(measured, marks, keys, "__m").select(
         *keys, *fixed, "whisker_low", "whisker_high", "outliers"
     )
