@@ -51,25 +51,38 @@ def _literal(df: DataFrame, name: str, value: object) -> Column:
 def at_or_before(df: DataFrame, order_by: Order, cut: Row) -> Column:
     """True for rows of ``df`` that sort at or before the key values in ``cut``.
 
-    The values become literals, so the leading comparison reaches the scan.
+    NULL or false for all others. The values become literals, and the leading
+    comparison stands alone, so that it reaches the scan.
     """
     result = F.lit(True)
     for key in reversed(order_by):
-        name = key.removeprefix("-")
-        column, value = F.col(name), cut[name]
-        if value is None:
+        name, down = key.removeprefix("-"), key.startswith("-")
+        column = F.col(name)
+        if cut[name] is None:
             earlier, equal = column.isNotNull(), column.isNull()
         else:
-            bound = _literal(df, name, value)
-            earlier = (column > bound) if key.startswith("-") else (column < bound)
-            equal = column == bound
+            bound = _literal(df, name, cut[name])
+            earlier, equal = column > bound if down else column < bound, column == bound
         result = earlier | (equal & result)
-    leading = order_by[0].removeprefix("-")
-    if cut[leading] is not None:
-        bound = _literal(df, leading, cut[leading])
-        column = F.col(leading)
-        result = result & ((column >= bound) if order_by[0].startswith("-") else (column <= bound))
-    return F.coalesce(result, F.lit(False))
+    return result if cut[name] is None else result & (column >= bound if down else column <= bound)
+
+
+def after(df: DataFrame, order_by: Order, cut: Row) -> Column:
+    """True for rows that sort behind the key values in ``cut``, false for all others."""
+    result = F.lit(False)
+    for key in reversed(order_by):
+        name, down = key.removeprefix("-"), key.startswith("-")
+        column = F.col(name)
+        if cut[name] is None:
+            later, equal = F.lit(False), column.isNull()
+        else:
+            bound = _literal(df, name, cut[name])
+            later = (column < bound if down else column > bound) | column.isNull()
+            equal = column == bound
+        result = later | (equal & result)
+    if cut[name] is None:
+        return result
+    return result & ((column <= bound if down else column >= bound) | column.isNull())
 
 
 def all_of_conditions(conditions: Sequence[Column]) -> Column:

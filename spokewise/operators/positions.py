@@ -15,7 +15,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from spokewise.operators.ordering import Order, at_or_before, order_names, sort_columns
+from spokewise.operators.ordering import Order, after, at_or_before, order_names, sort_columns
 from spokewise.session import stage
 
 _SLOT = "__slot"
@@ -74,8 +74,10 @@ def row_index(df: DataFrame, order_by: Order, name: str = "row_index") -> DataFr
     return PlacedRows(df, order_by).with_index(name)
 
 
-def _cuts(df: DataFrame, order_by: Order, positions: Sequence[int]) -> list[Column] | None:
-    """For each position p, a condition true for the first p rows.
+def _cuts(
+    df: DataFrame, order_by: Order, positions: Sequence[int]
+) -> list[tuple[Column, Column]] | None:
+    """For each position p, a condition for the first p rows, and one for all others.
 
     None when rows with equal keys lie on both sides of a cut, so that no
     condition on the keys can tell them apart.
@@ -97,11 +99,12 @@ def _cuts(df: DataFrame, order_by: Order, positions: Sequence[int]) -> list[Colu
     for position in positions:
         around = pair(position)
         if len(around) < 2:
-            conditions.append(F.lit(True))
+            conditions.append((F.lit(True), F.lit(False)))
         elif all(around[0][n] == around[1][n] for n in names):
             return None
         else:
-            conditions.append(at_or_before(df, order_by, around[0]))
+            first, rest = at_or_before(df, order_by, around[0]), after(df, order_by, around[0])
+            conditions.append((first, rest))
     return conditions
 
 
@@ -116,7 +119,8 @@ def slice_rows(df: DataFrame, order_by: Order, start: int, stop: int) -> DataFra
     if cuts is None:
         name = "__row_index"
         return row_index(df, order_by, name).filter(F.col(name).between(start, stop)).drop(name)
-    return df.filter(cuts[-1] if start == 1 else cuts[1] & ~cuts[0])
+    last = cuts[-1][0]
+    return df.filter(last if start == 1 else cuts[0][1] & last)
 
 
 def split_at(df: DataFrame, order_by: Order, cut: int) -> tuple[DataFrame, DataFrame]:
@@ -129,7 +133,8 @@ def split_at(df: DataFrame, order_by: Order, cut: int) -> tuple[DataFrame, DataF
         indexed = row_index(df, order_by, name)
         first = indexed.filter(F.col(name) <= cut).drop(name)
         return first, indexed.filter(F.col(name) > cut).drop(name)
-    return df.filter(cuts[0]), df.filter(~cuts[0])
+    first, rest = cuts[0]
+    return df.filter(first), df.filter(rest)
 
 
 def last_rows(df: DataFrame, order_by: Order, count: int = 6) -> DataFrame:
@@ -152,7 +157,7 @@ def null_first_rows(df: DataFrame, column: str, order_by: Order, count: int) ->
         name = "__row_index"
         indexed = row_index(df, order_by, name)
         return indexed.withColumn(column, F.when(F.col(name) > count, F.col(column))).drop(name)
-    return df.withColumn(column, F.when(~cuts[0], F.col(column)))
+    return df.withColumn(column, F.when(cuts[0][1], F.col(column)))
 
 
 def bucket_ends(count: int, buckets: int) -> list[int]:
@@ -183,10 +188,9 @@ def equal_buckets(
             if end == 0:
                 label = label + 1
             continue
-        before, after = rows[end], rows[end + 1]
-        if all(before[n] == after[n] for n in names):
+        if all(rows[end][n] == rows[end + 1][n] for n in names):
             return _buckets_by_index(df, order_by, ends, name)
-        label = label + (~at_or_before(df, order_by, before)).cast("int")
+        label = label + after(df, order_by, rows[end]).cast("int")
     return df.withColumn(name, F.when(F.col(column).isNotNull(), label))
 
 

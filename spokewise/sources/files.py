@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from spokewise.operators.columns import quoted
+
 # Column that holds the raw text of a row with a cell of the wrong type.
 BAD_ROW = "_bad_row"
 
@@ -42,8 +44,13 @@ def read_csv(
 
 
 def problems(df: DataFrame) -> DataFrame:
-    """Rows of a CSV read that did not fit the schema, with their raw text."""
-    return df.filter(F.col(BAD_ROW).isNotNull())
+    """Rows of a CSV read that did not fit the schema, with their raw text.
+
+    The reader judges only the columns a query uses, so the filter uses all of
+    them, also when the result is just counted.
+    """
+    others = [F.col(quoted(c)).cast("string") for c in df.columns if c != BAD_ROW]
+    return df.filter(F.col(BAD_ROW).isNotNull() & (F.length(F.concat_ws("", *others)) >= 0))
 
 
 def write_csv(df: DataFrame, path: str, missing: str = "NA") -> None:
