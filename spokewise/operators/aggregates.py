@@ -100,11 +100,28 @@ def quantiles(
     distinct values of a group in one task, so it runs only when there are few
     in all; otherwise see :func:`_bracketed_quantiles`.
     """
-    keys = list(keys)
+    rows, counts = _value_counts(df, keys, column)
+    return _counted_quantiles(rows, counts, keys, probabilities, few_values)
+
+
+def _value_counts(
+    df: DataFrame, keys: Sequence[str], column: str
+) -> tuple[DataFrame, DataFrame]:
+    """The values that are present, and the staged count of each per group."""
     rows = df.select(*keys, F.col(column).cast("double").alias(_VALUE)).filter(
         F.col(_VALUE).isNotNull()
     )
-    counts = stage(rows.groupBy(*keys, _VALUE).agg(F.count(F.lit(1)).alias(_WEIGHT)), "counts")
+    counts = rows.groupBy(*keys, _VALUE).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    return rows, stage(counts, "counts")
+
+
+def _counted_quantiles(
+    rows: DataFrame,
+    counts: DataFrame,
+    keys: Sequence[str],
+    probabilities: dict[str, float],
+    few_values: int = FEW_VALUES,
+) -> DataFrame:
     if counts.count() > few_values:
         return _bracketed_quantiles(rows, counts, keys, probabilities)
     marks = F.percentile(_VALUE, list(probabilities.values()), F.col(_WEIGHT))
@@ -265,24 +282,30 @@ def with_trend(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataF
     return with_group_facts(df, linear_trend(df, x, y, keys), keys).withColumn("fitted", fitted)
 
 
-def box_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Quartiles, whisker ends within 1.5 quartile ranges, and outliers per group."""
-    marks = quantiles(
-        df, keys, column, {"least": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "greatest": 1.0}
-    )
+def box_statistics(
+    df: DataFrame, keys: Sequence[str], column: str, few_values: int = FEW_VALUES
+) -> DataFrame:
+    """Quartiles, whisker ends within 1.5 quartile ranges, and outliers per group.
+
+    All of it comes from the counted values, so the table is read once.
+    """
+    rows, counts = _value_counts(df, keys, column)
+    quarters = {"least": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "greatest": 1.0}
+    marks = _counted_quantiles(rows, counts, keys, quarters, few_values)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    marks = stage(marks.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach}), "marks")
-    rows = _per_group(df.select(*keys, column).filter(F.col(column).isNotNull()), marks, keys, "__m")
-    x = F.col(column)
-    inside = x.between(F.col("__m.low"), F.col("__m.high"))
+    marks = stage(
+        marks.withColumns({"__low": F.col("q1") - reach, "__high": F.col("q3") + reach}), "marks"
+    )
+    x = F.col(_VALUE)
+    inside = x.between(F.col("__m.__low"), F.col("__m.__high"))
     measured = summarise(
-        rows,
+        _per_group(counts, marks, keys, "__m"),
         keys,
         whisker_low=F.min(F.when(inside, x)),
         whisker_high=F.max(F.when(inside, x)),
-        outliers=F.count(F.when(~inside, 1)),
+        outliers=F.coalesce(F.sum(F.when(~inside, F.col(_WEIGHT))), F.lit(0)),
     )
-    fixed = [F.col(f"__m.{n}").alias(n) for n in ("least", "q1", "median", "q3", "greatest")]
+    fixed = [F.col(f"__m.{n}").alias(n) for n in quarters]
     return _per_group(measured, marks, keys, "__m").select(
         *keys, *fixed, "whisker_low", "whisker_high", "outliers"
     )

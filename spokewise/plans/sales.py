@@ -14,6 +14,7 @@ from spokewise.sources.files import read_table, write_csv, write_table
 
 PRODUCT_COLUMNS = ("price", "model", "category_1", "category_2", "frame_material")
 SHOP_COLUMNS = ("bikeshop_name", "city", "state")
+PRICED = {*PRODUCT_COLUMNS, "total_price"}
 SALES_COLUMNS = (
     "order_date",
     "order_id",
@@ -49,19 +50,20 @@ def split_location(shops: DataFrame, remove: bool = True) -> DataFrame:
 
 def sales_model(
     order_lines: DataFrame,
-    bikes: DataFrame,
-    shops: DataFrame,
+    bikes: DataFrame | None,
+    shops: DataFrame | None,
     columns: Sequence[str] = SALES_COLUMNS,
 ) -> DataFrame:
     """Order lines with the wanted sales columns.
 
-    A dimension none of whose columns is wanted is not joined. That needs its
-    key to be unique, as in a proper dimension (see ``repeated_keys``). Texts
-    are split in the dimensions, once per product and shop, not per order line.
+    A dimension none of whose columns is wanted is not joined, and may be None.
+    That needs its key to be unique, as in a proper dimension (see
+    ``repeated_keys``). Texts are split in the dimensions, once per product and
+    shop, not per order line.
     """
     wanted = set(columns)
     sales = order_lines
-    if wanted & {*PRODUCT_COLUMNS, "total_price"}:
+    if wanted & PRICED:
         products = cast_keys(split_description(bikes), "bike_id")
         keep = [c for c in PRODUCT_COLUMNS if c in wanted or c == "price"]
         products = pick(products, "bike_id", keep)
@@ -157,9 +159,11 @@ class SalesTables:
     def sales(self, *columns: str) -> DataFrame:
         """The sales table, or only the given columns of it and the joins they need."""
         columns = columns or SALES_COLUMNS
-        header = {"order_date", *SHOP_COLUMNS} & set(columns)
-        lines = self.order_lines() if header else self.lines()
-        return sales_model(lines, self.bikes(), self.shops(), columns)
+        wanted = set(columns)
+        lines = self.order_lines() if wanted & {"order_date", *SHOP_COLUMNS} else self.lines()
+        bikes = self.bikes() if wanted & PRICED else None
+        shops = self.shops() if wanted & set(SHOP_COLUMNS) else None
+        return sales_model(lines, bikes, shops, columns)
 
 
 def dollars_by(sales: DataFrame, *keys: str | Column) -> DataFrame:

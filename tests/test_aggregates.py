@@ -110,11 +110,12 @@ def test_trend(spark):
     assert all(r.fitted == pytest.approx(r.y) for r in fitted)
 
 
-def test_box(spark):
+@pytest.mark.parametrize("few_values", [a.FEW_VALUES, 0])
+def test_box(spark, few_values):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0]
     df = spark.createDataFrame([("a", v) for v in values] + [("a", None)], "g string, v double")
-    box = a.box_statistics(df, ["g"], "v").first()
+    box = a.box_statistics(df, ["g"], "v", few_values).first()
     assert (box.q1, box.median, box.q3) == tuple(np.quantile(values, [0.25, 0.5, 0.75]))
     assert (box.whisker_low, box.whisker_high, box.outliers, box.greatest) == (1.0, 5.0, 1, 100.0)
-    whole = a.box_statistics(df, [], "v").first()
+    whole = a.box_statistics(df, [], "v", few_values).first()
     assert (whole.median, whole.outliers) == (box.median, 1)
