@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 Order = Sequence[str]
 
@@ -41,13 +41,34 @@ def sort_by_code(df: DataFrame, column: str, descending: bool = False) -> DataFr
     return sort_rows(df, f"{'-' if descending else ''}{column}_code")
 
 
+def key_columns(df: DataFrame, order_by: Order) -> list[Column]:
+    """The columns of an order, fit to be fetched and compared with again.
+
+    A timestamp travels as microseconds: as a local time of the driver it could
+    be ambiguous.
+    """
+    columns = []
+    for name in order_names(order_by):
+        moment = isinstance(df.schema[name].dataType, TimestampType)
+        columns.append(F.unix_micros(name).alias(name) if moment else F.col(name))
+    return columns
+
+
 def _literal(df: DataFrame, name: str, value: object) -> Column:
     kind = df.schema[name].dataType
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(F.lit(value))
     if isinstance(kind, TimestampNTZType) and isinstance(value, datetime.datetime):
         return F.lit(value.isoformat(sep=" ")).cast(kind)
     return F.lit(value).cast(kind)
 
 
+def same_keys(a: Row, b: Row, order_by: Order) -> bool:
+    """Whether two rows of key columns sort equal."""
+    pairs = [(a[name], b[name]) for name in order_names(order_by)]
+    return all(x == y or (x != x and y != y) for x, y in pairs)
+
+
 def at_or_before(df: DataFrame, order_by: Order, cut: Row) -> Column:
     """True for rows of ``df`` that sort at or before the key values in ``cut``.
 

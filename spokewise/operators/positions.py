@@ -15,7 +15,15 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from spokewise.operators.ordering import Order, after, at_or_before, order_names, sort_columns
+from spokewise.operators.ordering import (
+    Order,
+    after,
+    at_or_before,
+    key_columns,
+    same_keys,
+    sort_columns,
+    sort_rows,
+)
 from spokewise.session import stage
 
 _SLOT = "__slot"
@@ -23,8 +31,9 @@ _PART = "__part"
 _BASE = "__base"
 # monotonically_increasing_id keeps the partition number above this bit.
 _PART_SHIFT = 33
-# Up to here a position is found with a top-k sort; beyond, with staged positions.
-SHORT_RANGE = 10_000
+# Up to here a position is found with a top-k sort, to which every task sends that
+# many rows; beyond, with staged positions.
+SHORT_RANGE = 100
 
 
 class PlacedRows:
@@ -82,8 +91,7 @@ def _cuts(
     None when rows with equal keys lie on both sides of a cut, so that no
     condition on the keys can tell them apart.
     """
-    names = order_names(order_by)
-    keys = df.select(*names)
+    keys = df.select(*key_columns(df, order_by))
     if max(positions) <= SHORT_RANGE:
         def pair(position: int) -> list[Row]:
             return keys.orderBy(*sort_columns(order_by)).offset(position - 1).limit(2).collect()
@@ -100,7 +108,7 @@ def _cuts(
         around = pair(position)
         if len(around) < 2:
             conditions.append((F.lit(True), F.lit(False)))
-        elif all(around[0][n] == around[1][n] for n in names):
+        elif same_keys(around[0], around[1], order_by):
             return None
         else:
             first, rest = at_or_before(df, order_by, around[0]), after(df, order_by, around[0])
@@ -138,16 +146,17 @@ def split_at(df: DataFrame, order_by: Order, cut: int) -> tuple[DataFrame, DataF
 
 
 def last_rows(df: DataFrame, order_by: Order, count: int = 6) -> DataFrame:
-    """The last rows of the order, shown in that order.
-
-    Each task keeps only its own ``count`` candidates; no full sort runs.
-    """
+    """The last rows of the order, shown in that order."""
+    if count > SHORT_RANGE:
+        size = df.count()
+        return sort_rows(slice_rows(df, order_by, max(size - count, 0) + 1, size), *order_by)
     last = df.orderBy(*sort_columns(order_by, reverse=True)).limit(count)
     return last.orderBy(*sort_columns(order_by))
 
 
 def first_rows(df: DataFrame, order_by: Order, count: int) -> DataFrame:
-    return df.orderBy(*sort_columns(order_by)).limit(count)
+    """The first rows of the order, shown in that order."""
+    return sort_rows(slice_rows(df, order_by, 1, count), *order_by)
 
 
 def null_first_rows(df: DataFrame, column: str, order_by: Order, count: int) -> DataFrame:
@@ -175,9 +184,8 @@ def equal_buckets(
     themselves are then labelled in place, without a shuffle.
     """
     order_by = [column, *tie_break]
-    names = order_names(order_by)
     present = df.filter(F.col(column).isNotNull())
-    placed = PlacedRows(present.select(*names), order_by)
+    placed = PlacedRows(present.select(*key_columns(df, order_by)), order_by)
     ends = bucket_ends(placed.count, buckets)
     wanted = {q for p in ends for q in (p, p + 1) if 1 <= q <= placed.count}
     rows = placed.at(sorted(wanted)) if wanted else {}
@@ -188,7 +196,7 @@ def equal_buckets(
             if end == 0:
                 label = label + 1
             continue
-        if all(rows[end][n] == rows[end + 1][n] for n in names):
+        if same_keys(rows[end], rows[end + 1], order_by):
             return _buckets_by_index(df, order_by, ends, name)
         label = label + after(df, order_by, rows[end]).cast("int")
     return df.withColumn(name, F.when(F.col(column).isNotNull(), label))

@@ -42,7 +42,7 @@ def csv_problems(t: SalesTables) -> DataFrame:
 
 @query(
     "csv_inferred_types",
-    "S1 S2 S12",
+    "S1 S2",
     "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice FROM orders",
 )
 def csv_inferred_types(t: SalesTables) -> DataFrame:
@@ -69,7 +69,7 @@ def snapshot_round_trip(t: SalesTables) -> DataFrame:
 
 @query(
     "catalog_table",
-    "S6 S8",
+    "S8",
     "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey "
     "JOIN customer ON c_nationkey = n_nationkey",
 )

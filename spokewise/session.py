@@ -17,6 +17,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Size of a shuffle partition that a task sorts in memory with room to spare.
+PARTITION_BYTES = 256 * 1024 * 1024
+
 _local_folders: dict[str, str] = {}
 
 
@@ -36,6 +39,15 @@ def build_session(app: str = "spokewise", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def shuffle_partitions(shuffled_bytes: float, cores: int) -> int:
+    """Shuffle partitions for a job that moves so many bytes on so many cores.
+
+    Adaptive execution merges small partitions afterwards but splits none of a
+    plain aggregate, so a number too high costs little and one too low spills.
+    """
+    return int(max(2 * cores, -(-shuffled_bytes // PARTITION_BYTES)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

@@ -113,3 +113,36 @@ def test_row_wise_features_are_one_stage(tables):
 def test_partitioned_write_is_rebalanced(spark, tables, tmp_path):
     hinted = tables.lines().hint("rebalance", "order_line")
     assert "RebalancePartitions" in hinted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_hot_join_key_is_split(spark):
+    """A third of the rows share one key; no task may get them all."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(0, 60_000, 1, 8)
+        lines = ids.selectExpr("id AS line", "if(id % 3 = 0, 7, id % 997) AS product_id")
+        products = spark.range(1000).selectExpr("id AS bike_id", "id * 1.5 AS price")
+        joined = left_join(lines, products, {"product_id": "bike_id"})
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_shuffle_partitions_follow_the_data():
+    from spokewise.session import shuffle_partitions
+
+    assert shuffle_partitions(1e9, 8) == 16
+    assert shuffle_partitions(10e12, 4000) == 37253

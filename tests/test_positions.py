@@ -161,3 +161,35 @@ def test_timestamps_without_zone_work_as_cut_keys(spark, monkeypatch):
     train, test = p.split_at(orders, ["-o_orderdate", "o_orderkey"], 500)
     assert train.count() == 500
     assert train.agg(F.min("o_orderdate")).first()[0] >= test.agg(F.max("o_orderdate")).first()[0]
+
+
+def test_timestamps_survive_a_repeated_clock_hour(spark, monkeypatch):
+    """Two moments an hour apart that read the same on a New York clock."""
+    monkeypatch.setattr(p, "SHORT_RANGE", 0)
+    first = 1762061400  # 2025-11-02 01:30 before the clocks go back
+    seconds = [first - 3600, first, first + 3600, first + 7200]
+    df = spark.createDataFrame([(s,) for s in seconds], "s bigint").select(
+        "s", F.timestamp_seconds("s").alias("t")
+    )
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for cut in (1, 2, 3):
+            head, _ = p.split_at(df, ["t"], cut)
+            assert sorted(r.s for r in head.select("s").collect()) == seconds[:cut]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_missing_numbers_and_nan_as_keys(spark, path):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan,), (nan,), (1.0,), (None,), (None,)], "x double")
+    for cut in range(1, 5):
+        head, rest = p.split_at(df, ["x"], cut)
+        assert (head.count(), rest.count()) == (cut, 5 - cut)
+
+
+def test_long_heads_and_tails(table, rows, monkeypatch):
+    monkeypatch.setattr(p, "SHORT_RANGE", 5)
+    assert as_tuples(p.last_rows(table, ["x", "k"], 50)) == in_order(rows)[-50:]
+    assert as_tuples(p.last_rows(table, ["x", "k"], 500)) == in_order(rows)
+    assert as_tuples(p.first_rows(table, ["-x", "k"], 50)) == in_order(rows, down=True)[:50]
