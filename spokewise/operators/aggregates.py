@@ -252,11 +252,16 @@ def six_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame
     return joined.select(*keys, *order)
 
 
+# Labels of price bands and the quantile each lies above.
+BANDS = (("High", 0.75), ("Medium", 0.25))
+LOWEST_BAND = "low"
+
+
 def quantile_bands(
     df: DataFrame,
     column: str,
-    bands: Sequence[tuple[str, float]] = (("High", 0.75), ("Medium", 0.25)),
-    otherwise: str = "low",
+    bands: Sequence[tuple[str, float]] = BANDS,
+    otherwise: str = LOWEST_BAND,
     name: str = "band",
 ) -> DataFrame:
     """Label each row by the first whole-table quantile it lies strictly above."""

@@ -33,7 +33,10 @@ def _present(df: DataFrame, column: str) -> DataFrame:
 
 
 def levels_by_appearance(df: DataFrame, column: str, order_by: Order) -> DataFrame:
-    """Levels in the order in which they first appear when rows are sorted upwards."""
+    """Levels in the order in which they first appear when rows are sorted upwards.
+
+    Numbers become levels by value instead, see :func:`levels_by_value`.
+    """
     names = order_names(order_by)
     # min() skips NULLs, and a level with nothing else gets NULL, which sorts last.
     # A struct needs the flag for the same effect, and a sort-based aggregate.
@@ -48,7 +51,7 @@ def levels_by_appearance(df: DataFrame, column: str, order_by: Order) -> DataFra
 
 
 def levels_by_value(df: DataFrame, column: str) -> DataFrame:
-    """Levels in alphabetic order."""
+    """Levels in alphabetic order, or numbers by value."""
     levels = _present(df, column).select(F.col(column).alias("level")).distinct()
     return _numbered(levels, ["level"])
 
@@ -118,7 +121,9 @@ def lump(
     n-th are kept, and a single left-over value is not renamed. Sum the result
     again to get one row per group.
     """
-    measure = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    if n < 1:
+        raise ValueError("keep at least one value")
+    measure = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
     present = _present(df, column)
     # Staged, so that its written size tells Spark whether to broadcast it.
     weights = stage(

@@ -11,6 +11,10 @@ from spokewise.functions.text import remove_all
 from spokewise.operators.columns import quoted
 
 
+# Name of the column for a missing key.
+MISSING_KEY = "<NA>"
+
+
 def spread(
     df: DataFrame, ids: Sequence[str], key: str, value: str, values: Sequence[str] | None = None
 ) -> DataFrame:
@@ -18,16 +22,17 @@ def spread(
 
     Pass the key values where they are known: that saves a job over the table.
     """
+    name = F.coalesce(F.col(key).cast("string"), F.lit(MISSING_KEY))
     if values is None:
-        found = df.select(key).distinct()
         limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        rows = found.limit(limit + 1).collect()
+        rows = df.select(F.col(key).alias("k"), name.alias("name")).distinct().limit(limit + 1).collect()
         if len(rows) > limit:
             raise ValueError(f"more than {limit} values of {key}")
-        values = sorted(row[0] for row in rows if row[0] is not None)
-    message = F.concat(F.lit(f"repeated {key}: "), F.first(F.col(key).cast("string")))
+        known = sorted((r for r in rows if r.k is not None), key=lambda r: r.k)
+        values = [r.name for r in known] + [r.name for r in rows if r.k is None]
+    message = F.concat(F.lit(f"repeated {key}: "), F.first("__key"))
     cell = F.when(F.count(F.lit(1)) > 1, F.raise_error(message)).otherwise(F.first(value))
-    return df.groupBy(*ids).pivot(key, list(values)).agg(cell)
+    return df.withColumn("__key", name).groupBy(*ids).pivot("__key", list(values)).agg(cell)
 
 
 def gather(

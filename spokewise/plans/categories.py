@@ -18,6 +18,7 @@ from spokewise.plans.sales import dollars_by
 from spokewise.plans.series import sales_by_quarter
 from spokewise.session import stage
 
+# Fixed value: name of the lumped category.
 OTHER_CATEGORY = "all other bike category"
 
 

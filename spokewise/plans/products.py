@@ -48,7 +48,9 @@ TIER_FLAGS = {
     "dura_ace": "dura ace",
     "disc": "disc",
 }
+# How many words of a model are told apart, and the text of a statement.
 MODEL_WORDS = 7
+STATEMENT = "Order line : {order_id}.{order_line} sent to customer: {shop}"
 
 
 def base_model(rules: Sequence[tuple[int, str, int]] = BASE_MODEL_RULES) -> Column:
@@ -143,8 +145,5 @@ def price_bands(sales: DataFrame) -> DataFrame:
 
 def purchase_statements(sales: DataFrame) -> DataFrame:
     """A sentence per order line."""
-    text = glue(
-        "Order line : {order_id}.{order_line} sent to customer: {shop}",
-        shop=title_case(F.col("bikeshop_name")),
-    )
+    text = glue(STATEMENT, shop=title_case(F.col("bikeshop_name")))
     return sales.withColumn("purchase_statement", text)

@@ -323,39 +323,30 @@ def left_join_renamed_key(t: SalesTables) -> DataFrame:
     )
 
 
-@query(
-    "left_join_nullable_keys",
-    "J1 J2",
-    "SELECT o_orderkey, c_custkey, c_name FROM "
-    "(SELECT o_orderkey, nullif(o_custkey % 10, 0) AS c_custkey FROM orders) LEFT JOIN "
-    "(SELECT nullif(c_custkey, 0) AS c_custkey, c_name FROM customer) USING (c_custkey)",
+_NULLABLE_KEYS = (
+    "SELECT c_custkey, a.nation, n_name FROM "
+    "(SELECT c_custkey, nullif(c_nationkey, 0) AS nation FROM customer) a LEFT JOIN "
+    "(SELECT nullif(n_nationkey, 0) AS nation, n_name FROM nation) b ON a.nation {0} b.nation"
 )
-def left_join_nullable_keys(t: SalesTables) -> DataFrame:
-    orders = t.table("orders").select(
-        "o_orderkey", F.nullif(F.col("o_custkey") % 10, F.lit(0)).alias("c_custkey")
-    )
+
+
+def _nullable_keys(t: SalesTables) -> tuple[DataFrame, DataFrame]:
+    """Customers and nations, with nation 0 replaced by NULL on both sides."""
     customers = t.table("customer").select(
-        F.nullif("c_custkey", F.lit(0)).alias("c_custkey"), "c_name"
+        "c_custkey", F.nullif("c_nationkey", F.lit(0)).alias("nation")
     )
-    return left_join(orders, customers, ["c_custkey"])
+    nations = t.table("nation").select(F.nullif("n_nationkey", F.lit(0)).alias("nation"), "n_name")
+    return customers, nations
 
 
-@query(
-    "left_join_missing_keys_match",
-    "J1 J2",
-    "SELECT o_orderkey, a.c_custkey, c_name FROM "
-    "(SELECT o_orderkey, nullif(o_custkey % 10, 0) AS c_custkey FROM orders) a LEFT JOIN "
-    "(SELECT nullif(c_custkey, 0) AS c_custkey, c_name FROM customer) b "
-    "ON a.c_custkey IS NOT DISTINCT FROM b.c_custkey",
-)
+@query("left_join_nullable_keys", "J1 J2", _NULLABLE_KEYS.format("="))
+def left_join_nullable_keys(t: SalesTables) -> DataFrame:
+    return left_join(*_nullable_keys(t), ["nation"])
+
+
+@query("left_join_missing_keys_match", "J1 J2", _NULLABLE_KEYS.format("IS NOT DISTINCT FROM"))
 def left_join_missing_keys_match(t: SalesTables) -> DataFrame:
-    orders = t.table("orders").select(
-        "o_orderkey", F.nullif(F.col("o_custkey") % 10, F.lit(0)).alias("c_custkey")
-    )
-    customers = t.table("customer").select(
-        F.nullif("c_custkey", F.lit(0)).alias("c_custkey"), "c_name"
-    )
-    return left_join(orders, customers, ["c_custkey"], na_matches=True)
+    return left_join(*_nullable_keys(t), ["nation"], na_matches=True)
 
 
 @query(

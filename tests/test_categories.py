@@ -69,3 +69,7 @@ def test_lump(spark):
     assert lumped(df, 1) == {"a": 11.0, "Other": 13.0, None: 4.0}
     assert "Other" not in lumped(df, 2)
     assert sum(lumped(df, 1, weight="v").values()) == sum(r[1] for r in rows)
+    with pytest.raises(ValueError):
+        g.lump(df, "c", 0)
+    weightless = spark.createDataFrame([("a", 1.0), ("b", None), ("c", None)], "c string, v double")
+    assert lumped(weightless, 1, weight="v") == {"a": 1.0, "Other": None}

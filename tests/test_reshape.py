@@ -20,6 +20,13 @@ def test_spread(spark):
         r.spread(shops.unionAll(shops), ["shop"], "c", "v", ["Road"]).collect()
 
 
+def test_spread_keeps_a_missing_key(spark):
+    df = spark.createDataFrame([(1, 2, 5.0), (1, 10, 6.0), (2, None, 7.0)], "id int, key int, v double")
+    wide = r.spread(df, ["id"], "key", "v")
+    assert wide.columns == ["id", "2", "10", "<NA>"]
+    assert tuples(wide) == [(1, 5.0, 6.0, None), (2, None, None, 7.0)]
+
+
 def test_gather(spark):
     df = spark.createDataFrame([(1, 3), (2, None)], "a int, b int")
     assert tuples(r.gather(df)) == [("a", 1), ("a", 2), ("b", 3), ("b", None)]

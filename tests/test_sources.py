@@ -39,6 +39,13 @@ def test_missing_text_is_an_option(spark, table, tmp_path):
     assert back.filter("t IS NULL").count() == 1
 
 
+def test_an_empty_cell_is_missing(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('a,b\n,x\nNA,""\n3,NA\n')
+    df = f.read_csv(spark, str(tmp_path / "in.csv"), "a int, b string")
+    assert [r.a for r in df.collect()] == [None, None, 3]
+    assert [r.b for r in df.collect()] == ["x", "", None]
+
+
 def test_problems_list_bad_rows(spark, tmp_path):
     (tmp_path / "in.csv").write_text("a,b\n1,2.5\nx,3.5\n4,NA\n")
     df = f.read_csv(spark, str(tmp_path / "in.csv"), "a int, b double", keep_bad_rows=True)
