@@ -107,10 +107,8 @@ def quantiles(
 def _value_counts(
     df: DataFrame, keys: Sequence[str], column: str
 ) -> tuple[DataFrame, DataFrame]:
-    """The values that are present, and the staged count of each per group."""
-    rows = df.select(*keys, F.col(column).cast("double").alias(_VALUE)).filter(
-        F.col(_VALUE).isNotNull()
-    )
+    """The values as numbers, and the staged count of each value (or NULL) per group."""
+    rows = df.select(*keys, F.col(column).cast("double").alias(_VALUE))
     counts = rows.groupBy(*keys, _VALUE).agg(F.count(F.lit(1)).alias(_WEIGHT))
     return rows, stage(counts, "counts")
 
@@ -122,6 +120,8 @@ def _counted_quantiles(
     probabilities: dict[str, float],
     few_values: int = FEW_VALUES,
 ) -> DataFrame:
+    present = F.col(_VALUE).isNotNull()
+    rows, counts = rows.filter(present), counts.filter(present)
     if counts.count() > few_values:
         return _bracketed_quantiles(rows, counts, keys, probabilities)
     marks = F.percentile(_VALUE, list(probabilities.values()), F.col(_WEIGHT))
@@ -229,27 +229,47 @@ def with_group_facts(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Da
     return joined.select(*df.columns, *[F.col(f"__facts.{n}").alias(n) for n in names])
 
 
-def six_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+def six_statistics(
+    df: DataFrame, keys: Sequence[str], column: str, few_values: int = FEW_VALUES
+) -> DataFrame:
     """Count, mean, median, standard deviation, minimum and maximum per group.
 
-    Mean and median skip missing values; the other three are NULL if one is missing.
+    Mean and median skip missing values; the other three are NULL if one is
+    missing. All of it comes from the counted values, so the table is read once.
     """
-    x = F.col(column)
-    plain = summarise(
-        df,
+    rows, counts = _value_counts(df, keys, column)
+    x, w = F.col(_VALUE), F.col(_WEIGHT)
+    known = F.when(x.isNotNull(), w)
+    sums = stage(
+        summarise(
+            counts,
+            keys,
+            __rows=F.sum(w),
+            __known=F.coalesce(F.sum(known), F.lit(0)),
+            __mean=F.try_divide(F.sum(x * w), F.sum(known)),
+            __min=F.min(x),
+            __max=F.max(x),
+        ),
+        "sums",
+    )
+    spread = summarise(
+        _per_group(counts, sums, keys, "__s"),
         keys,
-        count=F.count(F.lit(1)),
-        **{
-            f"avg_{column}": mean(x, na_rm=True),
-            f"sd_{column}": deviation(x),
-            f"min_{column}": minimum(x),
-            f"max_{column}": maximum(x),
-        },
+        __squares=F.sum(w * F.pow(x - F.col("__s.__mean"), F.lit(2))),
+    )
+    middle = _counted_quantiles(rows, counts, keys, {"__median": 0.5}, few_values)
+    joined = with_group_facts(with_group_facts(sums, spread, keys), middle, keys)
+    whole = F.col("__known") == F.col("__rows")
+    variance = F.try_divide(F.col("__squares"), F.col("__rows") - 1)
+    return joined.select(
+        *keys,
+        F.col("__rows").alias("count"),
+        F.col("__mean").alias(f"avg_{column}"),
+        F.col("__median").alias(f"median_{column}"),
+        F.when(whole, F.sqrt(variance)).alias(f"sd_{column}"),
+        F.when(whole, F.col("__min")).alias(f"min_{column}"),
+        F.when(whole, F.col("__max")).alias(f"max_{column}"),
     )
-    middle = quantiles(df, keys, column, {f"median_{column}": 0.5})
-    joined = with_group_facts(plain, middle, keys)
-    order = ["count", *[f"{s}_{column}" for s in ("avg", "median", "sd", "min", "max")]]
-    return joined.select(*keys, *order)
 
 
 # Labels of price bands and the quantile each lies above.
@@ -297,6 +317,7 @@ def box_statistics(
     rows, counts = _value_counts(df, keys, column)
     quarters = {"least": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "greatest": 1.0}
     marks = _counted_quantiles(rows, counts, keys, quarters, few_values)
+    counts = counts.filter(F.col(_VALUE).isNotNull())
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     marks = stage(
         marks.withColumns({"__low": F.col("q1") - reach, "__high": F.col("q3") + reach}), "marks"

@@ -22,17 +22,23 @@ def spread(
 
     Pass the key values where they are known: that saves a job over the table.
     """
-    name = F.coalesce(F.col(key).cast("string"), F.lit(MISSING_KEY))
     if values is None:
         limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        rows = df.select(F.col(key).alias("k"), name.alias("name")).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
+        found = [row[0] for row in df.select(key).distinct().limit(limit + 1).collect()]
+        if len(found) > limit:
             raise ValueError(f"more than {limit} values of {key}")
-        known = sorted((r for r in rows if r.k is not None), key=lambda r: r.k)
-        values = [r.name for r in known] + [r.name for r in rows if r.k is None]
-    message = F.concat(F.lit(f"repeated {key}: "), F.first("__key"))
-    cell = F.when(F.count(F.lit(1)) > 1, F.raise_error(message)).otherwise(F.first(value))
-    return df.withColumn("__key", name).groupBy(*ids).pivot("__key", list(values)).agg(cell)
+        missing = None in found
+        values = sorted(v for v in found if v is not None)
+    else:
+        missing = MISSING_KEY in values
+    if missing:
+        values = [str(v) for v in values if v != MISSING_KEY] + [MISSING_KEY]
+        text = F.coalesce(F.col(key).cast("string"), F.lit(MISSING_KEY))
+        df = df.withColumn(key, text)
+    error = F.raise_error(F.lit(f"more than one row for a value of {key}"))
+    cell = F.when(F.count(F.lit(1)) > 1, error).otherwise(F.first(value))
+    # The key itself is pivoted, so a table just summed by it is not shuffled again.
+    return df.groupBy(*ids).pivot(key, list(values)).agg(cell)
 
 
 def gather(

@@ -80,8 +80,14 @@ def test_grouped_mean(spark):
     assert means == {"A": 1.5, "B": 3.0, None: 4.0}
 
 
-def test_six_statistics(table, groups):
-    found = {r.g: r for r in a.six_statistics(table, ["g"], "v").collect()}
+@pytest.mark.parametrize("few_values", [a.FEW_VALUES, 0])
+def test_six_statistics(table, groups, few_values):
+    found = {r.g: r for r in a.six_statistics(table, ["g"], "v", few_values).collect()}
+    assert found["one"].sd_v is None and found["one"].avg_v == 4.0
+    assert found["ties"].sd_v == pytest.approx(np.std(groups["ties"], ddof=1))
+    assert found["hot"].avg_v == pytest.approx(np.mean(groups["hot"]))
+    whole = a.six_statistics(table, [], "v", few_values).first()
+    assert whole["count"] == table.count() and whole.sd_v is None
     assert found["two"]["count"] == 3 and found["two"].median_v == 1.5
     assert found["two"].sd_v is None and found["two"].min_v is None
     assert found[None].sd_v == pytest.approx(np.std(groups[None], ddof=1))
