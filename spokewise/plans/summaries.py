@@ -71,9 +71,9 @@ def frame_gaps(sales: DataFrame, frames: Sequence[str]) -> DataFrame:
     """Sales by category pair with a column per frame material, gaps as 0, and the total."""
     summed = dollars_by(sales, "category_1", "category_2", "frame_material")
     wide = spread(summed, ["category_1", "category_2"], "frame_material", "sales", frames)
-    return sort_rows(
-        zero_filled_totals(wide, frames), "-total_sales", "category_1", "category_2"
-    )
+    totals = zero_filled_totals(wide, frames)
+    totals = totals.withColumn("total_sales", F.round("total_sales", 6))
+    return sort_rows(totals, "-total_sales", "category_1", "category_2")
 
 
 def frame_gap_report(sales: DataFrame, frames: Sequence[str]) -> DataFrame:

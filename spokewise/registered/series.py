@@ -34,8 +34,9 @@ def sales_by_year(t: SalesTables) -> DataFrame:
     "sales_by_year_category_trend",
     "P3 A3 A18 X1",
     with_sales(
-        "SELECT order_year, category_2, round(sales, 2) AS sales, round(slope, 2) AS slope, "
-        "round(intercept, -2) AS intercept, round(intercept + slope * order_year, -1) AS fitted, "
+        "SELECT order_year, category_2, round(sales, 2) AS sales, round(slope, 3) AS slope, "
+        "round(intercept, -2) AS intercept, "
+        "round((intercept + slope * order_year) / sales, 8) AS fitted_to_sales, "
         "'$' || format('{:,.0f}', sales) AS sales_text FROM summed JOIN lines USING (category_2)",
         "summed AS (SELECT year(order_date) AS order_year, category_2, "
         "round(sum(total_price), 6) AS sales FROM sales GROUP BY 1, 2)",
@@ -45,7 +46,10 @@ def sales_by_year(t: SalesTables) -> DataFrame:
 )
 def sales_by_year_category_trend(t: SalesTables) -> DataFrame:
     trend = p.sales_by_year_and_category(t.sales("order_date", "category_2", "total_price"))
-    return rounded(as_long(trend, "order_year"), sales=2, slope=2, intercept=-2, fitted=-1)
+    # The ratio is compared, since it has no halves to round.
+    trend = trend.withColumn("fitted_to_sales", F.col("fitted") / F.col("sales")).drop("fitted")
+    trend = as_long(trend, "order_year")
+    return rounded(trend, sales=2, slope=3, intercept=-2, fitted_to_sales=8)
 
 
 @query(
@@ -84,7 +88,7 @@ def yearly_since_first(t: SalesTables) -> DataFrame:
     with_sales(
         """SELECT order_year, round(sales, 2) AS sales,
           round(sum(sales) OVER (ORDER BY order_year), 2) AS running_sales,
-          round(avg(sales) OVER (ORDER BY order_year), 2) AS running_mean,
+          round(avg(sales) OVER (ORDER BY order_year), 4) AS running_mean,
           round(sum(sales) OVER (ORDER BY order_year) / sum(sales) OVER (), 6) AS running_share
         FROM yearly""",
         YEARLY,
@@ -92,7 +96,7 @@ def yearly_since_first(t: SalesTables) -> DataFrame:
 )
 def yearly_running(t: SalesTables) -> DataFrame:
     running = as_long(p.yearly_running(_sales(t)), "order_year")
-    return rounded(running, sales=2, running_sales=2, running_mean=2, running_share=6)
+    return rounded(running, sales=2, running_sales=2, running_mean=4, running_share=6)
 
 
 def _monthly(df: DataFrame, **digits: int) -> DataFrame:
@@ -149,7 +153,7 @@ def _rolling(function: str, k: int) -> str:
     frame = f"OVER (ORDER BY order_year, month ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
     return (
         f"CASE WHEN row_number() OVER (ORDER BY order_year, month) >= {k} "
-        f"THEN round({function}(sales) {frame}, 2) ELSE 0.0 END"
+        f"THEN round({function}(sales) {frame}, 4) ELSE 0.0 END"
     )
 
 
@@ -163,7 +167,7 @@ def _rolling(function: str, k: int) -> str:
     ),
 )
 def monthly_rolling(t: SalesTables) -> DataFrame:
-    return _monthly(p.monthly_rolling(_sales(t)), roll_mean_3m=2, roll_mean_6m=2)
+    return _monthly(p.monthly_rolling(_sales(t)), roll_mean_3m=4, roll_mean_6m=4)
 
 
 @query(
@@ -176,7 +180,7 @@ def monthly_rolling(t: SalesTables) -> DataFrame:
     ),
 )
 def monthly_rolling_median(t: SalesTables) -> DataFrame:
-    return _monthly(p.monthly_rolling_median(_sales(t)), roll_median_3m=2)
+    return _monthly(p.monthly_rolling_median(_sales(t)), roll_median_3m=4)
 
 
 @query(
