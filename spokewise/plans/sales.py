@@ -172,4 +172,4 @@ def dollars_by(sales: DataFrame, *keys: str | Column) -> DataFrame:
     A sum of doubles depends in its last digits on the order of addition, which
     differs from run to run; rounding far below a cent keeps reports repeatable.
     """
-    return sales.groupBy(*keys).agg(F.round(F.sum("total_price"), 6).alias("sales"))
+    return sales.groupBy(*keys).agg(F.round(F.sum("total_price"), 4).alias("sales"))

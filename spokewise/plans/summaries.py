@@ -72,7 +72,7 @@ def frame_gaps(sales: DataFrame, frames: Sequence[str]) -> DataFrame:
     summed = dollars_by(sales, "category_1", "category_2", "frame_material")
     wide = spread(summed, ["category_1", "category_2"], "frame_material", "sales", frames)
     totals = zero_filled_totals(wide, frames)
-    totals = totals.withColumn("total_sales", F.round("total_sales", 6))
+    totals = totals.withColumn("total_sales", F.round("total_sales", 4))
     return sort_rows(totals, "-total_sales", "category_1", "category_2")
 
 

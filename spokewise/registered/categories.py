@@ -9,7 +9,7 @@ from spokewise.plans.sales import SalesTables
 from spokewise.registered.registry import as_long, query, rounded, with_sales
 
 _REVENUE = (
-    "revenue AS (SELECT category_2, round(sum(total_price), 6) AS revenue FROM sales GROUP BY 1)"
+    "revenue AS (SELECT category_2, round(sum(total_price), 4) AS revenue FROM sales GROUP BY 1)"
 )
 
 
@@ -82,7 +82,7 @@ def factor_reorder_by_median(t: SalesTables) -> DataFrame:
         FROM q JOIN (SELECT category_2, row_number() OVER (ORDER BY arg_max(revenue, order_quarter) DESC)
           AS code FROM q GROUP BY 1) USING (category_2)""",
         """q AS (SELECT category_2, CAST(date_trunc('quarter', order_date) AS DATE) AS order_quarter,
-          round(sum(total_price), 6) AS revenue FROM sales GROUP BY 1, 2)""",
+          round(sum(total_price), 4) AS revenue FROM sales GROUP BY 1, 2)""",
     ),
 )
 def factor_reorder2(t: SalesTables) -> DataFrame:

@@ -27,11 +27,11 @@ SALES = """sales AS (
   LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 YEARLY = """yearly AS (
-  SELECT year(order_date) AS order_year, round(sum(total_price), 6) AS sales
+  SELECT year(order_date) AS order_year, round(sum(total_price), 4) AS sales
   FROM sales GROUP BY 1)"""
 MONTHLY = """monthly AS (
   SELECT year(order_date) AS order_year, month(order_date) AS month,
-    strftime(min(order_date), '%b') AS order_month, round(sum(total_price), 6) AS sales
+    strftime(min(order_date), '%b') AS order_month, round(sum(total_price), 4) AS sales
   FROM sales GROUP BY 1, 2)"""
 
 

@@ -40,7 +40,7 @@ def shop_category_long(t: SalesTables) -> DataFrame:
 
 
 _MONEY = ", ".join(
-    f"""'$' || format('{{:,.0f}}', round({_CELL.format("category_1", c)}, 6)) AS "{c}\""""
+    f"""'$' || format('{{:,.0f}}', round({_CELL.format("category_1", c)}, 4)) AS "{c}\""""
     for c in TYPES
 )
 
@@ -59,7 +59,7 @@ def shop_category_report(t: SalesTables) -> DataFrame:
     "P8 G4 T13 M4",
     with_sales(
         """SELECT bikeshop_name AS "Bikeshop name", category_1, CAST(replace(format('{:,.0f}',
-          round(sum(total_price), 6)), ',', '') AS DOUBLE) AS sales
+          round(sum(total_price), 4)), ',', '') AS DOUBLE) AS sales
         FROM (SELECT DISTINCT bikeshop_name FROM sales)
         CROSS JOIN (SELECT DISTINCT category_1 FROM sales)
         LEFT JOIN sales USING (bikeshop_name, category_1) GROUP BY 1, 2"""
@@ -113,7 +113,7 @@ def frame_gap_table(t: SalesTables) -> DataFrame:
 
 
 _FRAME_MONEY = ", ".join(
-    f"""'$' || format('{{:,.0f}}', round(coalesce({_CELL.format("frame_material", f)}, 0.0), 6)) AS {f}"""
+    f"""'$' || format('{{:,.0f}}', round(coalesce({_CELL.format("frame_material", f)}, 0.0), 4)) AS {f}"""
     for f in FRAMES
 )
 
@@ -123,7 +123,7 @@ _FRAME_MONEY = ", ".join(
     "P15 G3 X1 C15",
     with_sales(
         f'SELECT category_1 AS "Primary Category", category_2 AS "Secondary Category", {_FRAME_MONEY}, '
-        "'$' || format('{:,.0f}', round(sum(total_price), 6)) AS \"Total Sales\" FROM sales GROUP BY 1, 2"
+        "'$' || format('{:,.0f}', round(sum(total_price), 4)) AS \"Total Sales\" FROM sales GROUP BY 1, 2"
     ),
 )
 def frame_gap_report(t: SalesTables) -> DataFrame:

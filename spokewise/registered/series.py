@@ -39,7 +39,7 @@ def sales_by_year(t: SalesTables) -> DataFrame:
         "round((intercept + slope * order_year) / sales, 8) AS fitted_to_sales, "
         "'$' || format('{:,.0f}', sales) AS sales_text FROM summed JOIN lines USING (category_2)",
         "summed AS (SELECT year(order_date) AS order_year, category_2, "
-        "round(sum(total_price), 6) AS sales FROM sales GROUP BY 1, 2)",
+        "round(sum(total_price), 4) AS sales FROM sales GROUP BY 1, 2)",
         "lines AS (SELECT category_2, regr_slope(sales, order_year) AS slope, "
         "regr_intercept(sales, order_year) AS intercept FROM summed GROUP BY 1)",
     ),
@@ -188,7 +188,7 @@ def monthly_rolling_median(t: SalesTables) -> DataFrame:
     "P16 A17 O3 D7 D8 X1",
     with_sales(
         "SELECT month(order_date) AS month, strftime(min(order_date), '%b') AS month_label, "
-        "round(sum(total_price), 2) AS sales, '$' || format('{:,.0f}', round(sum(total_price), 6)) "
+        "round(sum(total_price), 2) AS sales, '$' || format('{:,.0f}', round(sum(total_price), 4)) "
         "AS sales_text FROM sales GROUP BY 1"
     ),
 )
@@ -201,7 +201,7 @@ def sales_by_calendar_month(t: SalesTables) -> DataFrame:
     "P16 C17 T3 X1",
     with_sales(
         "SELECT strftime(min(order_date), '%b') AS \"Month\", "
-        "'$' || format('{:,.0f}', round(sum(total_price), 6)) AS \"Sales\" "
+        "'$' || format('{:,.0f}', round(sum(total_price), 4)) AS \"Sales\" "
         "FROM sales GROUP BY month(order_date)"
     ),
 )
