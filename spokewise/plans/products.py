@@ -20,7 +20,7 @@ from spokewise.functions.text import (
     trim,
 )
 from spokewise.operators.aggregates import quantile_bands, summarise
-from spokewise.operators.columns import change_columns, contains, of_kind, omit, rename_with, title_name
+from spokewise.operators.columns import contains, of_kind, omit, rename_with, title_name
 from spokewise.operators.ordering import Order, sort_rows
 from spokewise.operators.positions import equal_buckets
 
@@ -111,10 +111,6 @@ def base_model_price_report(prices: DataFrame) -> DataFrame:
     return rename_with(text, title_name)
 
 
-def rounded_numbers(df: DataFrame, digits: int) -> DataFrame:
-    return change_columns(df, of_kind(df, "number"), lambda c: F.round(c, digits))
-
-
 def price_scales(sales: DataFrame) -> DataFrame:
     return sales.withColumns(
         {

@@ -190,8 +190,3 @@ def test_statement(spark):
     )
     text = pp.purchase_statements(df).first().purchase_statement
     assert text == "Order line : 1.2 sent to customer: Ithaca Mountain Climbers"
-
-
-def test_rounded_numbers(spark):
-    df = spark.createDataFrame([("a", 1.26)], "k string, v double")
-    assert tuples(pp.rounded_numbers(df, 1)) == [("a", 1.3)]
