@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spokewise.llm import decontaminate, exact_dedup, mixing, near_dup, quality
+from spokewise.llm import decontaminate, exact_dedup, html, language, mixing, near_dup, quality, templates, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,6 +48,74 @@ def exact_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, folder, "documents"))
 
 
+CAPTURES = r"""plain AS (SELECT page_id, url, coalesce(html, '') AS html, regexp_replace(trim(url), '#.*$', '') AS p FROM pages),
+parts AS (SELECT *, regexp_matches(p, '^[A-Za-z][A-Za-z0-9+.-]*://') AS has_scheme,
+    regexp_replace(regexp_replace(lower(regexp_extract(p, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '') AS host,
+    regexp_replace(regexp_extract(p, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(p, '\?(.*)$', 1), '&'), lambda x: x <> ''
+      AND NOT starts_with(lower(regexp_extract(x, '^([^=]*)', 1)), 'utm_')
+      AND lower(regexp_extract(x, '^([^=]*)', 1)) NOT IN ('fbclid', 'gclid', 'ref'))), '&') AS q FROM plain),
+base AS (SELECT page_id AS n, url, CASE WHEN has_scheme THEN host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END ELSE p END AS k,
+    1600000000 + page_id * 41 % 5000011 AS t, '"' || md5(html) || '"' AS tag, '"' || md5(html || '+') || '"' AS other, length(html) AS size FROM parts),
+responses AS (SELECT n * 4 AS id, k, t AS ts, tag AS etag, t - 60 AS modified, size FROM base
+  UNION ALL SELECT n * 4 + 3, k, t + 864000, other, t + 864000 - 60, size FROM base WHERE n % 3 = 0),
+revisits AS (SELECT n * 4 + 1 AS id, url, k, t + (n % 9 - 2) * 86400 AS ts, CASE WHEN n % 5 = 0 THEN other ELSE 'W/' || tag END AS etag,
+    CAST(NULL AS BIGINT) AS modified FROM base
+  UNION ALL SELECT n * 4 + 2, url, k, t + 2592000, NULL, CASE WHEN n % 3 = 0 THEN t + 864000 ELSE t END - 60 FROM base),
+joined AS (SELECT v.*, r.id AS rid, r.etag AS r_etag, r.modified AS r_modified, r.size AS r_size,
+    row_number() OVER (PARTITION BY v.id ORDER BY r.ts DESC, r.id DESC) AS place
+  FROM revisits v LEFT JOIN responses r ON v.k = r.k AND r.ts < v.ts),
+judged AS (SELECT *, CASE WHEN rid IS NULL THEN 'orphan' WHEN etag IS NOT NULL
+    THEN CASE WHEN replace(etag, 'W/', '') = r_etag THEN 'resolved' ELSE 'changed' END
+    WHEN modified = r_modified THEN 'resolved' ELSE 'changed' END AS status FROM joined WHERE place = 1)"""
+
+
+@query(
+    "op3_warc_revisits",
+    f"""WITH {CAPTURES}
+SELECT id AS record_id, url, ts AS captured, rid AS response_id, status,
+  CASE WHEN status = 'resolved' THEN
+    CASE WHEN etag IS NOT NULL THEN 'cache-control: max-age=60' || chr(10) ELSE '' END
+    || 'content-length: ' || r_size || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10)
+    || 'etag: ' || coalesce(etag, r_etag) || chr(10) || 'last-modified: ' || coalesce(modified, r_modified) || chr(10) || 'server: archive'
+  END AS headers
+FROM judged""",
+)
+def warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.captures_of_pages(table(spark, folder, "pages")))
+    lines = F.transform(F.map_entries("headers"), lambda h: F.concat(h["key"], F.lit(": "), h["value"]))
+    return found.withColumn("headers", F.array_join(F.array_sort(lines), "\n"))
+
+
+@query(
+    "op4_line_templates",
+    rf"""WITH
+d AS (SELECT doc_id, row_number() OVER () AS row, text, string_split(text, chr(10)) AS raw FROM documents),
+l AS (SELECT doc_id, row, k, raw[k] AS line, regexp_replace(trim(raw[k]), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m
+  FROM (SELECT *, unnest(range(1, len(raw) + 1)) AS k FROM d)),
+p AS (SELECT *, string_split(m, ' ') AS t FROM l WHERE len(string_split(m, ' ')) >= 4),
+u AS (SELECT DISTINCT row, m, t, len(t) || ' ' || array_to_string(t[1:3], ' ') AS leaf FROM p),
+o AS (SELECT leaf FROM u GROUP BY 1 HAVING count(DISTINCT row) >= 10),
+w AS (SELECT leaf, m, t, count(*) AS weight FROM u SEMI JOIN o USING (leaf) GROUP BY 1, 2, 3),
+z AS (SELECT leaf, sum(weight) AS size FROM w GROUP BY 1),
+x AS (SELECT leaf, m, weight, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS place FROM w),
+c AS (SELECT leaf, place, token FROM x JOIN z USING (leaf) GROUP BY 1, 2, 3
+  HAVING sum(weight) >= 10 AND sum(weight) >= 0.05 * max(size) AND token <> '<*>'),
+g AS (SELECT x.leaf, m, array_to_string(list(CASE WHEN c.token IS NULL THEN '<*>' ELSE x.token END ORDER BY place), ' ') AS template,
+    count(c.token) AS fixed, count(*) AS n FROM x LEFT JOIN c USING (leaf, place, token) GROUP BY 1, 2),
+h AS (SELECT m, template FROM g WHERE fixed >= 0.5 * n),
+r AS (SELECT template FROM h JOIN u USING (m) GROUP BY 1 HAVING count(DISTINCT row) >= 10),
+gone AS (SELECT m FROM h SEMI JOIN r USING (template)),
+f AS (SELECT row, any_value(doc_id) AS doc_id, count(*) AS n_lines, count(gone.m) AS n_dropped,
+    array_to_string(list(line ORDER BY k) FILTER (WHERE gone.m IS NULL), chr(10)) AS kept
+  FROM l LEFT JOIN gone ON gone.m = l.m AND len(string_split(l.m, ' ')) >= 4 GROUP BY 1)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS text_sha256 FROM f""",
+)
+def line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    found = templates.drop_recurring_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 @query(
     "op5_near_dedup",
     rf"""WITH RECURSIVE
@@ -67,6 +135,12 @@ def near_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op6_html_extraction")
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html.extract(table(spark, folder, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -102,6 +176,17 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_token_counts")
+def token_counts_query(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), token_counts.read_pieces(), ["doc_id"])
+
+
+@query("op9_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    model = language.fit(table(spark, folder, "documents"))
+    return language.identify(table(spark, folder, "pages"), model)
+
+
 @query(
     "op10_mixing",
     r"""WITH
