@@ -153,6 +153,15 @@ def map_batches(rows: DataFrame, run: Callable, schema: T.StructType | str) -> D
     return rows.toDF(*[f"c{k}" for k in range(len(rows.columns))]).mapInArrow(run, schema)
 
 
+def by_place(rows: DataFrame) -> DataFrame:
+    """The same columns as k0, k1, ..., which clash with nothing; ``toDF`` gives the names back."""
+    return rows.toDF(*[f"k{k}" for k in range(len(rows.columns))])
+
+
+def place_of(rows: DataFrame, name: str) -> str:
+    return f"k{rows.columns.index(name)}"
+
+
 def extended(fields: list[T.StructField], **types: T.DataType) -> T.StructType:
     return T.StructType([*fields, *[T.StructField(n, t) for n, t in types.items()]])
 

@@ -24,7 +24,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from spokewise.llm.batches import PLAIN_WORDS, TextSlice, Words, batch_of, extended, find_words, lower_ascii, map_batches, slices, word_hashes
+from spokewise.llm.batches import (
+    PLAIN_WORDS,
+    TextSlice,
+    Words,
+    batch_of,
+    by_place,
+    extended,
+    find_words,
+    lower_ascii,
+    map_batches,
+    place_of,
+    slices,
+    word_hashes,
+)
 
 WINDOW = 13
 # Text bytes of the benchmark that one pass searches for.
@@ -219,8 +232,9 @@ def is_contaminated(n_words: Column, n_hit: Column) -> Column:
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
-def clean_documents(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
+def clean_documents(docs: DataFrame, bench: DataFrame, text_column: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    found = matched(docs, bench, **options)
+    plain = by_place(docs)
+    found = matched(plain, bench, place_of(docs, text_column), **options)
     clean = found.filter(~is_contaminated(F.col("__n_words"), hit_words(F.col("__matches"))))
-    return clean.select(*[F.col(f"`{n}`") for n in docs.columns])
+    return clean.select(*plain.columns).toDF(*docs.columns)

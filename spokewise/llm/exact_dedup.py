@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from spokewise.llm.batches import batch_of, extended, map_batches
+from spokewise.llm.batches import batch_of, by_place, extended, map_batches, place_of
 from spokewise.session import stage
 
 BITS_PER_ROW = 16
@@ -174,6 +174,8 @@ def exact_copies(
     )
     again = rows.filter("__maybe")
     groups = again.groupBy("__digest").agg(F.max(F.struct("id", "tag")).alias("top"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join below shuffles both sides alike and a large group can be split.
+    groups = stage(groups, "groups")
     grouped = again.join(groups, "__digest").select(
         "id", F.col("top.id").alias("keep_id"), "group_size", (F.col("tag") == F.col("top.tag")).alias("kept"), "__digest"
     )
@@ -192,10 +194,12 @@ def drop_exact_copies(
     """The rows that stay, with all their columns. Rows that cannot repeat are never moved."""
     digests = stage(with_digest(docs, text_column, []), "digests")
     shared = _filter_of(digests, bits_per_row, max_bits)
-    rows = _flagged(with_digest(docs, text_column, docs.columns), shared)
-    columns = [F.col(f"`{n}`") for n in docs.columns]
+    plain = by_place(docs)
+    rows = _flagged(with_digest(plain, place_of(docs, text_column), plain.columns), shared)
     # Equal ids: any one rule will do, as long as reruns agree.
-    plain = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    rank: Column = F.struct(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-(1 << 63))), F.xxhash64(*plain))
-    top = rows.filter("__maybe").groupBy("__digest").agg(F.max_by(F.struct(*columns), rank).alias("__row"))
-    return rows.filter("not __maybe").select(*columns).unionAll(top.select("__row.*"))
+    hashed = [f.name for f in plain.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    own_id = F.col(place_of(docs, id_column)).cast("long")
+    rank: Column = F.struct(F.coalesce(own_id, F.lit(-(1 << 63))), F.xxhash64(*hashed))
+    top = rows.filter("__maybe").groupBy("__digest").agg(F.max_by(F.struct(*plain.columns), rank).alias("__row"))
+    kept = rows.filter("not __maybe").select(*plain.columns).unionAll(top.select("__row.*"))
+    return kept.toDF(*docs.columns)

@@ -30,7 +30,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spokewise.llm.batches import SPACED_WORDS, TextSlice, batch_of, find_words, lower_ascii, map_batches, mix, slices, word_hashes
+from spokewise.llm.batches import (
+    SPACED_WORDS,
+    TextSlice,
+    batch_of,
+    by_place,
+    find_words,
+    lower_ascii,
+    map_batches,
+    mix,
+    place_of,
+    slices,
+    word_hashes,
+)
 from spokewise.session import stage
 
 SHINGLE = 5
@@ -429,4 +441,5 @@ def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
     """The rows whose document stands for its group, with all their columns."""
     found = near_duplicates(docs, id_column, text_column, **options)
     gone = found.filter("not kept").select(F.col(f"`{id_column}`").alias("gone_id")).distinct()
-    return docs.join(gone, F.col(f"`{id_column}`") == F.col("gone_id"), "left_anti")
+    kept = by_place(docs).join(gone, F.col(place_of(docs, id_column)) == F.col("gone_id"), "left_anti")
+    return kept.toDF(*docs.columns)

@@ -52,16 +52,14 @@ def features(piece: TextSlice) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.
     begins there. A gram may begin or end with white space but not contain it, so
     grams at word borders differ from inner ones and none spans two texts.
     """
-    joined = b"\n".join(
-        piece.data[a:b].tobytes() for a, b in zip(piece.starts[:-1], piece.starts[1:])
-    )
-    text = (joined + b"\n").decode("utf-8", "replace")
-    chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    # Every row has a line break of its own before it, which the next row's break ends.
+    rows = [piece.data[a:b].tobytes() for a, b in zip(piece.starts[:-1], piece.starts[1:])]
+    joined = b"\n" + b"\n".join(rows) + b"\n"
+    chars = np.frombuffer(joined.decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
     # Where rows start, in characters: bytes that do not continue a character are counted.
-    raw = np.frombuffer(joined + b"\n", dtype=np.uint8)
+    raw = np.frombuffer(joined, dtype=np.uint8)
     before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    byte_starts = piece.starts + np.arange(len(piece.starts))
-    starts = before[np.minimum(byte_starts, len(raw))]
+    starts = before[piece.starts + np.arange(len(piece.starts))]
     space = (chars == 32) | ((chars >= 9) & (chars <= 13))
     padded = np.concatenate([chars, np.full(max(GRAMS), 10, np.uint32)])
     blank = np.concatenate([space, np.ones(max(GRAMS), bool)])

@@ -94,7 +94,7 @@ d AS (SELECT doc_id, row_number() OVER () AS row, text, string_split(text, chr(1
 l AS (SELECT doc_id, row, k, raw[k] AS line, regexp_replace(trim(raw[k]), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m
   FROM (SELECT *, unnest(range(1, len(raw) + 1)) AS k FROM d)),
 p AS (SELECT *, string_split(m, ' ') AS t FROM l WHERE len(string_split(m, ' ')) >= 4),
-u AS (SELECT DISTINCT row, m, t, len(t) || ' ' || array_to_string(t[1:3], ' ') AS leaf FROM p),
+u AS (SELECT DISTINCT row, m, t, len(t) || ' ' || array_to_string(t[1:2], ' ') AS leaf FROM p),
 o AS (SELECT leaf FROM u GROUP BY 1 HAVING count(DISTINCT row) >= 10),
 w AS (SELECT leaf, m, t, count(*) AS weight FROM u SEMI JOIN o USING (leaf) GROUP BY 1, 2, 3),
 z AS (SELECT leaf, sum(weight) AS size FROM w GROUP BY 1),

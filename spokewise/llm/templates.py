@@ -21,9 +21,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from spokewise.llm.batches import by_place, place_of
 from spokewise.session import stage
 
-LEADING = 3
+LEADING = 2
 LEAST_TOKENS = 4
 # Documents a template occurs in, at least, to be dropped.
 LEAST_DOCUMENTS = 10
@@ -93,7 +94,8 @@ def drop_recurring_lines(
 ) -> DataFrame:
     """All columns of ``docs``, the text without recurring lines, and ``n_lines`` and ``n_dropped``."""
     recurring = stage(recurring_lines(docs, text_column, least_documents).select(F.col("masked").alias("r_masked")), "recurring")
-    text = F.col(f"`{text_column}`")
+    names, text_at = docs.columns, place_of(docs, text_column)
+    docs, text = by_place(docs), F.col(text_at)
     key = F.struct(F.xxhash64(text), F.md5(text))
     hits = docs.select(key.alias("text_key"), F.explode(F.array_distinct(masked_lines(text))).alias("masked"))
     hits = hits.join(recurring, F.col("masked") == F.col("r_masked"), "left_semi").distinct()
@@ -106,5 +108,5 @@ def drop_recurring_lines(
     new_text = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda p: p["line"]), "\n"))
     lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long")
     gone = F.when(F.col("gone").isNull(), 0).otherwise(F.size(pieces) - F.size(kept)).cast("long")
-    columns = [new_text.alias(n) if n == text_column else F.col(f"`{n}`") for n in docs.columns]
-    return rows.select(*columns, lines.alias("n_lines"), gone.alias("n_dropped"))
+    columns = [new_text if n == text_at else F.col(n) for n in docs.columns]
+    return rows.select(*columns, lines, gone).toDF(*names, "n_lines", "n_dropped")
