@@ -23,9 +23,11 @@ def number_text(
     """Number with thousands marks, prefix and suffix; the sign comes first."""
     scaled = column * F.lit(scale) if scale != 1.0 else column
     digits = F.format_number(F.abs(scaled), decimals)
+    # What rounds to zero has no sign.
+    nothing = F.lit(f"{0:.{decimals}f}")
     if not thousands:
         digits = F.replace(digits, F.lit(","), F.lit(""))
-    sign = F.when(scaled < 0, "-").otherwise("")
+    sign = F.when((scaled < 0) & (digits != nothing), "-").otherwise("")
     return F.concat(sign, F.lit(prefix), digits, F.lit(suffix))
 
 

@@ -21,15 +21,6 @@ def to_number(text: Column, kind: str = "double") -> Column:
     return text.try_cast(kind)
 
 
-def to_flag(condition: Column) -> Column:
-    """1, 0 or NULL from a condition."""
-    return condition.cast("int")
-
-
-def to_text(column: Column) -> Column:
-    return column.cast("string")
-
-
 def first_case(cases: Sequence[tuple[Column, Column | str]], otherwise: Column | str) -> Column:
     """Value of the first true condition. A NULL condition is no match."""
     result = F

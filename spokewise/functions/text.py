@@ -13,11 +13,11 @@ MISSING_TEXT = "NA"
 
 def detect(text: Column, pattern: str, ignore_case: bool = False) -> Column:
     """True where the regular expression matches anywhere."""
-    return (F.lower(text) if ignore_case else text).rlike(pattern)
+    return text.rlike(f"(?iu){pattern}" if ignore_case else pattern)
 
 
 def flag(text: Column, word: str) -> Column:
-    """1 where the lower-cased text matches, 0 where not, NULL for NULL."""
+    """1 where the text matches in any case, 0 where not, NULL for NULL."""
     return detect(text, word, ignore_case=True).cast("int")
 
 
@@ -101,7 +101,7 @@ def separate(
     Missing pieces on the right are NULL, extra pieces are dropped. The new
     columns stand where the old one stood.
     """
-    pieces = F.split(F.col(column).cast("string"), sep)
+    pieces = F.split(F.col(f"`{column}`").cast("string"), sep)
     new = [F.get(pieces, F.lit(i)).alias(name) for i, name in enumerate(into)]
     chosen: list[Column | str] = []
     for name in df.columns:
@@ -119,7 +119,7 @@ def unite(
     df: DataFrame, name: str, columns: Sequence[str], sep: str = "_", remove: bool = True
 ) -> DataFrame:
     """Join several columns into one text column; NULL reads ``NA``."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(MISSING_TEXT)) for c in columns]
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING_TEXT)) for c in columns]
     joined = F.concat_ws(sep, *parts).alias(name)
     first = next(c for c in df.columns if c in columns)
     chosen: list[Column] = []

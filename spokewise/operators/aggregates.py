@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spokewise.operators.ordering import sort_columns
+from spokewise.operators.ordering import column_of, sort_columns
 from spokewise.session import stage
 
 # Rank error of the sketch that brackets a quantile: one part in so many.
 _SKETCH_ACCURACY = 10_000
-# Up to so many distinct values in all groups together fit into one task.
-FEW_VALUES = 1_000_000
+# Distinct values of one bracket that one task sorts; a bracket with more is narrowed first.
+BRACKET_VALUES = 1_000_000
+# Parts a bracket is cut into to narrow it.
+_PARTS = 64
 
 _VALUE = "__value"
-_WEIGHT = "__weight"
 
 
 def _unless_missing(column: Column, result: Column, na_rm: bool) -> Column:
@@ -46,15 +47,6 @@ def maximum(column: Column, na_rm: bool = False) -> Column:
     return _unless_missing(column, F.max(column), na_rm)
 
 
-def median(column: Column, na_rm: bool = False) -> Column:
-    """Exact median as an aggregate expression.
-
-    It holds the distinct values of a group in one task. For large groups of a
-    continuous measure use :func:`quantiles`.
-    """
-    return _unless_missing(column, F.median(column), na_rm)
-
-
 def summarise(df: DataFrame, keys: Sequence[str | Column] = (), **aggregates: Column) -> DataFrame:
     """One row per group, or one row in all; a NULL key forms a group."""
     return df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
@@ -75,14 +67,14 @@ def missing_share(df: DataFrame) -> DataFrame:
 
 def _per_group(df: DataFrame, facts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Attach to each row the facts of its group as one struct column."""
-    values = F.struct(*[c for c in facts.columns if c not in keys])
+    values = F.struct(*[column_of(c) for c in facts.columns if c not in keys])
     if not keys:
         return df.withColumn(name, facts.select(values).scalar())
-    renamed = facts.select(*[F.col(k).alias(f"__group_{k}") for k in keys], values.alias(name))
+    renamed = facts.select(*[column_of(k).alias(f"__group_{i}") for i, k in enumerate(keys)], values.alias(name))
     test = F.lit(True)
-    for k in keys:
-        test = test & F.col(k).eqNullSafe(F.col(f"__group_{k}"))
-    return df.join(renamed, test, "left").drop(*[f"__group_{k}" for k in keys])
+    for i, k in enumerate(keys):
+        test = test & column_of(k).eqNullSafe(F.col(f"__group_{i}"))
+    return df.join(renamed, test, "left").drop(*[f"__group_{i}" for i in range(len(keys))])
 
 
 def quantiles(
@@ -90,185 +82,202 @@ def quantiles(
     keys: Sequence[str],
     column: str,
     probabilities: dict[str, float],
-    few_values: int = FEW_VALUES,
+    bracket_values: int = BRACKET_VALUES,
 ) -> DataFrame:
     """Exact quantiles per group, with linear interpolation between ranks.
 
     ``probabilities`` maps output names to probabilities; missing values are
-    skipped. Equal values are first counted, with a partial count before the
-    shuffle, and the counts are staged. The built-in exact percentile holds all
-    distinct values of a group in one task, so it runs only when there are few
-    in all; otherwise see :func:`_bracketed_quantiles`.
+    skipped. One pass brackets each quantile by a sketch of fixed size. A second
+    counts what lies below and the equal values inside, so only the few values
+    inside a bracket are shuffled. A bracket with more distinct values than one
+    task should sort is narrowed until it fits.
     """
-    rows, counts = _value_counts(df, keys, column)
-    return _counted_quantiles(rows, counts, keys, probabilities, few_values)
+    rows = _values(df, keys, column)
+    bounds = stage(rows.groupBy(*[column_of(k) for k in keys]).agg(*_sketch(probabilities.values())), "bounds")
+    return _bracketed(rows, bounds, keys, probabilities, bracket_values)
 
 
-def _value_counts(
-    df: DataFrame, keys: Sequence[str], column: str
-) -> tuple[DataFrame, DataFrame]:
-    """The values as numbers, and the staged count of each value (or NULL) per group."""
-    rows = df.select(*keys, F.col(column).cast("double").alias(_VALUE))
-    counts = rows.groupBy(*keys, _VALUE).agg(F.count(F.lit(1)).alias(_WEIGHT))
-    return rows, stage(counts, "counts")
+def medians(
+    df: DataFrame, keys: Sequence[str], column: str, name: str = "median", na_rm: bool = False
+) -> DataFrame:
+    """Exact median per group; NULL if a value is missing, unless missing values are to be skipped."""
+    found = quantiles(df, keys, column, {name: 0.5})
+    if na_rm:
+        return found
+    missing = summarise(df, [column_of(k) for k in keys], __missing=F.max(column_of(column).isNull()))
+    strict = F.when(~F.col("__missing"), F.col(name)).alias(name)
+    return with_group_facts(found, missing, keys).select(*[column_of(k) for k in keys], strict)
 
 
-def _counted_quantiles(
-    rows: DataFrame,
-    counts: DataFrame,
-    keys: Sequence[str],
-    probabilities: dict[str, float],
-    few_values: int = FEW_VALUES,
-) -> DataFrame:
-    present = F.col(_VALUE).isNotNull()
-    rows, counts = rows.filter(present), counts.filter(present)
-    if counts.count() > few_values:
-        return _bracketed_quantiles(rows, counts, keys, probabilities)
-    marks = F.percentile(_VALUE, list(probabilities.values()), F.col(_WEIGHT))
-    found = counts.groupBy(*keys).agg(marks.alias("__marks"))
-    picked = [F.get("__marks", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
-    return found.select(*keys, *picked)
-
-
-def _bracketed_quantiles(
-    rows: DataFrame, counts: DataFrame, keys: Sequence[str], probabilities: dict[str, float]
-) -> DataFrame:
-    """Exact quantiles of groups with any number of distinct values.
+def _values(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    return df.select(*[column_of(k) for k in keys], column_of(column).cast("double").alias(_VALUE))
 
-    A sketch of fixed size first brackets each quantile, exact counts check the
-    bracket, and only the few values inside are sorted. A bracket that fails
-    the check is replaced by the whole range, so the result is always exact.
-    The per-group tables are staged, so that their written size tells Spark
-    whether to broadcast them.
-    """
-    value, weight = _VALUE, _WEIGHT
-    names, probs = list(probabilities), list(probabilities.values())
-    bounds = stage(_sketched(rows, keys, value, probs), "bounds")
-    targets = stage(_checked(counts, bounds, keys, probs), "targets")
-
-    inside = (
-        _per_group(counts, targets, keys, "__g")
-        .withColumn(
-            "__t",
-            F.explode(F.filter("__g.__targets", lambda t: F.col(value).between(t["low"], t["high"]))),
+
+def _sketch(probabilities: Iterable[float]) -> list[Column]:
+    """Aggregates of a group: its values' count and range, and marks around each quantile."""
+    slack = 2.0 / _SKETCH_ACCURACY
+    probs = list(probabilities)
+    marks = [max(p - slack, 0.0) for p in probs] + [min(p + slack, 1.0) for p in probs]
+    return [
+        F.count(_VALUE).alias("__n"),
+        F.min(_VALUE).alias("__least"),
+        F.max(_VALUE).alias("__greatest"),
+        F.percentile_approx(_VALUE, marks, _SKETCH_ACCURACY).alias("__marks"),
+    ]
+
+
+def _targets(bounds: DataFrame, keys: Sequence[str], probs: Sequence[float], whole: bool = False) -> DataFrame:
+    """Per group the ranks to find for each quantile, and the range of values to look in."""
+    targets = []
+    for i, p in enumerate(probs):
+        at = (F.col("__n") - 1) * F.lit(p)
+        low = F.col("__least") if whole else F.col("__marks")[i]
+        high = F.col("__greatest") if whole else F.col("__marks")[len(probs) + i]
+        targets.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                (F.floor(at) + 1).alias("first"),
+                (F.ceil(at) + 1).alias("last"),
+                (at - F.floor(at)).alias("part"),
+                low.alias("low"),
+                high.alias("high"),
+            )
         )
-        .select(*keys, value, weight, "__t")
+    return bounds.filter("__n > 0").select(*[column_of(k) for k in keys], F.array(*targets).alias("__targets"))
+
+
+def _inside(rows: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per group and quantile the weight of each value in the bracket; NULL for all below it."""
+    value = F.col(_VALUE)
+    wanted = F.filter(F.col("__g.__targets"), lambda t: value <= t["high"])
+    each = F.transform(wanted, lambda t: F.struct(t["i"].alias("i"), F.when(value >= t["low"], value).alias("v")))
+    found = _per_group(rows.filter(value.isNotNull()), targets, keys, "__g").select(
+        *[column_of(k) for k in keys], F.explode(each).alias("__t")
+    )
+    grouping = [*[column_of(k) for k in keys], F.col("__t.i").alias("__i"), F.col("__t.v").alias("__v")]
+    return stage(found.groupBy(*grouping).agg(F.count(F.lit(1)).alias("__w")), "inside")
+
+
+def _brackets(inside: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per group and quantile: what is below, what is inside, and the ranks to find."""
+    value, weight = F.col("__v"), F.col("__w")
+    tallied = inside.groupBy(*[column_of(k) for k in keys], "__i").agg(
+        F.coalesce(F.sum(F.when(value.isNull(), weight)), F.lit(0)).alias("__below"),
+        F.coalesce(F.sum(F.when(value.isNotNull(), weight)), F.lit(0)).alias("__within"),
+        F.count(value).alias("__distinct"),
     )
+    ranks = targets.select(*[column_of(k) for k in keys], F.inline("__targets"))
+    ranks = ranks.select(*[column_of(k) for k in keys], F.col("i").alias("__i"), "first", "last", "part")
+    return with_group_facts(ranks, tallied, [*keys, "__i"])
+
+
+def _bracketed(
+    rows: DataFrame, bounds: DataFrame, keys: Sequence[str], probabilities: dict[str, float], bracket_values: int
+) -> DataFrame:
+    names, probs = list(probabilities), list(probabilities.values())
+    places = [*keys, "__i"]
+    targets = _targets(bounds, keys, probs)
+    inside = _inside(rows, targets, keys)
+    brackets = stage(_brackets(inside, targets, keys), "brackets")
+    found = brackets.agg(
+        F.max(~F.coalesce((F.col("__below") < F.col("first")) & (F.col("__below") + F.col("__within") >= F.col("last")), F.lit(False))),
+        F.max("__distinct"),
+    ).first()
+    if found[0]:
+        # A sketch worse than its promise: look through the whole range instead.
+        targets = _targets(bounds, keys, probs, whole=True)
+        inside = _inside(rows, targets, keys)
+        brackets = stage(_brackets(inside, targets, keys), "brackets")
+        found = brackets.agg(F.lit(False), F.max("__distinct")).first()
+    inside = inside.filter("__v is not null")
+    most = found[1] or 0
+    while most > bracket_values:
+        inside, brackets = _narrowed(inside, brackets, places)
+        narrower = brackets.agg(F.max("__distinct")).first()[0]
+        if narrower >= most:
+            break
+        most = narrower
     so_far = (
-        Window.partitionBy(*keys, "__t.i")
-        .orderBy(value)
+        Window.partitionBy(*[column_of(k) for k in places])
+        .orderBy("__v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = inside.withColumn("__rank", F.col("__t.below") + F.sum(weight).over(so_far))
+    ranked = _per_group(inside, brackets, places, "__b").withColumn("__rank", F.col("__b.__below") + F.sum("__w").over(so_far))
     picked = []
     for i, name in enumerate(names):
-        own, rank = F.col("__t.i") == i, F.col("__rank")
-        low = F.min(F.when(own & (rank >= F.col("__t.first")), F.col(value)))
-        high = F.min(F.when(own & (rank >= F.col("__t.last")), F.col(value)))
-        part = F.max(F.when(own, F.col("__t.part")))
+        own, rank = F.col("__i") == i, F.col("__rank")
+        low = F.min(F.when(own & (rank >= F.col("__b.first")), F.col("__v")))
+        high = F.min(F.when(own & (rank >= F.col("__b.last")), F.col("__v")))
+        part = F.max(F.when(own, F.col("__b.part")))
         picked.append((low + (high - low) * part).alias(name))
-    return ranked.groupBy(*keys).agg(*picked)
+    return ranked.groupBy(*[column_of(k) for k in keys]).agg(*picked)
 
 
-def _sketched(
-    rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
-) -> DataFrame:
-    """Per group the count, the range, and marks just below and above each quantile."""
-    slack = 2.0 / _SKETCH_ACCURACY
-    below = [max(p - slack, 0.0) for p in probs]
-    above = [min(p + slack, 1.0) for p in probs]
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min(value).alias("__least"),
-        F.max(value).alias("__greatest"),
-        F.percentile_approx(value, below + above, _SKETCH_ACCURACY).alias("__marks"),
+def _narrowed(inside: DataFrame, brackets: DataFrame, places: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Cut each bracket into parts of about as many distinct values, and keep those with the ranks."""
+    cuts = inside.groupBy(*[column_of(k) for k in places]).agg(
+        F.percentile_approx("__v", [k / _PARTS for k in range(1, _PARTS)], _SKETCH_ACCURACY).alias("cuts")
     )
-
-
-def _checked(
-    counts: DataFrame, bounds: DataFrame, keys: Sequence[str], probs: Sequence[float]
-) -> DataFrame:
-    """Per group and quantile the ranks to find, and the value range that surely holds them."""
-    value, weight = F.col(_VALUE), F.col(_WEIGHT)
-
-    def weight_where(test: Column) -> Column:
-        return F.coalesce(F.sum(F.when(test, weight)), F.lit(0))
-
-    tallies = []
-    for i in range(len(probs)):
-        low, high = F.col("__b.__marks")[i], F.col("__b.__marks")[len(probs) + i]
-        tallies.append(weight_where(value < low).alias(f"__below_{i}"))
-        tallies.append(weight_where(value <= high).alias(f"__upto_{i}"))
-    targets = []
-    for i, p in enumerate(probs):
-        low, high = F.col("__b.__marks")[i], F.col("__b.__marks")[len(probs) + i]
-        at = (F.col("__b.__n") - 1) * F.lit(p)
-        first, last = F.floor(at) + 1, F.ceil(at) + 1
-        holds = (F.col(f"__below_{i}") < first) & (F.col(f"__upto_{i}") >= last)
-        targets.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                first.alias("first"),
-                last.alias("last"),
-                (at - F.floor(at)).alias("part"),
-                F.when(holds, low).otherwise(F.col("__b.__least")).alias("low"),
-                F.when(holds, high).otherwise(F.col("__b.__greatest")).alias("high"),
-                F.when(holds, F.col(f"__below_{i}")).otherwise(0).alias("below"),
-            )
-        )
-    # The bounds are joined twice: carried through the aggregate, a struct would
-    # force it to sort all rows.
-    tallied = _per_group(counts, bounds, keys, "__b").groupBy(*keys).agg(*tallies)
-    return _per_group(tallied, bounds, keys, "__b").select(*keys, F.array(*targets).alias("__targets"))
+    parted = _per_group(inside, cuts, places, "__c").withColumn(
+        "__part", F.size(F.filter(F.col("__c.cuts"), lambda c: c < F.col("__v")))
+    )
+    parted = stage(parted.drop("__c"), "parted")
+    sizes = parted.groupBy(*[column_of(k) for k in places], "__part").agg(F.sum("__w").alias("__size"), F.count(F.lit(1)).alias("__values"))
+    ahead = Window.partitionBy(*[column_of(k) for k in places]).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = _per_group(sizes, brackets, places, "__b").withColumn(
+        "__start", F.col("__b.__below") + F.coalesce(F.sum("__size").over(ahead), F.lit(0))
+    )
+    holds = (F.col("__start") < F.col("__b.last")) & (F.col("__start") + F.col("__size") >= F.col("__b.first"))
+    kept = stage(sizes.filter(holds), "parts")
+    narrower = kept.groupBy(*[column_of(k) for k in places]).agg(
+        F.first("__b.first").alias("first"),
+        F.first("__b.last").alias("last"),
+        F.first("__b.part").alias("part"),
+        F.min("__start").alias("__below"),
+        F.sum("__size").alias("__within"),
+        F.sum("__values").alias("__distinct"),
+        F.min("__part").alias("__from"),
+        F.max("__part").alias("__to"),
+    )
+    narrower = stage(narrower, "brackets")
+    chosen = _per_group(parted, narrower, places, "__b").filter(F.col("__part").between(F.col("__b.__from"), F.col("__b.__to")))
+    return stage(chosen.drop("__b", "__part"), "inside"), narrower
 
 
 def with_group_facts(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-join per-group columns onto a table; a NULL key matches a NULL key."""
     joined = _per_group(df, facts, keys, "__facts")
     names = [c for c in facts.columns if c not in keys]
-    return joined.select(*df.columns, *[F.col(f"__facts.{n}").alias(n) for n in names])
+    return joined.select(*[column_of(c) for c in df.columns], *[F.col(f"__facts.{n}").alias(n) for n in names])
 
 
 def six_statistics(
-    df: DataFrame, keys: Sequence[str], column: str, few_values: int = FEW_VALUES
+    df: DataFrame, keys: Sequence[str], column: str, bracket_values: int = BRACKET_VALUES
 ) -> DataFrame:
     """Count, mean, median, standard deviation, minimum and maximum per group.
 
     Mean and median skip missing values; the other three are NULL if one is
-    missing. All of it comes from the counted values, so the table is read once.
+    missing. The pass that sketches the median takes the other five along.
     """
-    rows, counts = _value_counts(df, keys, column)
-    x, w = F.col(_VALUE), F.col(_WEIGHT)
-    known = F.when(x.isNotNull(), w)
-    sums = stage(
-        summarise(
-            counts,
-            keys,
-            __rows=F.sum(w),
-            __known=F.coalesce(F.sum(known), F.lit(0)),
-            __mean=F.try_divide(F.sum(x * w), F.sum(known)),
-            __min=F.min(x),
-            __max=F.max(x),
-        ),
-        "sums",
-    )
-    spread = summarise(
-        _per_group(counts, sums, keys, "__s"),
-        keys,
-        __squares=F.sum(w * F.pow(x - F.col("__s.__mean"), F.lit(2))),
-    )
-    middle = _counted_quantiles(rows, counts, keys, {"__median": 0.5}, few_values)
-    joined = with_group_facts(with_group_facts(sums, spread, keys), middle, keys)
-    whole = F.col("__known") == F.col("__rows")
-    variance = F.try_divide(F.col("__squares"), F.col("__rows") - 1)
+    rows, x = _values(df, keys, column), F.col(_VALUE)
+    measures = [
+        F.count(F.lit(1)).alias("__rows"),
+        F.avg(x).alias("__mean"),
+        F.stddev_samp(x).alias("__sd"),
+        *_sketch([0.5]),
+    ]
+    facts = stage(rows.groupBy(*[column_of(k) for k in keys]).agg(*measures), "bounds")
+    middle = _bracketed(rows, facts, keys, {"__median": 0.5}, bracket_values)
+    joined = with_group_facts(facts, middle, keys)
+    whole = F.col("__n") == F.col("__rows")
     return joined.select(
-        *keys,
+        *[column_of(k) for k in keys],
         F.col("__rows").alias("count"),
         F.col("__mean").alias(f"avg_{column}"),
         F.col("__median").alias(f"median_{column}"),
-        F.when(whole, F.sqrt(variance)).alias(f"sd_{column}"),
-        F.when(whole, F.col("__min")).alias(f"min_{column}"),
-        F.when(whole, F.col("__max")).alias(f"max_{column}"),
+        F.when(whole, F.col("__sd")).alias(f"sd_{column}"),
+        F.when(whole, F.col("__least")).alias(f"min_{column}"),
+        F.when(whole, F.col("__greatest")).alias(f"max_{column}"),
     )
 
 
@@ -308,28 +317,23 @@ def with_trend(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataF
 
 
 def box_statistics(
-    df: DataFrame, keys: Sequence[str], column: str, few_values: int = FEW_VALUES
+    df: DataFrame, keys: Sequence[str], column: str, bracket_values: int = BRACKET_VALUES
 ) -> DataFrame:
-    """Quartiles, whisker ends within 1.5 quartile ranges, and outliers per group.
-
-    All of it comes from the counted values, so the table is read once.
-    """
-    rows, counts = _value_counts(df, keys, column)
+    """Quartiles, whisker ends within 1.5 quartile ranges, and outliers per group."""
     quarters = {"least": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "greatest": 1.0}
-    marks = _counted_quantiles(rows, counts, keys, quarters, few_values)
-    counts = counts.filter(F.col(_VALUE).isNotNull())
+    marks = quantiles(df, keys, column, quarters, bracket_values)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     marks = stage(
         marks.withColumns({"__low": F.col("q1") - reach, "__high": F.col("q3") + reach}), "marks"
     )
-    x = F.col(_VALUE)
+    rows, x = _values(df, keys, column), F.col(_VALUE)
     inside = x.between(F.col("__m.__low"), F.col("__m.__high"))
     measured = summarise(
-        _per_group(counts, marks, keys, "__m"),
+        _per_group(rows.filter(x.isNotNull()), marks, keys, "__m"),
         keys,
         whisker_low=F.min(F.when(inside, x)),
         whisker_high=F.max(F.when(inside, x)),
-        outliers=F.coalesce(F.sum(F.when(~inside, F.col(_WEIGHT))), F.lit(0)),
+        outliers=F.count(F.when(~inside, 1)),
     )
     fixed = [F.col(f"__m.{n}").alias(n) for n in quarters]
     return _per_group(measured, marks, keys, "__m").select(

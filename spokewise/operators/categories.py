@@ -8,28 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spokewise.operators.aggregates import quantiles
-from spokewise.operators.ordering import Order, order_names, sort_columns
+from spokewise.operators.ordering import Order, column_of, order_names
 from spokewise.operators.positions import row_index
 from spokewise.session import stage
 
-# Up to here levels are numbered in one task, beyond by range partitions.
-FEW_LEVELS = 100_000
-
 
 def _numbered(levels: DataFrame, order_by: Order) -> DataFrame:
-    """Number the levels in the given order, by the measured size of the level table."""
-    staged = stage(levels, "levels")
-    if staged.count() <= FEW_LEVELS:
-        code = F.row_number().over(Window.orderBy(*sort_columns(order_by)))
-        return staged.select("level", code.alias("code"))
-    return row_index(staged, order_by, "code").select("level", F.col("code").cast("int"))
+    """Number the levels in the given order, partition by partition of a range sort."""
+    return row_index(levels, order_by, "code").select("level", F.col("code").cast("int"))
 
 
 def _present(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNotNull())
+    return df.filter(column_of(column).isNotNull())
 
 
 def levels_by_appearance(df: DataFrame, column: str, order_by: Order) -> DataFrame:
@@ -43,16 +36,16 @@ def levels_by_appearance(df: DataFrame, column: str, order_by: Order) -> DataFra
     if any(key.startswith("-") for key in order_by):
         raise ValueError("the order of appearance sorts upwards; negate the column instead")
     if len(names) == 1:
-        first = F.min(names[0])
+        first = F.min(column_of(names[0]))
     else:
-        first = F.min(F.struct(*[F.struct(F.col(n).isNull(), F.col(n)) for n in names]))
-    levels = _present(df, column).groupBy(F.col(column).alias("level")).agg(first.alias("__first"))
+        first = F.min(F.struct(*[F.struct(column_of(n).isNull(), column_of(n)) for n in names]))
+    levels = _present(df, column).groupBy(column_of(column).alias("level")).agg(first.alias("__first"))
     return _numbered(levels, ["__first", "level"])
 
 
 def levels_by_value(df: DataFrame, column: str) -> DataFrame:
     """Levels in alphabetic order, or numbers by value."""
-    levels = _present(df, column).select(F.col(column).alias("level")).distinct()
+    levels = _present(df, column).select(column_of(column).alias("level")).distinct()
     return _numbered(levels, ["level"])
 
 
@@ -74,8 +67,8 @@ def levels_by_summary(
 
 def levels_by_last(df: DataFrame, column: str, x: str, y: str) -> DataFrame:
     """Levels by their ``y`` at the greatest ``x``, largest first."""
-    rows = _present(df, column).filter(F.col(y).isNotNull() & F.col(x).isNotNull())
-    levels = rows.groupBy(F.col(column).alias("level")).agg(F.max_by(y, x).alias("__last"))
+    rows = _present(df, column).filter(column_of(y).isNotNull() & column_of(x).isNotNull())
+    levels = rows.groupBy(column_of(column).alias("level")).agg(F.max_by(column_of(y), column_of(x)).alias("__last"))
     return _numbered(levels, ["-__last", "level"])
 
 
@@ -109,7 +102,7 @@ def with_codes(df: DataFrame, column: str, levels: DataFrame, name: str | None =
     codes = levels.select(
         F.col("level").alias("__level"), F.col("code").alias(name or f"{column}_code")
     )
-    return df.join(codes, F.col(column) == F.col("__level"), "left").drop("__level")
+    return df.join(codes, column_of(column) == F.col("__level"), "left").drop("__level")
 
 
 def lump(
@@ -123,18 +116,18 @@ def lump(
     """
     if n < 1:
         raise ValueError("keep at least one value")
-    measure = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+    measure = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(column_of(weight)), F.lit(0))
     present = _present(df, column)
     # Staged, so that its written size tells Spark whether to broadcast it.
     weights = stage(
-        present.groupBy(F.col(column).alias("__level")).agg(measure.alias("__w")), "weights"
+        present.groupBy(column_of(column).alias("__level")).agg(measure.alias("__w")), "weights"
     )
     heaviest = weights.select("__w").orderBy(F.col("__w").desc_nulls_last()).limit(n)
     light = weights.filter(F.col("__w") < heaviest.agg(F.min("__w")).scalar())
     several = light.agg(F.count(F.lit(1))).scalar() > 1
     renamed = light.filter(several).select("__level", F.lit(True).alias("__light"))
     return (
-        df.join(renamed, F.col(column) == F.col("__level"), "left")
-        .withColumn(column, F.when(F.col("__light"), other).otherwise(F.col(column)))
+        df.join(renamed, column_of(column) == F.col("__level"), "left")
+        .withColumn(column, F.when(F.col("__light"), other).otherwise(column_of(column)))
         .drop("__level", "__light")
     )

@@ -137,14 +137,17 @@ def rename_with(
 def clean_names(df: DataFrame) -> DataFrame:
     """Make all names unique, lower-case and underscored."""
     seen: dict[str, int] = {}
-    names = []
+    names: list[str] = []
     for name in df.columns:
         clean = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name)
         clean = re.sub(r"[^0-9a-z]+", "_", clean.lower()).strip("_")
         if not clean or clean[0].isdigit():
             clean = "x" + clean
-        seen[clean] = seen.get(clean, 0) + 1
-        names.append(clean if seen[clean] == 1 else f"{clean}_{seen[clean]}")
+        unique = clean
+        while unique in names:
+            seen[clean] = seen.get(clean, 1) + 1
+            unique = f"{clean}_{seen[clean]}"
+        names.append(unique)
     return df.toDF(*names)
 
 
@@ -180,7 +183,7 @@ def describe_columns(df: DataFrame) -> DataFrame:
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: rows, missing rows, and mean, min, max of numbers.
+    """One row per column: rows, missing rows, mean, sd, min, max of numbers, text lengths.
 
     All figures come from one aggregate over the table.
     """
@@ -190,6 +193,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         column = F.col(quoted(field.name))
         number = isinstance(field.dataType, NumericType)
         value = column.cast("double") if number else F.lit(None).cast("double")
+        length = F.length(column) if isinstance(field.dataType, StringType) else F.lit(None).cast("int")
         entries.append(
             F.struct(
                 F.lit(field.name).alias("column"),
@@ -199,6 +203,9 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
                 F.stddev_samp(value).alias("sd"),
                 F.min(value).alias("min"),
                 F.max(value).alias("max"),
+                F.min(length).alias("shortest"),
+                F.max(length).alias("longest"),
+                F.count(F.when(length == 0, 1)).alias("empty"),
             )
         )
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))

@@ -12,24 +12,37 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from spokewise.operators.ordering import Order
+from spokewise.operators.ordering import Order, column_of
 from spokewise.operators.positions import PlacedRows
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, on: dict[str, str] | Sequence[str], na_matches: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    on: dict[str, str] | Sequence[str],
+    na_matches: bool = False,
+    suffixes: tuple[str, str] = (".x", ".y"),
 ) -> DataFrame:
     """Keep all left rows and all matches; the right key columns are dropped.
 
     ``on`` maps left to right names, or lists shared names. With
-    ``na_matches`` a NULL key matches a NULL key.
+    ``na_matches`` a NULL key matches a NULL key. Other names on both sides
+    get the suffixes; a suffixed name that is taken already is an error.
     """
     pairs = on if isinstance(on, dict) else {name: name for name in on}
     keys = {old: f"__right_{i}" for i, old in enumerate(pairs.values())}
-    right = right.withColumnsRenamed(keys)
+    shared = {c for c in left.columns if c in right.columns and c not in keys}
+    for suffix in suffixes:
+        taken = {c + suffix for c in shared} & {*left.columns, *right.columns}
+        if taken:
+            raise ValueError(f"names are taken: {sorted(taken)}")
+    # A left key keeps its name, as the join condition and the result need it.
+    left_names = {c: c + suffixes[0] for c in shared if c not in pairs}
+    left = left.withColumnsRenamed(left_names)
+    right = right.withColumnsRenamed(keys | {c: c + suffixes[1] for c in shared})
     tests = []
     for name, old in pairs.items():
-        a, b = F.col(name), F.col(keys[old])
+        a, b = column_of(name), F.col(keys[old])
         tests.append(a.eqNullSafe(b) if na_matches else a == b)
     joined = left.join(right, reduce(lambda a, b: a & b, tests), "left")
     return joined.drop(*keys.values())
@@ -44,7 +57,7 @@ def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, dict[str, str]]) ->
 
 def cast_keys(df: DataFrame, *keys: str, to: str = "bigint") -> DataFrame:
     """Bring join keys to one type; text that is no number becomes NULL."""
-    return df.withColumns({k: F.col(k).try_cast(to) for k in keys})
+    return df.withColumns({k: column_of(k).try_cast(to) for k in keys})
 
 
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:

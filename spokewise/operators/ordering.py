@@ -15,6 +15,11 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 Order = Sequence[str]
 
 
+def column_of(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def order_names(order_by: Order) -> list[str]:
     return [key.removeprefix("-") for key in order_by]
 
@@ -23,7 +28,7 @@ def sort_columns(order_by: Order, reverse: bool = False) -> list[Column]:
     """Spark sort expressions of an order, or of its exact mirror image."""
     columns = []
     for key in order_by:
-        column = F.col(key.removeprefix("-"))
+        column = column_of(key.removeprefix("-"))
         down = key.startswith("-")
         if reverse:
             columns.append(column.asc_nulls_first() if down else column.desc_nulls_first())
@@ -50,7 +55,7 @@ def key_columns(df: DataFrame, order_by: Order) -> list[Column]:
     columns = []
     for name in order_names(order_by):
         moment = isinstance(df.schema[name].dataType, TimestampType)
-        columns.append(F.unix_micros(name).alias(name) if moment else F.col(name))
+        columns.append(F.unix_micros(column_of(name)).alias(name) if moment else column_of(name))
     return columns
 
 
@@ -78,7 +83,7 @@ def at_or_before(df: DataFrame, order_by: Order, cut: Row) -> Column:
     result = F.lit(True)
     for key in reversed(order_by):
         name, down = key.removeprefix("-"), key.startswith("-")
-        column = F.col(name)
+        column = column_of(name)
         if cut[name] is None:
             earlier, equal = column.isNotNull(), column.isNull()
         else:
@@ -93,7 +98,7 @@ def after(df: DataFrame, order_by: Order, cut: Row) -> Column:
     result = F.lit(False)
     for key in reversed(order_by):
         name, down = key.removeprefix("-"), key.startswith("-")
-        column = F.col(name)
+        column = column_of(name)
         if cut[name] is None:
             later, equal = F.lit(False), column.isNull()
         else:

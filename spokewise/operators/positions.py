@@ -19,6 +19,7 @@ from spokewise.operators.ordering import (
     Order,
     after,
     at_or_before,
+    column_of,
     key_columns,
     same_keys,
     sort_columns,
@@ -165,8 +166,8 @@ def null_first_rows(df: DataFrame, column: str, order_by: Order, count: int) ->
     if cuts is None:
         name = "__row_index"
         indexed = row_index(df, order_by, name)
-        return indexed.withColumn(column, F.when(F.col(name) > count, F.col(column))).drop(name)
-    return df.withColumn(column, F.when(cuts[0][1], F.col(column)))
+        return indexed.withColumn(column, F.when(F.col(name) > count, column_of(column))).drop(name)
+    return df.withColumn(column, F.when(cuts[0][1], column_of(column)))
 
 
 def bucket_ends(count: int, buckets: int) -> list[int]:
@@ -184,7 +185,7 @@ def equal_buckets(
     themselves are then labelled in place, without a shuffle.
     """
     order_by = [column, *tie_break]
-    present = df.filter(F.col(column).isNotNull())
+    present = df.filter(column_of(column).isNotNull())
     placed = PlacedRows(present.select(*key_columns(df, order_by)), order_by)
     ends = bucket_ends(placed.count, buckets)
     wanted = {q for p in ends for q in (p, p + 1) if 1 <= q <= placed.count}
@@ -199,7 +200,7 @@ def equal_buckets(
         if same_keys(rows[end], rows[end + 1], order_by):
             return _buckets_by_index(df, order_by, ends, name)
         label = label + after(df, order_by, rows[end]).cast("int")
-    return df.withColumn(name, F.when(F.col(column).isNotNull(), label))
+    return df.withColumn(name, F.when(column_of(column).isNotNull(), label))
 
 
 def _buckets_by_index(df: DataFrame, order_by: Order, ends: list[int], name: str) -> DataFrame:
@@ -208,6 +209,6 @@ def _buckets_by_index(df: DataFrame, order_by: Order, ends: list[int], name: str
     label = F.lit(1)
     for end in ends[:-1]:
         label = label + (F.col(position) > end).cast("int")
-    column = F.col(order_by[0].removeprefix("-"))
+    column = column_of(order_by[0].removeprefix("-"))
     indexed = row_index(df, order_by, position)
     return indexed.withColumn(name, F.when(column.isNotNull(), label)).drop(position)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from spokewise.functions.numbers import to_number
 from spokewise.functions.text import remove_all
 from spokewise.operators.columns import quoted
+from spokewise.operators.ordering import column_of
 
 
 # Name of the column for a missing key.
@@ -16,15 +17,22 @@ MISSING_KEY = "<NA>"
 
 
 def spread(
-    df: DataFrame, ids: Sequence[str], key: str, value: str, values: Sequence[str] | None = None
+    df: DataFrame,
+    ids: Sequence[str],
+    key: str,
+    value: str,
+    values: Sequence[str] | None = None,
+    only_these: bool = False,
 ) -> DataFrame:
     """One column per key value; a missing cell is NULL, a repeated cell an error.
 
     Pass the key values where they are known: that saves a job over the table.
+    A row whose key is not among them, or is NULL, is an error, unless
+    ``only_these`` asks to leave such rows out.
     """
     if values is None:
         limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        found = [row[0] for row in df.select(key).distinct().limit(limit + 1).collect()]
+        found = [row[0] for row in df.select(column_of(key)).distinct().limit(limit + 1).collect()]
         if len(found) > limit:
             raise ValueError(f"more than {limit} values of {key}")
         missing = None in found
@@ -33,12 +41,17 @@ def spread(
         missing = MISSING_KEY in values
     if missing:
         values = [str(v) for v in values if v != MISSING_KEY] + [MISSING_KEY]
-        text = F.coalesce(F.col(key).cast("string"), F.lit(MISSING_KEY))
+        text = F.coalesce(column_of(key).cast("string"), F.lit(MISSING_KEY))
         df = df.withColumn(key, text)
     error = F.raise_error(F.lit(f"more than one row for a value of {key}"))
-    cell = F.when(F.count(F.lit(1)) > 1, error).otherwise(F.first(value))
+    content = column_of(value)
+    if not only_these:
+        # Checked where the cells are filled, so it costs no pass of its own.
+        listed = F.coalesce(column_of(key).isin(list(values)), F.lit(False))
+        content = F.when(listed, content).otherwise(F.raise_error(F.lit(f"a value of {key} is not listed")))
+    cell = F.when(F.count(F.lit(1)) > 1, error).otherwise(F.first(content))
     # The key itself is pivoted, so a table just summed by it is not shuffled again.
-    return df.groupBy(*ids).pivot(key, list(values)).agg(cell)
+    return df.groupBy(*[column_of(c) for c in ids]).pivot(key, list(values)).agg(cell)
 
 
 def gather(

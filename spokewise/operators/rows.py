@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spokewise.operators.ordering import all_of_conditions
+from spokewise.operators.ordering import all_of_conditions, column_of
 
 
 def keep_rows(df: DataFrame, *conditions: Column) -> DataFrame:
@@ -21,14 +21,14 @@ def not_in(column: Column, values: Sequence[object]) -> Column:
 
 def above_mean(df: DataFrame, column: str) -> DataFrame:
     """Rows whose value is above the mean of the table (a scalar subquery)."""
-    return df.filter(F.col(column) > df.agg(F.avg(column)).scalar())
+    return df.filter(column_of(column) > df.agg(F.avg(column_of(column))).scalar())
 
 
 def present(df: DataFrame, *columns: str) -> DataFrame:
     """Rows with a value in every named column."""
-    return keep_rows(df, *[F.col(c).isNotNull() for c in columns])
+    return keep_rows(df, *[column_of(c).isNotNull() for c in columns])
 
 
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct rows, or distinct combinations of the named columns only."""
-    return (df.select(*columns) if columns else df).distinct()
+    return (df.select(*[column_of(c) for c in columns]) if columns else df).distinct()

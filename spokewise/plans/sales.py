@@ -53,26 +53,39 @@ def sales_model(
     bikes: DataFrame | None,
     shops: DataFrame | None,
     columns: Sequence[str] = SALES_COLUMNS,
+    places: DataFrame | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Order lines with the wanted sales columns.
 
-    A dimension none of whose columns is wanted is not joined, and may be None.
-    That needs its key to be unique, as in a proper dimension (see
-    ``repeated_keys``). Texts are split in the dimensions, once per product and
-    shop, not per order line.
+    With ``unique_keys`` the caller vouches for dimensions without repeated keys
+    (see ``repeated_keys``). Then one none of whose columns is wanted is not
+    joined, and may be None: it can change neither rows nor columns. Texts are
+    split in the dimensions, once per product and shop, not per order line.
+
+    Shops hold their ``location``, or a ``place_id`` of the table ``places``
+    (place_id, location). That one is joined after the shops, so that each join
+    has a plain table on its right, whose size Spark knows.
     """
     wanted = set(columns)
     sales = order_lines
-    if wanted & PRICED:
+    if not unique_keys or wanted & PRICED:
         products = cast_keys(split_description(bikes), "bike_id")
         keep = [c for c in PRODUCT_COLUMNS if c in wanted or c == "price"]
         products = pick(products, "bike_id", keep)
         sales = left_join(cast_keys(sales, "product_id"), products, {"product_id": "bike_id"})
         sales = sales.withColumn("total_price", F.col("quantity") * F.col("price"))
-    if wanted & set(SHOP_COLUMNS):
-        places = cast_keys(split_location(shops), "bikeshop_id")
-        places = pick(places, "bikeshop_id", [c for c in SHOP_COLUMNS if c in wanted])
-        sales = left_join(cast_keys(sales, "customer_id"), places, {"customer_id": "bikeshop_id"})
+    placed = wanted & {"city", "state"}
+    if not unique_keys or wanted & set(SHOP_COLUMNS):
+        if places is None:
+            shops = split_location(shops)
+        elif unique_keys and not placed:
+            shops = shops.drop("place_id")
+        own = [c for c in (*SHOP_COLUMNS, "place_id") if c in shops.columns]
+        shops = pick(cast_keys(shops, "bikeshop_id"), "bikeshop_id", own)
+        sales = left_join(cast_keys(sales, "customer_id"), shops, {"customer_id": "bikeshop_id"})
+        if places is not None and (not unique_keys or placed):
+            sales = left_join(sales, split_location(places), {"place_id": "place_id"})
     return pick(sales, list(columns))
 
 
@@ -149,25 +162,37 @@ class SalesTables:
             F.col("p_retailprice").alias("price"),
         )
 
-    def shops(self) -> DataFrame:
-        nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
-        region = self.table("region").select("r_regionkey", "r_name")
-        places = left_join(nation, region, {"n_regionkey": "r_regionkey"})
-        customers = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
-        return left_join(customers, places, {"c_nationkey": "n_nationkey"}).select(
+    def shop_names(self) -> DataFrame:
+        return self.table("customer").select(
             F.col("c_custkey").alias("bikeshop_id"),
             F.col("c_name").alias("bikeshop_name"),
-            F.concat("n_name", F.lit(", "), "r_name").alias("location"),
+            F.col("c_nationkey").alias("place_id"),
         )
 
+    def places(self) -> DataFrame:
+        nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
+        region = self.table("region").select("r_regionkey", "r_name")
+        return left_join(nation, region, {"n_regionkey": "r_regionkey"}).select(
+            F.col("n_nationkey").alias("place_id"), F.concat("n_name", F.lit(", "), "r_name").alias("location")
+        )
+
+    def shops(self) -> DataFrame:
+        return left_join(self.shop_names(), self.places(), {"place_id": "place_id"}).drop("place_id")
+
     def sales(self, *columns: str) -> DataFrame:
-        """The sales table, or only the given columns of it and the joins they need."""
+        """The sales table, or only the given columns of it and the joins they need.
+
+        The keys of these tables are primary keys, hence unique.
+        """
         columns = columns or SALES_COLUMNS
         wanted = set(columns)
         lines = self.order_lines() if wanted & {"order_date", *SHOP_COLUMNS} else self.lines()
         bikes = self.bikes() if wanted & PRICED else None
-        shops = self.shops() if wanted & set(SHOP_COLUMNS) else None
-        return sales_model(lines, bikes, shops, columns)
+        shops = self.shop_names() if wanted & set(SHOP_COLUMNS) else None
+        places = self.places() if wanted & {"city", "state"} else None
+        if places is None and shops is not None:
+            shops = shops.withColumn("location", F.lit(None).cast("string"))
+        return sales_model(lines, bikes, shops, columns, places, unique_keys=True)
 
 
 def dollars_by(sales: DataFrame, *keys: str | Column) -> DataFrame:

@@ -46,6 +46,11 @@ def sales_by_year(sales: DataFrame) -> DataFrame:
     return sort_rows(with_dollar_text(yearly_sales(sales), "sales"), "order_year")
 
 
+def sales_by_year_line(sales: DataFrame) -> DataFrame:
+    """Yearly sales with the straight line through all years."""
+    return sort_rows(with_trend(yearly_sales(sales), "order_year", "sales"), "order_year")
+
+
 def sales_by_year_and_category(sales: DataFrame, category: str = "category_2") -> DataFrame:
     """Yearly sales of each category with its straight-line trend."""
     summed = dollars_by(sales, F.year("order_date").alias("order_year"), category)

@@ -5,6 +5,7 @@ from spokewise.registered import (  # noqa: F401  (each module registers its que
     categories,
     columns,
     files,
+    pipelines,
     reshape,
     rows,
     series,

@@ -235,7 +235,8 @@ def _profile_sql(table: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{n}' AS \"column\", count(*) AS \"rows\", count(*) - count({n}) AS missing, "
         f"round(avg({n}), 4) AS mean, round(stddev_samp({n}), 4) AS sd, "
-        f'CAST(min({n}) AS DOUBLE) AS "min", CAST(max({n}) AS DOUBLE) AS "max" FROM {table}'
+        f'CAST(min({n}) AS DOUBLE) AS "min", CAST(max({n}) AS DOUBLE) AS "max", CAST(NULL AS INTEGER) AS shortest, '
+        f"CAST(NULL AS INTEGER) AS longest, CAST(0 AS BIGINT) AS empty FROM {table}"
         for n in columns
     )
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from spokewise.functions import formats as fm
 from spokewise.functions import text as tx
+from spokewise.operators.columns import clean_names, move_first, omit, rename_with, starts_with
 from spokewise.plans.products import purchase_statements
 from spokewise.plans.sales import SalesTables, split_description, split_location
 from spokewise.registered.registry import query, rounded, with_sales
@@ -181,4 +182,7 @@ def percent_text(t: SalesTables) -> DataFrame:
     ),
 )
 def sales_wrangled(t: SalesTables) -> DataFrame:
-    return rounded(t.sales(), total_price=2)
+    raw = t.sales().withColumn("x.1", F.lit(1))
+    raw = rename_with(raw, lambda name: name.replace("_", ".", 1))
+    cleaned = omit(clean_names(raw), "x_1")
+    return rounded(move_first(cleaned, starts_with(cleaned, "order")), total_price=2)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,9 +20,6 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Size of a shuffle partition that a task sorts in memory with room to spare.
-PARTITION_BYTES = 256 * 1024 * 1024
-
 _local_folders: dict[str, str] = {}
 
 
@@ -39,15 +39,6 @@ def build_session(app: str = "spokewise", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
-def shuffle_partitions(shuffled_bytes: float, cores: int) -> int:
-    """Shuffle partitions for a job that moves so many bytes on so many cores.
-
-    Adaptive execution merges small partitions afterwards but splits none of a
-    plain aggregate, so a number too high costs little and one too low spills.
-    """
-    return int(max(2 * cores, -(-shuffled_bytes // PARTITION_BYTES)))
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -64,13 +55,35 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+# Tables staged inside each open ``staging`` block, innermost last.
+_open_blocks: list[list[tuple[str, StructType]]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Free what is staged inside the block when it ends, also on an error.
+
+    Results of the block must have been written or collected by then. Each table
+    is overwritten by an empty one, which every file system allows.
+    """
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        for path, schema in _open_blocks.pop():
+            spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     Used where two later steps must see the very same rows, also after an
-    executor is lost. The table stays until the shared folder is emptied.
+    executor is lost. The table stays until the ``staging`` block around it
+    ends, or else until the shared folder is emptied.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for block in _open_blocks[-1:]:
+        block.append((path, df.schema))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

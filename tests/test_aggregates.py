@@ -32,46 +32,48 @@ def table(spark, groups):
     return spark.createDataFrame(rows, "g string, v double").repartition(5)
 
 
-@pytest.mark.parametrize("few_values", [a.FEW_VALUES, 0])
+@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
 @pytest.mark.parametrize("accuracy", [10_000, 10])
-def test_quantiles_are_exact(table, groups, monkeypatch, few_values, accuracy):
+def test_quantiles_are_exact(table, groups, monkeypatch, bracket_values, accuracy):
     """An accuracy of 10 makes wide brackets; the result must not change."""
     monkeypatch.setattr(a, "_SKETCH_ACCURACY", accuracy)
-    found = {r.g: r for r in a.quantiles(table, ["g"], "v", PROBS, few_values).collect()}
+    found = {r.g: r for r in a.quantiles(table, ["g"], "v", PROBS, bracket_values).collect()}
     assert set(found) == set(groups)
     for g, values in groups.items():
         for name, p in PROBS.items():
             assert found[g][name] == pytest.approx(np.quantile(values, p), rel=1e-12), (g, name)
 
 
-@pytest.mark.parametrize("few_values", [a.FEW_VALUES, 0])
-def test_quantiles_of_the_whole_table(table, groups, few_values):
+@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
+def test_quantiles_of_the_whole_table(table, groups, bracket_values):
     values = [v for group in groups.values() for v in group]
-    row = a.quantiles(table, [], "v", PROBS, few_values).first()
+    row = a.quantiles(table, [], "v", PROBS, bracket_values).first()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
 def test_a_bracket_that_misses_falls_back_to_the_whole_range(table, groups, monkeypatch):
-    honest = a._sketched
+    honest = a._sketch
 
-    def misled(rows, keys, value, probs):
-        wrong = F.transform("__marks", lambda m: m + 1e6)
-        return honest(rows, keys, value, probs).withColumn("__marks", wrong)
+    def misled(probs):
+        *facts, marks = honest(probs)
+        return [*facts, F.transform(marks, lambda m: m + 1e6).alias("__marks")]
 
-    monkeypatch.setattr(a, "_sketched", misled)
-    found = {r.g: r.mid for r in a.quantiles(table, ["g"], "v", {"mid": 0.5}, 0).collect()}
+    monkeypatch.setattr(a, "_sketch", misled)
+    found = {r.g: r.mid for r in a.quantiles(table, ["g"], "v", {"mid": 0.5}).collect()}
     assert found == {g: pytest.approx(np.median(v)) for g, v in groups.items()}
 
 
 def test_strict_and_lenient(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", 2.0)], "g string, v double")
     v = F.col("v")
-    for make in (a.total, a.mean, a.minimum, a.maximum, a.median):
+    for make in (a.total, a.mean, a.minimum, a.maximum):
         strict = {r.g: r.s for r in a.summarise(df, ["g"], s=make(v)).collect()}
         lenient = {r.g: r.s for r in a.summarise(df, ["g"], s=make(v, na_rm=True)).collect()}
         assert strict == {"a": None, "b": 2.0} and lenient == {"a": 1.0, "b": 2.0}
     assert a.summarise(df.filter("g = 'b'"), s=a.deviation(v)).first()[0] is None
+    assert {r.g: r.m for r in a.medians(df, ["g"], "v", "m").collect()} == {"a": None, "b": 2.0}
+    assert {r.g: r.m for r in a.medians(df, ["g"], "v", "m", na_rm=True).collect()} == {"a": 1.0, "b": 2.0}
 
 
 def test_grouped_mean(spark):
@@ -80,13 +82,13 @@ def test_grouped_mean(spark):
     assert means == {"A": 1.5, "B": 3.0, None: 4.0}
 
 
-@pytest.mark.parametrize("few_values", [a.FEW_VALUES, 0])
-def test_six_statistics(table, groups, few_values):
-    found = {r.g: r for r in a.six_statistics(table, ["g"], "v", few_values).collect()}
+@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
+def test_six_statistics(table, groups, bracket_values):
+    found = {r.g: r for r in a.six_statistics(table, ["g"], "v", bracket_values).collect()}
     assert found["one"].sd_v is None and found["one"].avg_v == 4.0
     assert found["ties"].sd_v == pytest.approx(np.std(groups["ties"], ddof=1))
     assert found["hot"].avg_v == pytest.approx(np.mean(groups["hot"]))
-    whole = a.six_statistics(table, [], "v", few_values).first()
+    whole = a.six_statistics(table, [], "v", bracket_values).first()
     assert whole["count"] == table.count() and whole.sd_v is None
     assert found["two"]["count"] == 3 and found["two"].median_v == 1.5
     assert found["two"].sd_v is None and found["two"].min_v is None
@@ -116,12 +118,12 @@ def test_trend(spark):
     assert all(r.fitted == pytest.approx(r.y) for r in fitted)
 
 
-@pytest.mark.parametrize("few_values", [a.FEW_VALUES, 0])
-def test_box(spark, few_values):
+@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
+def test_box(spark, bracket_values):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0]
     df = spark.createDataFrame([("a", v) for v in values] + [("a", None)], "g string, v double")
-    box = a.box_statistics(df, ["g"], "v", few_values).first()
+    box = a.box_statistics(df, ["g"], "v", bracket_values).first()
     assert (box.q1, box.median, box.q3) == tuple(np.quantile(values, [0.25, 0.5, 0.75]))
     assert (box.whisker_low, box.whisker_high, box.outliers, box.greatest) == (1.0, 5.0, 1, 100.0)
-    whole = a.box_statistics(df, [], "v", few_values).first()
+    whole = a.box_statistics(df, [], "v", bracket_values).first()
     assert (whole.median, whole.outliers) == (box.median, 1)

@@ -10,12 +10,6 @@ def table(spark):
     return spark.createDataFrame(rows, "k int, c string, v double, x int").repartition(3)
 
 
-@pytest.fixture(params=["few", "many"], autouse=True)
-def numbering(request, monkeypatch):
-    if request.param == "many":
-        monkeypatch.setattr(g, "FEW_LEVELS", 0)
-
-
 def names(levels):
     rows = levels.orderBy("code").collect()
     assert [r.code for r in rows] == list(range(1, len(rows) + 1))

@@ -53,6 +53,7 @@ def test_renaming(df):
     "raw, clean",
     [
         (["...1", "Order ID", "order.id", "%", "2nd"], ["x1", "order_id", "order_id_2", "x", "x2nd"]),
+        (["a", "A", "a 2", "a"], ["a", "a_2", "a_2_2", "a_3"]),
         (["bikeShopName", "A  b--c", " a_b_c "], ["bike_shop_name", "a_b_c", "a_b_c_2"]),
     ],
 )

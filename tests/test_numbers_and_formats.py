@@ -16,8 +16,6 @@ def texts(spark, amounts, **options):
 def test_conversion(spark):
     assert value(spark, nb.to_number(F.lit("x"))) is None
     assert value(spark, nb.to_number(F.lit("12.5"))) == 12.5
-    assert value(spark, nb.to_flag(F.lit(None).cast("boolean"))) is None
-    assert value(spark, nb.to_text(F.lit(7))) == "7"
 
 
 def test_math(spark):
@@ -57,3 +55,18 @@ def test_number_and_percent_text(spark):
     assert value(spark, fm.percent_text(F.lit(0.15), accuracy=1)) == "15%"
     assert value(spark, fm.percent_text(F.lit(-0.12345), accuracy=0.01)) == "-12.35%"
     assert value(spark, fm.percent_text(F.lit(None).cast("double"))) is None
+
+
+def test_what_rounds_to_zero_has_no_sign(spark):
+    from spokewise.functions.formats import dollar_text
+
+    df = spark.createDataFrame([(-0.3,), (-0.6,), (0.0,), (-12.0,)], "v double")
+    assert [r[0] for r in df.select(dollar_text(F.col("v"))).collect()] == ["$0", "-$1", "$0", "-$12"]
+
+
+def test_detect_in_any_case(spark):
+    from spokewise.functions.text import detect
+
+    df = spark.createDataFrame([("Supersix Evo",), ("SUPERSIX",), ("caad",)], "m string")
+    found = df.select(detect(F.col("m"), "Supersix", ignore_case=True)).collect()
+    assert [r[0] for r in found] == [True, True, False]

@@ -141,8 +141,22 @@ def test_a_hot_join_key_is_split(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_shuffle_partitions_follow_the_data():
-    from spokewise.session import shuffle_partitions
+def test_staged_tables_are_freed(spark):
+    from spokewise.session import stage, staging
 
-    assert shuffle_partitions(1e9, 8) == 16
-    assert shuffle_partitions(10e12, 4000) == 37253
+    with pytest.raises(ValueError):
+        with staging(spark):
+            table = stage(spark.range(1000), "freed")
+            assert table.count() == 1000
+            path = table.inputFiles()[0].rsplit("/", 1)[0]
+            raise ValueError
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_shop_joins_do_not_shuffle_order_lines_by_shop(spark):
+    from spokewise.plans.sales import SalesTables
+
+    sales = SalesTables(spark, "/root/testdata/sf0.1").sales("order_id", "bikeshop_name", "city")
+    sales.write.format("noop").mode("overwrite").save()
+    plan = sales._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_id" not in plan

@@ -17,7 +17,17 @@ def test_spread(spark):
     )
     assert tuples(r.spread(shops, ["shop"], "c", "v")) == [("s", 2.0, 1.0), ("t", None, 3.0)]
     with pytest.raises(Exception, match="more than one row for a value of c"):
-        r.spread(shops.unionAll(shops), ["shop"], "c", "v", ["Road"]).collect()
+        r.spread(shops.unionAll(shops), ["shop"], "c", "v", ["Road", "Mountain"]).collect()
+
+
+@pytest.mark.parametrize("seventh", ["Triathlon", None])
+def test_spread_refuses_unlisted_keys(spark, seventh):
+    rows = [("s", "Road", 1.0), ("s", seventh, 2.0), ("t", "Road", 3.0)]
+    shops = spark.createDataFrame(rows, "shop string, c string, v double")
+    with pytest.raises(Exception, match="not listed"):
+        r.spread(shops, ["shop"], "c", "v", ["Road"]).collect()
+    chosen = r.spread(shops, ["shop"], "c", "v", ["Road"], only_these=True)
+    assert tuples(chosen) == [("s", 1.0), ("t", 3.0)]
 
 
 def test_spread_keeps_a_missing_key(spark):

@@ -92,3 +92,30 @@ def test_binds(spark):
     assert tuples(j.bind_rows(x, x, y)) == [
         (1, None), (1, None), (2, None), (2, None), (None, 3), (None, 4),
     ]
+
+
+def test_names_on_both_sides_of_a_join_get_suffixes(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    right = spark.createDataFrame([(1, "c")], "key int, v string")
+    joined = j.left_join(left, right, {"k": "key"})
+    assert joined.columns == ["k", "v.x", "v.y"]
+    assert sorted(map(tuple, joined.collect())) == [(1, "a", "c"), (2, "b", None)]
+    with pytest.raises(ValueError):
+        j.left_join(joined.withColumnRenamed("v.y", "v"), right, {"k": "key"})
+
+
+def test_dotted_names(spark):
+    from spokewise.operators.aggregates import quantiles
+    from spokewise.operators.categories import levels_by_value, with_codes
+    from spokewise.operators.ordering import sort_rows
+    from spokewise.operators.rows import present
+    from spokewise.functions.text import separate, unite
+
+    df = spark.createDataFrame([(2, "a b"), (1, "c d"), (None, "a b")], "`order.id` int, `t.x` string")
+    assert [r[0] for r in sort_rows(df, "-order.id").collect()] == [2, 1, None]
+    assert present(df, "order.id").count() == 2
+    assert separate(df, "t.x", ["p", "q"]).columns == ["order.id", "p", "q"]
+    assert unite(df, "u", ["order.id", "t.x"]).columns == ["u"]
+    assert j.left_join(df, df, ["order.id"]).columns == ["order.id", "t.x.x", "t.x.y"]
+    assert with_codes(df, "t.x", levels_by_value(df, "t.x"), "code").count() == 3
+    assert {r[0]: r.q for r in quantiles(df, ["t.x"], "order.id", {"q": 0.5}).collect()} == {"a b": 2.0, "c d": 1.0}

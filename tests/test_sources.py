@@ -134,3 +134,11 @@ def test_export(spark, tmp_path):
     assert sorted(r[0] for r in back.select("order_year").distinct().collect()) == [2011, 2012]
     assert f.read_csv(spark, f"{tmp_path}/csv", sales.schema).count() == 3
     assert back.filter(F.col("order_year") == 2012).count() == 1
+
+
+def test_rows_of_the_sales_model_do_not_depend_on_columns(spark):
+    lines, bikes, shops = raw_sales(spark)
+    doubled = bikes.unionAll(bikes)
+    counts = {sales_model(lines, doubled, shops, [c]).count() for c in ("order_id", "price", "city")}
+    assert len(counts) == 1
+    assert sales_model(lines, None, None, ["order_id"], unique_keys=True).count() == 3

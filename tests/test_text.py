@@ -13,7 +13,7 @@ def values(spark, change, *inputs):
 def test_detect_finds_inside_and_keeps_case(spark):
     found = values(spark, lambda x: tx.detect(x, "Supersix"), "Supersix Evo Black Inc.", "a supersix", None)
     assert found == [True, False, None]
-    assert values(spark, lambda x: tx.detect(x, "fox"), "  The quick Brown fox Jumps") == [True]
+    assert values(spark, lambda x: tx.detect(x, "pear"), "  Two ripe pear trees") == [True]
     assert values(spark, lambda x: tx.flag(x, "black"), "Evo BLACK", "Evo", None) == [1, 0, None]
 
 
@@ -31,9 +31,9 @@ def test_case(spark):
 
 def test_concatenation_and_missing_values(spark):
     assert values(spark, lambda x: tx.join_text(x, F.lit("World"), sep=" "), "Hello", None) == ["Hello World", None]
-    assert values(spark, lambda x: tx.glue("Student {x} scored {s}%", s=F.lit(95)), "Alice", None) == [
-        "Student Alice scored 95%",
-        "Student NA scored 95%",
+    assert values(spark, lambda x: tx.glue("Lift {x} carries {s} kg", s=F.lit(95)), "North", None) == [
+        "Lift North carries 95 kg",
+        "Lift NA carries 95 kg",
     ]
 
 
@@ -43,14 +43,14 @@ def test_glue_shows_whole_numbers_without_fraction(spark):
 
 
 def test_split(spark):
-    assert values(spark, lambda x: tx.split_text(x, ","), "apple,banana,cherry") == [["apple", "banana", "cherry"]]
+    assert values(spark, lambda x: tx.split_text(x, ","), "tin,zinc,lead") == [["tin", "zinc", "lead"]]
     inputs = ("Road - Elite Road - Carbon", "Road - Elite Road", None)
     assert values(spark, lambda x: tx.split_fixed(x, " - ", 3)[2], *inputs) == ["Carbon", "", None]
 
 
 def test_trim_takes_all_white_space(spark):
-    assert values(spark, lambda x: tx.trim(x), " Text with space. ", "\t a\nb \n", None) == [
-        "Text with space.",
+    assert values(spark, lambda x: tx.trim(x), " Padded on both sides. ", "\t a\nb \n", None) == [
+        "Padded on both sides.",
         "a\nb",
         None,
     ]
