@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from spokewise.operators.ordering import (
     Order,
@@ -30,13 +31,24 @@ from spokewise.session import stage
 _SLOT = "__slot"
 _PART = "__part"
 _BASE = "__base"
+_TIE = "__tie"
 # monotonically_increasing_id keeps the partition number above this bit.
 _PART_SHIFT = 33
 # Up to here a position is found with a top-k sort, to which every task sends that
-# many rows; beyond, with staged positions.
+# many rows; beyond, with staged positions. Both follow one order, down to ties.
 SHORT_RANGE = 100
 
 
+def _settled(df: DataFrame, order_by: Order) -> tuple[DataFrame, Order]:
+    """The table and its order with a hash of the row as the last key.
+
+    Rows that are equal in the order then have a fixed order, too, unless they are
+    equal altogether.
+    """
+    plain = [column_of(f.name) for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    return df.withColumn(_TIE, F.xxhash64(*plain)), [*order_by, _TIE]
+
+
 class PlacedRows:
     """Staged rows with their slot, and the row counts needed to address them."""
 
@@ -121,6 +133,11 @@ def slice_rows(df: DataFrame, order_by: Order, start: int, stop: int) -> DataFra
     """Rows ``start`` to ``stop`` of the order, both 1-based and included."""
     if start < 1 or stop < start:
         raise ValueError(f"not a row range: {start}..{stop}")
+    df, order_by = _settled(df, order_by)
+    return _slice(df, order_by, start, stop).drop(_TIE)
+
+
+def _slice(df: DataFrame, order_by: Order, start: int, stop: int) -> DataFrame:
     if stop <= SHORT_RANGE:
         return df.orderBy(*sort_columns(order_by)).offset(start - 1).limit(stop - start + 1)
     positions = [stop] if start == 1 else [start - 1, stop]
@@ -136,6 +153,12 @@ def split_at(df: DataFrame, order_by: Order, cut: int) -> tuple[DataFrame, DataF
     """The first ``cut`` rows of the order, and all others."""
     if cut < 1:
         raise ValueError("the cut must be at least 1")
+    df, order_by = _settled(df, order_by)
+    first, rest = _split(df, order_by, cut)
+    return first.drop(_TIE), rest.drop(_TIE)
+
+
+def _split(df: DataFrame, order_by: Order, cut: int) -> tuple[DataFrame, DataFrame]:
     cuts = _cuts(df, order_by, [cut])
     if cuts is None:
         name = "__row_index"
@@ -151,8 +174,9 @@ def last_rows(df: DataFrame, order_by: Order, count: int = 6) -> DataFrame:
     if count > SHORT_RANGE:
         size = df.count()
         return sort_rows(slice_rows(df, order_by, max(size - count, 0) + 1, size), *order_by)
+    df, order_by = _settled(df, order_by)
     last = df.orderBy(*sort_columns(order_by, reverse=True)).limit(count)
-    return last.orderBy(*sort_columns(order_by))
+    return last.orderBy(*sort_columns(order_by)).drop(_TIE)
 
 
 def first_rows(df: DataFrame, order_by: Order, count: int) -> DataFrame:
@@ -162,12 +186,13 @@ def first_rows(df: DataFrame, order_by: Order, count: int) -> DataFrame:
 
 def null_first_rows(df: DataFrame, column: str, order_by: Order, count: int) -> DataFrame:
     """Set ``column`` to NULL in the first ``count`` rows of the order."""
+    df, order_by = _settled(df, order_by)
     cuts = _cuts(df, order_by, [count])
     if cuts is None:
         name = "__row_index"
         indexed = row_index(df, order_by, name)
-        return indexed.withColumn(column, F.when(F.col(name) > count, column_of(column))).drop(name)
-    return df.withColumn(column, F.when(cuts[0][1], column_of(column)))
+        return indexed.withColumn(column, F.when(F.col(name) > count, column_of(column))).drop(name, _TIE)
+    return df.withColumn(column, F.when(cuts[0][1], column_of(column))).drop(_TIE)
 
 
 def bucket_ends(count: int, buckets: int) -> list[int]:

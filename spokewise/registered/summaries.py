@@ -261,7 +261,7 @@ def model_types(t: SalesTables) -> DataFrame:
     return typed.drop("model")
 
 
-# The course rules, carried over to the two-word model names of the part table.
+# The rules, carried over to the two-word model names of the part table.
 REPAIRS = {f"{word} gizmo": f"{word} gadget" for word in ("blue", "cold", "hot", "large", "new", "old", "red", "small")}
 RULES = ((2, "ring", 2), (2, "rod", 2))
 FLAGS = {"anvil": "anvil", "gadget": "gadget", "plate": "plate", "widget": "widget"}

@@ -193,3 +193,12 @@ def test_long_heads_and_tails(table, rows, monkeypatch):
     assert as_tuples(p.last_rows(table, ["x", "k"], 50)) == in_order(rows)[-50:]
     assert as_tuples(p.last_rows(table, ["x", "k"], 500)) == in_order(rows)
     assert as_tuples(p.first_rows(table, ["-x", "k"], 50)) == in_order(rows, down=True)[:50]
+
+
+def test_ties_fall_alike_whatever_the_position(spark, monkeypatch):
+    df = spark.createDataFrame([(k // 7, k) for k in range(60)], "v int, k int").repartition(4)
+    short = sorted(r.k for r in p.slice_rows(df, ["v"], 1, 10).collect())
+    monkeypatch.setattr(p, "SHORT_RANGE", 0)
+    assert sorted(r.k for r in p.slice_rows(df, ["v"], 1, 10).collect()) == short
+    first, rest = p.split_at(df, ["v"], 10)
+    assert sorted(r.k for r in first.collect()) == short and rest.count() == 50

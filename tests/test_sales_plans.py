@@ -1,4 +1,4 @@
-"""Ready-made queries on small sales tables with the course's own names."""
+"""Ready-made queries on small sales tables under their own names."""
 
 import datetime as dt
 
