@@ -39,15 +39,23 @@ def token_count(masked: Column) -> Column:
     return F.length(masked) - F.length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
 
-def masked_lines(text: Column) -> Column:
-    """Per line, the line with a field for each token that has a digit; NULL for one too short to drop."""
+def masked_line(line: Column) -> Column:
+    """The line with a field for each token that has a digit; NULL for one too short to drop."""
+    line = F.trim(line)
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
+    return F.when(token_count(masked) >= LEAST_TOKENS, masked)
 
-    def masked(line: Column) -> Column:
-        line = F.trim(line)
-        return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
 
-    lines = F.transform(F.split(text, "\n"), masked)
-    return F.transform(lines, lambda m: F.when(token_count(m) >= LEAST_TOKENS, m))
+def _unfolded(docs: DataFrame, text_column: str, *carried: Column) -> DataFrame:
+    """One row per line that may be dropped: what is carried along, and ``masked``."""
+    lines = docs.select(*carried, F.explode(F.split(F.col(f"`{text_column}`"), "\n")).alias("line"))
+    names = [c for c in lines.columns if c != "line"]
+    return lines.select(*names, masked_line(F.col("line")).alias("masked")).filter("masked is not null")
+
+
+def _name_of(masked: Column) -> Column:
+    """128 bits that stand for a masked line, so that its text need not travel."""
+    return F.struct(F.xxhash64(masked).alias("a"), F.xxhash64(F.lit(1), masked).alias("b"))
 
 
 def leaf_of(masked: Column) -> Column:
@@ -57,14 +65,14 @@ def leaf_of(masked: Column) -> Column:
 
 def recurring_lines(docs: DataFrame, text_column: str = "text", least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
     """(masked, template, documents): the masked lines whose template recurs."""
-    per_document = docs.select(F.array_distinct(masked_lines(F.col(f"`{text_column}`"))).alias("lines"))
-    leaves = per_document.select(F.explode(F.array_distinct(F.transform(F.filter("lines", lambda m: m.isNotNull()), leaf_of))).alias("leaf"))
-    often = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") >= least_documents)
-    often = stage(often.select(F.col("leaf").alias("o_leaf")), "leaves")
-    numbered = per_document.withColumn("row", F.monotonically_increasing_id())
-    lines = numbered.select("row", F.explode(F.filter("lines", lambda m: m.isNotNull())).alias("masked")).withColumn("leaf", leaf_of(F.col("masked")))
+    # Lines bound documents from above, which is enough to leave out rare leaves.
+    leaves = _unfolded(docs, text_column).select(leaf_of(F.col("masked")).alias("o_leaf"))
+    often = leaves.groupBy("o_leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_documents)
+    often = stage(often.select("o_leaf"), "leaves")
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    lines = _unfolded(numbered, text_column, F.col("__row").alias("row")).withColumn("leaf", leaf_of(F.col("masked")))
     # The row number is fixed by being written; it only serves to count documents.
-    lines = stage(lines.join(often, F.col("leaf") == F.col("o_leaf"), "left_semi"), "lines")
+    lines = stage(lines.join(often, F.col("leaf") == F.col("o_leaf"), "left_semi").distinct(), "lines")
     weighed = stage(lines.groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("weight")), "weighed")
     sizes = weighed.groupBy("leaf").agg(F.sum("weight").alias("size"))
     places = weighed.select("leaf", "weight", F.posexplode(F.split("masked", " ")).alias("place", "token"))
@@ -93,20 +101,24 @@ def drop_recurring_lines(
     docs: DataFrame, text_column: str = "text", least_documents: int = LEAST_DOCUMENTS
 ) -> DataFrame:
     """All columns of ``docs``, the text without recurring lines, and ``n_lines`` and ``n_dropped``."""
-    recurring = stage(recurring_lines(docs, text_column, least_documents).select(F.col("masked").alias("r_masked")), "recurring")
     names, text_at = docs.columns, place_of(docs, text_column)
-    docs, text = by_place(docs), F.col(text_at)
-    key = F.struct(F.xxhash64(text), F.md5(text))
-    hits = docs.select(key.alias("text_key"), F.explode(F.array_distinct(masked_lines(text))).alias("masked"))
-    hits = hits.join(recurring, F.col("masked") == F.col("r_masked"), "left_semi").distinct()
-    # What goes depends on the text alone, so equal texts share one row here.
-    hits = hits.groupBy("text_key").agg(F.collect_list("masked").alias("gone"))
+    docs = by_place(docs)
+    recurring = recurring_lines(docs, text_at, least_documents).select(_name_of(F.col("masked")).alias("r_name"))
+    recurring = stage(recurring, "recurring")
+    text = F.col(text_at)
+    # What goes depends on the text alone, so equal texts share one row of hits.
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    hits = _unfolded(docs, text_at, key.alias("text_key")).select("text_key", _name_of(F.col("masked")).alias("name"))
+    hits = hits.join(recurring, F.col("name") == F.col("r_name"), "left_semi")
+    hits = hits.groupBy("text_key").agg(F.collect_set("name").alias("gone"))
     rows = docs.join(hits, key == F.col("text_key"), "left")
-    pieces = F.arrays_zip(F.split(text, "\n").alias("line"), masked_lines(text).alias("mark"))
-    stays = lambda p: ~F.coalesce(F.array_contains("gone", p["mark"]), F.lit(False))
-    kept = F.filter(pieces, stays)
-    new_text = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda p: p["line"]), "\n"))
-    lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long")
-    gone = F.when(F.col("gone").isNull(), 0).otherwise(F.size(pieces) - F.size(kept)).cast("long")
+    stays = lambda line: ~F.coalesce(F.array_contains("gone", _name_of(masked_line(line))), F.lit(False))
+    kept = F.filter(F.split(text, "\n"), stays)
+    # Unpacked from one struct, so that the lines are filtered once.
+    result = F.when(F.col("gone").isNotNull(), F.struct(F.array_join(kept, "\n").alias("text"), F.size(kept).alias("kept")))
+    lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    rows = rows.withColumns({"__lines": lines.cast("long"), "__result": result})
+    new_text = F.when(F.col("gone").isNull(), text).otherwise(F.col("__result.text"))
+    gone = F.when(F.col("gone").isNull(), 0).otherwise(F.col("__lines") - F.col("__result.kept")).cast("long")
     columns = [new_text if n == text_at else F.col(n) for n in docs.columns]
-    return rows.select(*columns, lines, gone).toDF(*names, "n_lines", "n_dropped")
+    return rows.select(*columns, F.col("__lines"), gone).toDF(*names, "n_lines", "n_dropped")
