@@ -1,8 +1,9 @@
 """Near duplicates by a chosen-path set similarity join.
 
 A document is the set of its distinct word shingles. Documents with equal sets form one
-class at once, so copies cost nothing further. The classes' representatives are then
-branched recursively: a node of a tree picks minwise tokens of its sets, and each pick
+class at once, so copies cost nothing further. A class that is alone with most of its
+first minwise tokens can have no partner and is left out. The other classes'
+representatives are branched recursively: a node of a tree picks minwise tokens of its sets, and each pick
 sends every set to the child of the token it has there. Two sets of similarity s stay
 together with chance s per pick; with two picks per node a pair at the threshold gets to
 the end of a tree with chance 0.89, so that independent trees reach the target recall.
@@ -11,7 +12,10 @@ whose sets are linked already need no comparison, so a large family of near copi
 chained together in the first round, costs no work that grows with its square.
 
 Comparison inside a node estimates similarity from signatures to find candidates; every
-link is confirmed on the full sets. Components are found by star contraction.
+link is confirmed on the full sets. Before the exhaustive comparison the shingles of all
+candidates are counted once: shingles that a document shares with no other candidate
+bound its similarity to any of them, which rules out most pairs of a family of edited
+copies without looking at them. Components are found by star contraction.
 
 Results for odd input: NULL text, text without words and empty text have an empty set
 and link with nothing; a text of fewer words than a shingle is one shingle; rows that
@@ -47,15 +51,20 @@ from spokewise.session import stage
 
 SHINGLE = 5
 THRESHOLD = 0.75
-TREES = 4
+TREES = 3
 PICKS = 2
 DEPTH = 6
 # Sets a node may have to be compared exhaustively in one task.
-SMALL_NODE = 128
+SMALL_NODE = 256
 HASHES = 128
 # Candidates: estimated similarity at least this. Four standard deviations of the estimate below the threshold.
 SLACK = 0.15
 
+# A class is left out if it shares fewer of its first PROBES minwise tokens with any other.
+# A partner at the threshold shares so few with chance 0.00004, a more alike one with less.
+PROBES = 32
+LEAST_SHARED = 14
+
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _FACTORS = (_SEEDS[:HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (_SEEDS[HASHES:] >> np.uint64(32)).astype(np.uint32)
@@ -194,17 +203,16 @@ def _packs(entries: DataFrame, short: DataFrame, sized: DataFrame, by_component:
         own = F.when(F.col("part").isNotNull(), F.col("comp"))
         count = F.ceil(F.coalesce("part", "size") / SMALL_NODE)
     rows = rows.select("node", "id", "comp", own.alias("own"), F.pmod(F.xxhash64("node", "id"), count).alias("slice"))
-    rows = rows.join(short.select(F.col("id").alias("h_id"), "short"), F.col("id") == F.col("h_id"))
-    members = F.collect_list(F.struct("id", "comp", "short")).alias("members")
+    rows = rows.join(short.withColumnRenamed("id", "h_id"), F.col("id") == F.col("h_id"))
+    members = F.collect_list(F.struct("id", "comp", "short", "n", "shared")).alias("members")
     return rows.groupBy("node", "own", "slice").agg(members)
 
 
-def _unpack(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(column: pa.Array, k: int) -> list[np.ndarray]:
+    """Ids, components, set sizes, shared shingles and signatures of one pack."""
     rows = column[k].values
-    ids = rows.field(0).to_numpy(zero_copy_only=False)
-    comps = rows.field(1).to_numpy(zero_copy_only=False)
-    short = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint8).reshape(len(ids), HASHES)
-    return ids, comps, short
+    short = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint8).reshape(len(rows), HASHES)
+    return [rows.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 3, 4)] + [short]
 
 
 def _likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -215,6 +223,12 @@ def _likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / HASHES - 1 / 256) * (256 / 255)
 
 
+def _possible(sizes: np.ndarray, shared: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets that share so many shingles with any other can be similar enough."""
+    common = np.minimum(shared[:, None], shared[None, :])
+    return common >= threshold * (sizes[:, None] + sizes[None, :] - common)
+
+
 def _chain(likeness: np.ndarray, comps: np.ndarray, least: float) -> list[tuple[int, int]]:
     """Fewest pairs that join all components as far as candidates reach, most alike first."""
     count = len(comps)
@@ -234,54 +248,69 @@ def _chain(likeness: np.ndarray, comps: np.ndarray, least: float) -> list[tuple[
     return out
 
 
-def _compare(least: float, chain_only: bool):
-    """Candidate pairs between the two packs of each row (or inside one, if they are the same)."""
+def _compare(threshold: float, what: str):
+    """Candidates between the two packs of each row (or inside one, if there is no second).
+
+    ``what``: ``chain`` for as few pairs as join the components, ``all`` for all pairs of
+    different components, ``ends`` for the members of such pairs, each as a pair with itself.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, second = [], []
             for k in range(batch.num_rows):
-                ids, comps, short = _unpack(batch.column(0), k)
+                own = _unpack(batch.column(0), k)
+                cross = 0
                 if batch.column(1)[k].is_valid:
-                    more = _unpack(batch.column(1), k)
-                    cross = len(ids)
-                    ids, comps = np.concatenate([ids, more[0]]), np.concatenate([comps, more[1]])
-                    short = np.concatenate([short, more[2]])
-                else:
-                    cross = 0
+                    cross = len(own[0])
+                    own = [np.concatenate(both) for both in zip(own, _unpack(batch.column(1), k))]
+                ids, comps, sizes, shared, short = own
                 if len(ids) < 2 or comps.min() == comps.max():
                     continue
-                likeness = _likeness(short, short)
+                possible = _possible(sizes, shared, threshold)
                 if cross:
-                    likeness[:cross, :cross] = likeness[cross:, cross:] = -1.0
-                if chain_only:
-                    pairs = _chain(likeness, comps, least)
+                    possible[:cross, :cross] = possible[cross:, cross:] = False
+                if not (possible & (comps[:, None] != comps[None, :])).any():
+                    continue
+                likeness = np.where(possible, _likeness(short, short), -1.0)
+                if what == "chain":
+                    pairs = _chain(likeness, comps, threshold - SLACK)
                 else:
                     likeness[comps[:, None] == comps[None, :]] = -1.0
-                    pairs = np.argwhere(np.triu(likeness >= least, 1)).tolist()
-                for a, b in pairs:
-                    if ids[a] != ids[b]:
-                        first.append(min(ids[a], ids[b])), second.append(max(ids[a], ids[b]))
+                    near = likeness >= threshold - SLACK
+                    if what == "ends":
+                        ends = ids[near.any(axis=1)].tolist()
+                        first += ends
+                        second += ends
+                        continue
+                    pairs = np.argwhere(np.triu(near, 1)).tolist()
+                for x, y in pairs:
+                    if ids[x] != ids[y]:
+                        first.append(min(ids[x], ids[y])), second.append(max(ids[x], ids[y]))
             yield batch_of(pa.array(first, pa.int64()), pa.array(second, pa.int64()))
 
     return run
 
 
-def _inside(packs: DataFrame, least: float) -> DataFrame:
+def _inside(packs: DataFrame, threshold: float) -> DataFrame:
     rows = packs.select("members", F.lit(None).cast(packs.schema["members"].dataType).alias("others"))
-    return map_batches(rows, _compare(least, True), "a long, b long").distinct()
+    return map_batches(rows, _compare(threshold, "chain"), "a long, b long").distinct()
 
 
-def _across(packs: DataFrame, least: float, chain_only: bool) -> DataFrame:
+def _across(packs: DataFrame, threshold: float, what: str) -> DataFrame:
     """All packs of a node with each other, but for those of one and the same component."""
-    p = packs.select("node", "own", "slice", "members")
-    q = packs.select(F.col("node").alias("q_node"), F.col("own").alias("q_own"), F.col("slice").alias("q_slice"), F.col("members").alias("others"))
+    counts = packs.groupBy("node").agg(F.count(F.lit(1)).alias("packs"))
+    many = counts.filter("packs > 1").select(F.col("node").alias("m_node"))
+    nothing = F.lit(None).cast(packs.schema["members"].dataType)
+    single = packs.filter(F.col("own").isNull()).select("members", nothing.alias("others"))
+    p = packs.join(many, F.col("node") == F.col("m_node"), "left_semi").select("node", "own", "slice", "members")
+    q = p.toDF("q_node", "q_own", "q_slice", "others")
     place = F.struct(F.coalesce("own", F.lit(-(1 << 63))), "slice")
     q_place = F.struct(F.coalesce("q_own", F.lit(-(1 << 63))), "q_slice")
-    pairs = p.join(q, (F.col("node") == F.col("q_node")) & (place <= q_place))
+    pairs = p.join(q, (F.col("node") == F.col("q_node")) & (place < q_place))
     pairs = pairs.filter(~F.coalesce(F.col("own") == F.col("q_own"), F.lit(False)))
-    rows = pairs.select("members", F.when(place < q_place, F.col("others")).alias("others"))
-    return map_batches(rows, _compare(least, chain_only), "a long, b long").distinct()
+    rows = single.unionByName(pairs.select("members", "others"))
+    return map_batches(rows, _compare(threshold, what), "a long, b long").distinct()
 
 
 # ---- confirmation on full sets
@@ -318,14 +347,36 @@ def _confirm(threshold: float):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) that are as similar as asked for. ``docs``: id, text as bytes."""
-    wanted = pairs.select(F.col("a").alias("w_id")).union(pairs.select("b")).distinct()
-    texts = docs.join(wanted, F.col("id") == F.col("w_id"), "left_semi")
-    sets = stage(map_batches(texts, _sets(width), "id long, shingles binary"), "sets")
+def _sets_of(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(id, shingles) for the wanted ids; ``docs``: id, text as bytes."""
+    # The ids grow with the data, so they are never broadcast.
+    texts = docs.join(ids.toDF("w_id").hint("merge"), F.col("id") == F.col("w_id"), "left_semi")
+    return stage(map_batches(texts, _sets(width), "id long, shingles binary"), "sets")
+
+
+def _shared_shingles(sets: DataFrame) -> DataFrame:
+    """(id, n, shared): the size of each set and how many of its shingles another set has, too."""
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # A list per set, unfolded by Spark, keeps the rows that leave Python few.
+            lists = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+            yield batch_of(batch.column(0), pa.array(lists, pa.list_(pa.int64())))
+
+    lists = map_batches(sets, unfold, "id long, shingles array<long>")
+    each = lists.select("id", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("id")).filter("times = 1")
+    alone = alone.groupBy(F.col("id").alias("a_id")).agg(F.count(F.lit(1)).alias("alone"))
+    sizes = sets.groupBy("id").agg(F.max(F.octet_length("shingles") / 8).cast("long").alias("n"))
+    shared = F.col("n") - F.coalesce("alone", F.lit(0))
+    return sizes.join(alone, F.col("id") == F.col("a_id"), "left").select("id", "n", shared.alias("shared"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) that are as similar as asked for."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    rows = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y")
     return map_batches(rows, _confirm(threshold), "a long, b long").distinct()
 
 
@@ -338,14 +389,12 @@ def connected(links: DataFrame) -> DataFrame:
     Alternates large and small stars until nothing changes; each round is written, so
     a lost executor costs one round at most.
     """
-    edges = stage(links.select("a", "b").filter("a <> b").distinct(), "links")
-    seen = None
+    edges, seen = links.select("a", "b").filter("a <> b"), None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select(F.col("a").alias("u"), F.least("m", "a").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("m", "a").alias("m"))
         # Large star: larger neighbours of u go to the smallest of u's neighbours and u.
-        large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stage(large, "large-star")
         # Small star: u and its smaller neighbours go to the smallest of them. Here b < a throughout.
         low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
@@ -353,11 +402,12 @@ def connected(links: DataFrame) -> DataFrame:
         small = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
         edges = stage(small.filter("a <> b").distinct(), "small-star")
         mark = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if mark == seen:
+        if mark == seen or mark[0] == 0:
             break
         seen = mark
     tops = edges.select(F.col("b").alias("id")).distinct()
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("comp")).union(tops.select("id", F.col("id").alias("comp")))
+    found = edges.select(F.col("a").alias("id"), F.col("b").alias("comp")).union(tops.select("id", F.col("id").alias("comp")))
+    return stage(found, "components")
 
 
 # ---- the operator
@@ -378,10 +428,9 @@ def near_duplicates(
     # Equal sets have equal signatures, so any row of the class will do for those.
     classes = sets.groupBy("set_key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"))
     classes = stage(classes, "classes")
-    heads = classes.select("set_key", "id").join(sets, ["set_key", "id"]).select("id", "sig", "short")
+    heads = _with_partners(classes, sets).select("set_key", "id").join(sets, ["set_key", "id"]).select("id", "sig", "short", "n")
     heads = stage(heads, "heads")
-    links = _links(heads, texts, width, threshold)
-    components = stage(connected(links), "components")
+    components = _components(heads, texts, width, threshold)
     # Only classes with more than one row or with links change anything.
     found = classes.join(components.withColumnRenamed("id", "c_id"), F.col("id") == F.col("c_id"), "left")
     found = found.filter("size > 1 or comp is not null")
@@ -392,29 +441,41 @@ def near_duplicates(
     return rows.withColumn("kept", F.col("component_id").isNull() | (F.col(f"`{id_column}`") == F.col("component_id")))
 
 
-def _links(heads: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    least = threshold - SLACK
+def _with_partners(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The classes that share enough minwise tokens with others, going by token counts alone."""
+    kind = F.xxhash64("set_key")
+    tokens = sets.select(kind.alias("kind"), F.posexplode(F.slice("sig", 1, PROBES)).alias("place", "token"))
+    tokens = tokens.groupBy("place", "token").agg(F.min("kind").alias("kind"), F.max("kind").alias("other"))
+    alone = tokens.filter("kind = other").groupBy("kind").agg(F.count(F.lit(1)).alias("alone"))
+    out = alone.filter(F.col("alone") > PROBES - LEAST_SHARED).select(F.col("kind").alias("o_kind"))
+    return classes.join(out.hint("merge"), kind == F.col("o_kind"), "left_anti")
+
+
+def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(id, comp) of every linked head."""
     picks = _coordinates(DEPTH)
-    short = heads.select("id", "short")
+    # Until shingles are counted, all of a set may be shared.
+    short = heads.select("id", "short", "n", F.col("n").alias("shared"))
     sigs = heads.select(F.col("id").alias("g_id"), "sig")
     roots = heads.select(F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("path"), "id", "sig")
     roots = roots.withColumn("node", F.col("path").cast("long"))
-    first = _children(roots, 0, picks[0])
-    first = stage(first.join(_nodes(first, None).select(F.col("node").alias("n_node")), F.col("node") == F.col("n_node"), "left_semi"), "nodes")
+    first = stage(_children(roots, 0, picks[0]), "nodes")
 
     # Round one: chain the members of every first node, pack by pack.
-    sized = _unlike(_nodes(first, None))
-    pairs = stage(_inside(_packs(first.withColumn("comp", F.col("id")), short, sized, False), least), "pairs")
-    links = stage(_confirmed(pairs, texts, width, threshold), "links")
+    sized = stage(_unlike(_nodes(first, None)), "sizes")
+    pairs = stage(_inside(_packs(first.withColumn("comp", F.col("id")), short, sized, False), threshold), "pairs")
+    known = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = _sets_of(known, texts, width)
+    components = connected(stage(_confirmed(pairs, sets, threshold), "links"))
 
     # Nodes with several components left: small ones are done, large ones branch.
-    components = stage(connected(links), "components")
     entries, leaves = first, []
     for level in range(1, DEPTH + 1):
         nodes = stage(_nodes(entries, components), "open")
         last = level == DEPTH
         ends = nodes if last else nodes.filter(F.col("size") <= SMALL_NODE)
-        leaves.append(entries.join(ends.select(F.col("node").alias("n_node"), "size", "least", "most", "members"), F.col("node") == F.col("n_node")).drop("n_node"))
+        ends = ends.select(F.col("node").alias("n_node"), "size", "least", "most", "members")
+        leaves.append(entries.join(ends, F.col("node") == F.col("n_node")).drop("n_node"))
         more = nodes.filter(F.col("size") > SMALL_NODE).select(F.col("node").alias("n_node"))
         if last or more.isEmpty():
             break
@@ -422,19 +483,35 @@ def _links(heads: DataFrame, texts: DataFrame, width: int, threshold: float) ->
         entries = stage(_children(parents, level, picks[level]), "nodes")
     leaf = stage(reduce(DataFrame.unionByName, leaves), "leaves")
     sized = leaf.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "least", "most", "members")])
-    leaf = leaf.select("node", "path", "id")
     sized = stage(_unlike(sized), "sizes")
+    leaf = leaf.select("node", "path", "id")
 
-    # Chain what is left until nothing new is confirmed, then every open pair once.
-    for chain_only in (True, False):
-        packs = stage(_packs(with_component(leaf, components), short, sized, True), "packs")
-        pairs = stage(_across(packs, least, chain_only), "pairs")
+    # The members of open candidate pairs, and what their shingles allow.
+    packs = stage(_packs(with_component(leaf, components), short, sized, True), "packs")
+    ends = stage(_across(packs, threshold, "ends").select(F.col("a").alias("id")), "ends")
+    new = ends.join(sets.select(F.col("id").alias("s_id")).distinct(), F.col("id") == F.col("s_id"), "left_anti")
+    new = stage(new, "ends")
+    if not new.isEmpty():
+        sets = sets.unionByName(_sets_of(new, texts, width))
+    near = sets.join(ends.toDF("e_id"), F.col("id") == F.col("e_id"), "left_semi")
+    bounds = _shared_shingles(near)
+    bounds = stage(bounds.filter(F.col("shared") >= threshold * F.col("n")), "bounds")
+    short = short.select(F.col("id").alias("k_id"), "short").join(bounds, F.col("k_id") == F.col("id")).drop("k_id")
+    leaf = stage(leaf.join(bounds.select(F.col("id").alias("b_id")), F.col("id") == F.col("b_id"), "left_semi"), "leaves")
+
+    # Chain what is left, then compare every open pair once.
+    packs = None
+    for what in ("chain", "all"):
+        packs = packs or stage(_packs(with_component(leaf, components), short, sized, True), "packs")
+        pairs = stage(_across(packs, threshold, what), "pairs")
         if pairs.isEmpty():
             break
-        new = stage(_confirmed(pairs, texts, width, threshold), "links")
-        links = links.unionByName(new)
-        components = stage(connected(links), "components")
-    return links
+        links = stage(_confirmed(pairs, sets, threshold), "links")
+        if not links.isEmpty():
+            # Components are stars already, so few rounds join them.
+            known = components.select(F.col("id").alias("a"), F.col("comp").alias("b"))
+            components, packs = connected(known.unionByName(links)), None
+    return components
 
 
 def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
