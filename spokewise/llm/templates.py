@@ -36,7 +36,7 @@ FIELD = "<*>"
 
 def token_count(masked: Column) -> Column:
     """Tokens are what stands between blanks."""
-    return F.length(masked) - F.length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
+    return F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
 
 def masked_line(line: Column) -> Column:
@@ -116,7 +116,7 @@ def drop_recurring_lines(
     kept = F.filter(F.split(text, "\n"), stays)
     # Unpacked from one struct, so that the lines are filtered once.
     result = F.when(F.col("gone").isNotNull(), F.struct(F.array_join(kept, "\n").alias("text"), F.size(kept).alias("kept")))
-    lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    lines = F.when(text.isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     rows = rows.withColumns({"__lines": lines.cast("long"), "__result": result})
     new_text = F.when(F.col("gone").isNull(), text).otherwise(F.col("__result.text"))
     gone = F.when(F.col("gone").isNull(), 0).otherwise(F.col("__lines") - F.col("__result.kept")).cast("long")
