@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 # Bytes of text worked on at once; a single longer text makes a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -239,13 +239,16 @@ def score(
     """
     names = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*[_quoted(n) for n in names], _quoted(text_column).cast("binary").alias("__text"))
+    # A text that is passed through anyway goes to Python once.
+    own = names.index(text_column) if text_column in names else len(names)
+    extra = [] if own < len(names) else [_quoted(text_column)]
+    source = docs.select(*[_quoted(n) for n in names], *extra)
     fields = [docs.schema[n] for n in names]
     schema = T.StructType(fields) if only_good else extended(fields, score=T.DoubleType(), predicted=T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = shared.value.scores(batch.column(len(names)))
+            values = shared.value.scores(batch.column(own))
             good = values >= threshold
             if only_good:
                 yield batch.filter(pa.array(good)).select(list(range(len(names))))
