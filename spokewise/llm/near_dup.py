@@ -6,7 +6,7 @@ first minwise tokens can have no partner and is left out. The other classes'
 representatives are branched recursively: a node of a tree picks minwise tokens of its sets, and each pick
 sends every set to the child of the token it has there. Two sets of similarity s stay
 together with chance s per pick; with two picks per node a pair at the threshold gets to
-the end of a tree with chance 0.89, so that independent trees reach the target recall.
+the end of a tree with chance 0.89, so that four independent trees miss it with chance 0.00015.
 Nodes that are small enough are compared exhaustively; larger ones branch further. Nodes
 whose sets are linked already need no comparison, so a large family of near copies,
 chained together in the first round, costs no work that grows with its square.
@@ -51,7 +51,7 @@ from spokewise.session import stage
 
 SHINGLE = 5
 THRESHOLD = 0.75
-TREES = 3
+TREES = 4
 PICKS = 2
 DEPTH = 6
 # Sets a node may have to be compared exhaustively in one task.
@@ -61,9 +61,9 @@ HASHES = 128
 SLACK = 0.15
 
 # A class is left out if it shares fewer of its first PROBES minwise tokens with any other.
-# A partner at the threshold shares so few with chance 0.00004, a more alike one with less.
+# A partner at the threshold shares so few with chance 4e-10, a more alike one with less.
 PROBES = 32
-LEAST_SHARED = 14
+LEAST_SHARED = 8
 
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _FACTORS = (_SEEDS[:HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -92,6 +93,26 @@ def test_empty_table_and_columns_pass_through(documents):
     assert N.near_duplicates(docs.limit(0)).count() == 0
 
 
+def chance_to_miss(similarity):
+    """Chance that a pair parts in every tree, or is left out before."""
+    together = 1.0
+    for _ in range(N.DEPTH):
+        together = 1 - (1 - similarity * together) ** N.PICKS
+    few = sum(math.comb(N.PROBES, k) * similarity**k * (1 - similarity) ** (N.PROBES - k) for k in range(N.LEAST_SHARED))
+    return (1 - together) ** N.TREES + few
+
+
+def test_pairs_at_the_threshold_are_hardly_ever_missed():
+    assert chance_to_miss(0.75) < 0.00015
+
+
+@pytest.mark.parametrize("seed", [148, 4323])
+def test_pairs_that_few_tokens_bring_together(documents, prose, seed):
+    words = prose(seed, 20)
+    rows = [(1, " ".join(words[:18])), (2, " ".join(words[:16] + words[18:]))]
+    check(documents(rows), rows)
+
+
 def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1001), (1001, 1001)], "a long, b long")
     found = {r.id: r.comp for r in N.connected(links).collect()}
