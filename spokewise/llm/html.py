@@ -4,7 +4,8 @@ Every page is read into a tree of elements, and each element's subtree (its tag,
 id and text) is hashed. Spark counts, per host, the pages that hold each hash. A subtree
 on at least ``SHARE`` of a host's pages, and on ``LEAST_PAGES``, is template and is
 deleted. What a page declares as something else than its article (menus, forms,
-adverts, comments, ...) goes as well, recurring or not.
+adverts, comments, ...) goes as well, recurring or not. A form, or an element that only
+its class, id or role declares so, stays if it holds the page's article or main.
 
 Inside ``article`` or ``main`` only containers count as template, never single
 paragraphs, headings or list items: an article that a site carries many times is still
@@ -75,12 +76,12 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "names", "parts", "other", "inside_main", "header", "digest", "has_text", "heading")
+    __slots__ = ("tag", "names", "parts", "other", "inside_main", "header", "digest", "has_text", "heading", "by_name", "holds")
 
-    def __init__(self, tag: str, names: str, other: bool, inside_main: bool):
-        self.tag, self.names, self.other, self.inside_main = tag, names, other, inside_main
+    def __init__(self, tag: str, names: str, other: bool, inside_main: bool, by_name: bool = False):
+        self.tag, self.names, self.other, self.inside_main, self.by_name = tag, names, other, inside_main, by_name
         self.parts: list[str | Element] = []
-        self.digest, self.has_text, self.heading = b"", False, False
+        self.digest, self.has_text, self.heading, self.holds = b"", False, False, False
 
 
 def _attributes(text: str) -> tuple[str, bool]:
@@ -166,18 +167,23 @@ def parse(page: str, hashed: bool = True) -> Element:
                     break
         names, hidden = _attributes(token.group(3))
         other = hidden or tag in OTHER_TAGS or (tag not in _NEVER and bool(names) and _says_other(names))
+        by_name = other and not hidden and (tag == "form" or tag not in OTHER_TAGS)
         inside = stack[-1].inside_main or stack[-1].tag in _MAIN
-        element = Element(tag, names, other, inside)
+        element = Element(tag, names, other, inside, by_name)
         stack[-1].parts.append(element)
         if not token.group(3).rstrip().endswith("/") or tag in BLOCKS or tag in OTHER_TAGS:
             stack.append(element)
-    _finish(root, hashed)
+    if _finish(root, hashed):
+        _open_wrappers(root)
     return root
 
 
-def _finish(root: Element, hashed: bool) -> None:
-    """Note which subtrees have text or a heading, and hash them, children first, without recursion."""
-    order, todo = [], [root]
+def _finish(root: Element, hashed: bool) -> bool:
+    """Note which subtrees have text or a heading, and hash them, children first, without recursion.
+
+    True if an element that is other by its name holds an article or main.
+    """
+    order, todo, wrapped = [], [root], False
     while todo:
         element = todo.pop()
         order.append(element)
@@ -188,6 +194,7 @@ def _finish(root: Element, hashed: bool) -> None:
             if isinstance(part, Element):
                 content.append(b"\x01" + part.digest)
                 element.has_text |= part.has_text
+                element.holds |= part.holds or (part.has_text and _is_main(part))
                 element.heading |= part.heading or part.tag in _HEADINGS
             elif not part.isspace():
                 element.has_text = True
@@ -198,7 +205,80 @@ def _finish(root: Element, hashed: bool) -> None:
             element.digest = blake2b(head + b"".join(content), digest_size=8).digest()
         # A header in the article that holds its heading is the article's own.
         if element.tag == "header" and not (element.inside_main and element.heading):
-            element.other = True
+            element.other, element.by_name = True, False
+        wrapped |= element.by_name and element.holds
+    return wrapped
+
+
+def _is_main(element: Element) -> bool:
+    return element.tag in _MAIN or "role=main" in element.names
+
+
+def _size(element: Element) -> int:
+    """Characters of an element's text without what is other in it."""
+    size, todo = 0, [element]
+    while todo:
+        for part in todo.pop().parts:
+            if isinstance(part, str):
+                size += sum(map(len, part.split()))
+            elif not part.other:
+                todo.append(part)
+    return size
+
+
+def _has_title(element: Element) -> bool:
+    todo = [element]
+    while todo:
+        element = todo.pop()
+        if element.tag == "h1" and element.has_text:
+            return True
+        todo.extend(p for p in element.parts if isinstance(p, Element) and not p.other)
+    return False
+
+
+def _open_wrappers(root: Element) -> None:
+    """Elements around the page's article or main are not other, whatever their names say.
+
+    Boxes of comments or related pages can be made of articles, too. So an article in an
+    element that is other by name is the page's own only if it has the page's title, or if
+    no article stands elsewhere and the first one has more text than all around it; those
+    in elements of the same names follow the first.
+    """
+    articles: list[tuple[Element, tuple[Element, ...]]] = []
+    mains: list[Element] = []
+    plain = False
+    todo: list[tuple[Element, tuple[Element, ...]]] = [(root, ())]
+    while todo:
+        element, wrappers = todo.pop()
+        if element.other:
+            if not (element.by_name and element.holds):
+                # One that is the main itself holds no other one.
+                if not (element.by_name and element.has_text and _is_main(element)):
+                    continue
+            wrappers = (*wrappers, element)
+        if element.tag == "article" and element.has_text:
+            articles.append((element, wrappers))
+            plain |= not wrappers
+            continue
+        if element.has_text and _is_main(element):
+            mains.append(element)
+            for wrapper in wrappers:
+                wrapper.other = False
+        if element.holds:
+            todo.extend((p, wrappers) for p in reversed(element.parts) if isinstance(p, Element))
+    titled = [(a, w) for a, w in articles if w and _has_title(a)]
+    for _, wrappers in titled:
+        for wrapper in wrappers:
+            wrapper.other = False
+    if articles and not plain and not titled:
+        article, wrappers = articles[0]
+        around = sum(map(_size, mains)) if mains else _size(root)
+        if all(not w.other for w in wrappers) or _size(article) > around:
+            names = [w.names for w in wrappers]
+            for _, alike in articles:
+                if [w.names for w in alike] == names:
+                    for wrapper in alike:
+                        wrapper.other = False
 
 
 def _number(digest: bytes) -> int:

@@ -28,6 +28,28 @@ def test_main_text(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='layout has-sidebar'><article><h1>T</h1><p>own</p></article><div class=sidebar>no</div></div>", "T own"),
+        ("<div id='page' class='share-enabled'><main><p>own</p></main></div><p>no</p>", "own"),
+        ("<main><div class='post no-comments'><article><p>own</p></article></div></main>", "own"),
+        ("<form><div class=nav>no</div><article><p>own</p><form>no</form></article></form>", "own"),
+        ("<div class=has-sidebar><div role=main><p>own</p></div></div>", "own"),
+        ("<div class=share><article><h1>T</h1>own</article></div><div class=more><article>teaser</article></div>", "T own teaser"),
+        ("<div class=has-sidebar><article>own</article><div id=comments><article>no</article></div></div>", "own"),
+        ("<article>own</article><div id=comments><article>no, a long one</article></div>", "own"),
+        ("<main><p>own and long</p><div id=comments><article>no</article></div></main>", "own and long"),
+        ("<p>own and long</p><div class=related><article>no</article></div>", "own and long"),
+        ("<div class=has-sidebar hidden><article>no</article></div><p>own</p>", "own"),
+        ("<div class=no-comments><article>one</article></div><div class=no-comments><article>two</article></div>", "one two"),
+        ("<article>own<div id=comments><article>no</article></div></article>", "own"),
+    ],
+)
+def test_names_of_wrappers_do_not_hide_the_article(page, text):
+    assert H.main_text(page) == text
+
+
 def test_deep_and_long_pages_need_no_recursion():
     assert H.main_text("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
     assert len(H.main_text("<article><p>" + "word " * 300_000)) == 5 * 300_000 - 1
