@@ -169,8 +169,11 @@ def training_order(mixed: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 
 def digest(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """One row per document, range-sorted by the position of its first copy; what the mix leaves out comes last."""
+    """One row per document, range-sorted by the position of its first copy; what the mix leaves out comes last.
+
+    ``positions`` has the place of every copy in training time.
+    """
     mixed = mix(docs, id_column, **options)
     first = F.get("positions", F.lit(0))
     ordered = mixed.orderBy(first.asc_nulls_last(), id_column)
-    return ordered.select(id_column, "source", "size", "source_size", "target", "taken")
+    return ordered.select(id_column, "source", "size", "source_size", "target", "taken", "positions")

@@ -210,4 +210,4 @@ SELECT doc_id, source, size, source_size, target,
   CAST(epochs * size + greatest(0, least(size, wanted - epochs * source_size - start)) AS BIGINT) AS taken FROM e""",
 )
 def mixing_query(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.digest(table(spark, folder, "documents"))
+    return mixing.digest(table(spark, folder, "documents")).drop("positions")

@@ -83,6 +83,16 @@ def test_steady_schedule_is_linear(spark):
         M.mix(rows, schedules=(((0.0, 1.0), (0.5, 1.0)),))
 
 
+def test_digest_places_every_copy(spark):
+    rows = sample(spark)
+    found = M.digest(rows_of(spark, rows)).collect()
+    assert all(len(r.positions) == (-(-r.taken // r.size) if r.size else 0) for r in found)
+    assert max(len(r.positions) for r in found) > 1
+    assert all(list(r.positions) == sorted(r.positions) for r in found)
+    first = [r.positions[0] for r in found if r.positions]
+    assert first == sorted(first) and all(not r.positions for r in found[len(first) :])
+
+
 def test_nothing_to_mix(spark):
     assert M.digest(rows_of(spark, []).limit(0)).count() == 0
     empty = M.digest(rows_of(spark, [(1, None, "a", 1), (2, "", None, 1)])).collect()
