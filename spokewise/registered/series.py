@@ -10,7 +10,8 @@ from spokewise.plans import series as p
 from spokewise.plans.sales import SalesTables
 from spokewise.registered.registry import MONTHLY, YEARLY, as_long, query, rounded, with_sales
 
-_PERCENT = "format('{{:,.1f}}%', round(100 * {0}, 8))"
+# What rounds to zero has no sign.
+_PERCENT = "format('{{:,.1f}}%', CASE WHEN abs(100 * {0}) < 0.05 THEN 0.0 ELSE round(100 * {0}, 8) END)"
 
 
 def _sales(t: SalesTables) -> DataFrame:

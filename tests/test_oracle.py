@@ -1,7 +1,6 @@
 import pytest
 
-from oracle import connect, differences
-from conftest import SMALL
+from oracle import SMALL, connect, differences
 from spokewise.plans.sales import SalesTables
 from spokewise.registered import REGISTERED
 

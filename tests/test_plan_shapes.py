@@ -4,13 +4,13 @@ import re
 
 import pytest
 
+from oracle import SMALL
 from spokewise.operators import positions as p
 from spokewise.operators.joins import left_join
 from spokewise.operators.rows import above_mean
 from spokewise.plans.sales import SalesTables
 from spokewise.plans.series import orders_between, sales_by_year
 from spokewise.registered import REGISTERED
-from conftest import SMALL
 
 
 def plan(df):

@@ -10,8 +10,7 @@ from spokewise.operators import positions as p
 from spokewise.operators.ordering import sort_rows
 from spokewise.registered.registry import REGISTERED
 from spokewise.plans.sales import SalesTables
-from conftest import SMALL
-from oracle import connect, differences
+from oracle import SMALL, connect, differences
 
 
 @pytest.fixture(scope="module")
