@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spokewise.llm import decontaminate, exact_dedup, html, language, mixing, near_dup, quality, templates, token_counts, warc
+from spokewise.llm import decontaminate, exact_dedup, filter_audit, html, language, mixing, near_dup, quality, templates, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -211,3 +211,36 @@ SELECT doc_id, source, size, source_size, target,
 )
 def mixing_query(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(table(spark, folder, "documents")).drop("positions")
+
+
+@query(
+    "op11_filter_audit",
+    r"""WITH
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (SELECT doc_id, part, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+    100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e FROM d),
+g AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY 1),
+t AS (SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+    || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS failed,
+    count(*) AS n, count_if(coalesce(good, false)) AS good, count_if(coalesce(toxic, false)) AS toxic
+  FROM f LEFT JOIN g USING (doc_id) GROUP BY 1, 2),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT p.x || q.x || r.x || s.x || u.x AS filter_order FROM l p, l q, l r, l s, l u
+  WHERE p.x NOT IN (q.x, r.x, s.x, u.x) AND q.x NOT IN (r.x, s.x, u.x) AND r.x NOT IN (s.x, u.x) AND s.x <> u.x),
+k AS (SELECT filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+v AS (SELECT t.*, k.*, contains(failed, own) AS fails, failed <> '' AND translate(failed, earlier, '') <> failed AS gone FROM t, k),
+w AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, own,
+    CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE failed = own), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS toxic_lost
+  FROM v GROUP BY part, filter_order, step, own)
+SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM w""",
+)
+def filter_audit_query(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
