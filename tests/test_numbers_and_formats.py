@@ -72,7 +72,7 @@ def test_percent_text_and_its_sql_agree_below_zero(spark):
     shares = [-0.5, -0.0006, -0.0004, -0.0, 0.0, 0.0004, 0.0006, 12.5]
     df = spark.createDataFrame([(v,) for v in shares], "v double")
     found = [r[0] for r in df.select(fm.percent_text(F.col("v"))).collect()]
-    wanted = [duckdb.sql(f"SELECT {_PERCENT.format(f'({v!r}::DOUBLE)')}").fetchone()[0] for v in shares]
+    wanted = [duckdb.sql(f"SELECT {_PERCENT.format(f'({v!r}::DOUBLE)')}").fetchall()[0][0] for v in shares]
     assert found == wanted
     assert found[1:5] == ["-0.1%", "0.0%", "0.0%", "0.0%"]
 
