@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spokewise.llm import decontaminate, exact_dedup, filter_audit, html, language, mixing, near_dup, quality, templates, token_counts, warc
+from spokewise.llm import decontaminate, exact_dedup, filter_audit, html, language, merkle, mixing, near_dup, quality, templates, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -244,3 +244,44 @@ SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGIN
 )
 def filter_audit_query(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || {name}, '-')"
+
+
+_FIELDS = " || ".join(_field(n) for n in ("doc_id", "source", "lang", "n_chars"))
+
+
+@query(
+    "op13_merkle_manifest",
+    rf"""WITH RECURSIVE
+crc AS (SELECT DISTINCT doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, k: xor(a >> 1, (a & 1) * 3988292384))), 4294967295) AS crc FROM documents),
+d AS (SELECT doc_id, source, sha256({_FIELDS} || {_field('text')}) AS leaf,
+    sha256({_FIELDS} || {_field("replace(text, chr(10), '')")}) AS other, coalesce(crc % 2 = 0, false) AS hit FROM documents LEFT JOIN crc USING (doc_id)),
+l AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS LAST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS row FROM d),
+s(tree, level, place, digest, n) AS (SELECT tree, 0, place, leaf, n FROM l
+  UNION ALL SELECT tree, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3 FROM s WHERE n > 1 GROUP BY tree, level, place // 3, n),
+r AS (SELECT tree, digest FROM s WHERE n = 1),
+u(level, place, digest, n) AS (SELECT 0, tree, digest, (SELECT count(*) FROM r) FROM r
+  UNION ALL SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY level, place // 3, n),
+runs AS (SELECT tree, level, place // 3 AS run, list(digest ORDER BY place) AS ds FROM s WHERE n > 1 GROUP BY 1, 2, 3),
+tops AS (SELECT level, place // 3 AS run, list(digest ORDER BY place) AS ds FROM u WHERE n > 1 GROUP BY 1, 2),
+f(row, tree, level, place, digest, proof) AS (SELECT row, tree, 0, place, CASE WHEN hit THEN other ELSE leaf END, '' FROM l
+  UNION ALL SELECT row, f.tree, f.level + 1, place // 3, sha256(array_to_string(ds[1:place % 3], '') || digest || array_to_string(ds[place % 3 + 2:], '')),
+    proof || array_to_string(ds[1:place % 3], '') || array_to_string(ds[place % 3 + 2:], '')
+  FROM f JOIN runs ON runs.tree = f.tree AND runs.level = f.level AND runs.run = f.place // 3),
+g AS (SELECT row, tree, digest, proof FROM f QUALIFY level = max(level) OVER (PARTITION BY row)),
+h(row, level, place, digest, proof) AS (SELECT row, 0, tree, digest, proof FROM g
+  UNION ALL SELECT row, h.level + 1, place // 3, sha256(array_to_string(ds[1:place % 3], '') || digest || array_to_string(ds[place % 3 + 2:], '')),
+    proof || array_to_string(ds[1:place % 3], '') || array_to_string(ds[place % 3 + 2:], '')
+  FROM h JOIN tops ON tops.level = h.level AND tops.run = h.place // 3),
+e AS (SELECT row, digest, proof FROM h QUALIFY level = max(level) OVER (PARTITION BY row)),
+top AS (SELECT digest FROM u WHERE n = 1)
+SELECT doc_id, leaf, r.digest AS subroot, top.digest AS root, sha256(proof) AS proof_sha256, e.digest AS folded_root, e.digest = top.digest AS verified
+FROM l JOIN r USING (tree) JOIN e USING (row), top""",
+)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tampered_manifest(table(spark, folder, "documents"))
