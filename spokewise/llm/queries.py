@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spokewise.llm import decontaminate, exact_dedup, filter_audit, html, language, merkle, mixing, near_dup, quality, templates, token_counts, warc
+from spokewise.llm import decontaminate, exact_dedup, filter_audit, html, language, merkle, mixing, near_dup, quality, templates, token_counts, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -246,6 +246,14 @@ def filter_audit_query(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op12_token_files")
+def token_files_query(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(table(spark, folder, "documents"), path, separator="<|endoftext|>")
+
+
 def _field(name: str) -> str:
     return f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || {name}, '-')"
 
