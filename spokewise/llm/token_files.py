@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -45,7 +46,7 @@ END_ID = 2
 # Ids after which a task begins a new file.
 FILE_IDS = 1 << 26
 # Text of one writing task, on average.
-TASK_BYTES = 128 << 20
+TASK_BYTES = 32 << 20
 KEYS_PER_BUCKET = 1 << 17
 # Ids of one file that one reading task takes, about.
 READ_IDS = 1 << 22
@@ -55,9 +56,19 @@ _MOST_LEVELS = 200
 HEAD = 16
 _MAGIC = b"SPWIDS1\0"
 # Words and ids a task remembers, in bytes.
-REMEMBERED_BYTES = 48 << 20
+REMEMBERED_BYTES = 96 << 20
 _ENCODE_BYTES = 500_000
 
+# How a tokenizer that marks word ends cuts texts of printable ASCII,
+# Latin-1 letters and white space in lower case, and its mark.
+WORD_END = "</w>"
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+").findall
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ \t-\r]*").fullmatch
+_WORDS = re.compile("[^ \t-\r]+").findall
+_GAP = re.compile("[ \t-\r]").search
+# Tells remembered words from parts.
+_WORD = " "
+
 
 def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder, as seen from a task, and the folder's path on it."""
@@ -69,49 +80,100 @@ def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
 class Encoder:
     """Ids of texts by a public tokenizer, as bytes of two or four a piece.
 
-    ``separator`` names a special token of a tokenizer that drops white space. Its words
-    are then encoded once each, many at a time with the separator between them; that
-    gives the ids of the whole text, since no rule of such a tokenizer reaches across
-    white space. Without a separator texts are encoded as they are.
+    ``separator`` names a special token of a tokenizer that drops white space, lowers
+    case and marks word ends, as the given one does. No rule of such a tokenizer reaches
+    across white space, so that parts of a text can be encoded once each: in texts of
+    printable ASCII and Latin-1 letters the parts the tokenizer itself would cut, whose
+    last ids bear the mark of a word's end; in other texts the words, many at a time
+    with the separator between them. Without a separator texts are encoded as they are.
     """
 
     def __init__(self, path: str, separator: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.separator = separator.encode() if separator else b""
+        self.separator = separator or ""
         self.cut = self.tokenizer.token_to_id(separator) if separator else None
-        self.known: dict[bytes, bytes] = {}
+        # The same vocabulary for parts that are cut and in lower case already.
+        self.by_part = Tokenizer(self.tokenizer.model)
+        self.by_part.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
+        self.known: dict[str, bytes] = {}
         self.size = 0
 
-    def _whole(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in found]
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, new: list[str], data: bytes, ends: np.ndarray, gap: int) -> None:
+        """Remember the ids of ``new``, which end at ``ends``, with ``gap`` ids between them."""
+        size = self.type.itemsize
+        begin = 0
+        for part, end in zip(new, (ends * size).tolist(), strict=True):
+            self.known[part] = data[begin:end]
+            begin = end + gap * size
+        self.size += sum(map(len, new)) + 150 * len(new)
+
+    def _learn_parts(self, new: list[str]) -> None:
+        ids = np.array(self.by_part.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, self.type)
+        self._learn(new, ids.tobytes(), np.flatnonzero(self.ends_word[ids]) + 1, 0)
+
+    def _learn_words(self, new: list[str]) -> None:
         # A word that may hold a special token goes alone.
-        plain = [w for w in words if self.separator[:1] not in w]
-        odd = [w for w in words if self.separator[:1] in w]
-        self.known.update(zip(odd, self._whole(odd)))
+        plain, odd = [w for w in new if self.separator[0] not in w], [w for w in new if self.separator[0] in w]
+        self.known.update((_WORD + w, i) for w, i in zip(odd, self._whole(odd)))
         if plain:
-            joined = self._whole([self.separator.join(plain)])[0]
-            cuts = np.flatnonzero(np.frombuffer(joined, self.type) == self.cut) * self.type.itemsize
-            begins, ends = [0, *(cuts + self.type.itemsize).tolist()], [*cuts.tolist(), len(joined)]
-            self.known.update((w, joined[a:b]) for w, a, b in zip(plain, begins, ends, strict=True))
-        self.size += sum(map(len, words)) + 150 * len(words)
+            data = self._whole([self.separator.join(plain)])[0]
+            ids = np.frombuffer(data, self.type)
+            self._learn([_WORD + w for w in plain], data, np.append(np.flatnonzero(ids == self.cut), len(ids)), 1)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
+        decoded = [t.decode("utf-8", "replace") for t in texts]
         if self.cut is None:
-            return self._whole(texts)
-        split = [t.split() for t in texts]
-        if self.size > REMEMBERED_BYTES:
-            self.known, self.size = {}, 0
-        new = set().union(*split) - self.known.keys()
-        if new:
-            self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+            return self._whole(decoded)
+        out = [[] for _ in texts]
+        for owners, pieces in _rounds(decoded):
+            if self.size > REMEMBERED_BYTES:
+                self.known, self.size = {}, 0
+            simple = [_SIMPLE(p) is not None and self.separator[0] not in p for p in pieces]
+            cut = [_PARTS(p.lower()) if s else [_WORD + w for w in _WORDS(p)] for p, s in zip(pieces, simple)]
+            get = self.known.get
+            found = [list(map(get, parts)) for parts in cut]
+            new: dict[bool, set[str]] = {True: set(), False: set()}
+            for parts, ids, s in zip(cut, found, simple):
+                if None in ids:
+                    new[s].update(p for p, i in zip(parts, ids) if i is None)
+            if new[True]:
+                self._learn_parts(list(new[True]))
+            if new[False]:
+                self._learn_words([w[len(_WORD) :] for w in new[False]])
+            for owner, parts, ids in zip(owners, cut, found):
+                out[owner].append(b"".join(map(get, parts) if None in ids else ids))
+        return [b"".join(o) for o in out]
+
+
+def _rounds(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts with their numbers, a bounded length at a time; longer ones are cut at white space."""
+    owners, pieces, size = [], [], 0
+    for owner, text in enumerate(texts):
+        begin = 0
+        while begin < len(text):
+            gap = _GAP(text, begin + _ENCODE_BYTES)
+            end = gap.start() if gap else len(text)
+            owners.append(owner)
+            pieces.append(text[begin:end] if end - begin < len(text) else text)
+            size, begin = size + end - begin, end
+            if size >= _ENCODE_BYTES:
+                yield owners, pieces
+                owners, pieces, size = [], [], 0
+    if pieces:
+        yield owners, pieces
 
 
 @lru_cache(maxsize=2)
