@@ -175,8 +175,9 @@ def fit(
 ) -> QualityModel:
     """Train on at most ``per_class`` labelled texts of each class, chosen by a hash of the id.
 
-    ``use`` restricts the labelled ids (a condition on ``id_column``). The driver gets
-    the features of the sampled texts, whose number does not grow with the data.
+    ``use`` restricts the labelled ids (a condition on ``id_column``). Of several rows
+    with one id one is taken. A single task trains on the sample, whose number of texts
+    does not grow with the data.
     """
     known = labels.select(F.col(id_column).alias("__id"), F.col(label_column).cast("double").alias("__y"))
     known = known.filter("__id is not null and __y is not null")
@@ -204,24 +205,25 @@ def fit(
                     pa.array([counts.tobytes() for _, counts in rows], pa.binary()),
                 )
 
-    sample = texts.join(chosen, "__id").select("__text", "__label", "__id")
-    # Ordered by content, so that reruns train alike whatever the partitions were.
-    rows = map_batches(sample, extract, "label int, ids binary, counts binary").collect()
-    rows.sort(key=lambda r: (r["label"], bytes(r["ids"]), bytes(r["counts"])))
-    seen = {label: sum(r["label"] == label for r in rows) for label in sizes}
+    # One row per id, so that the sample is bounded; the hash makes the choice the same in every run.
+    sample = texts.join(chosen, "__id").groupBy("__id", "__label").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
+    rows = map_batches(sample.select("__text", "__label"), extract, "label int, ids binary, counts binary")
     total = sum(sizes.values())
-    scale = {k: (sizes[k] / total) * (len(rows) / max(seen[k], 1)) for k in sizes}
-    return train(
-        [
-            (
-                np.frombuffer(r["ids"], np.int32),
-                np.frombuffer(r["counts"], np.float32),
-                int(r["label"]),
-                np.float32(scale[r["label"]]),
-            )
-            for r in rows
-        ]
-    )
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*[column.to_pylist() for column in batch.columns])]
+        # Ordered by content, so that reruns train alike whatever the partitions were.
+        rows.sort()
+        seen = {k: sum(label == k for label, _, _ in rows) for k in sizes}
+        scale = {k: (sizes[k] / total) * (len(rows) / max(seen[k], 1)) for k in sizes}
+        model = train(
+            [(np.frombuffer(i, np.int32), np.frombuffer(c, np.float32), label, np.float32(scale[label])) for label, i, c in rows]
+        )
+        yield batch_of(pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.share], pa.float64()))
+
+    # Trained in one task, which holds the sample; the driver gets the weights alone.
+    found = map_batches(rows.repartition(1), learn, "weights binary, share double").first()
+    return QualityModel(np.frombuffer(found["weights"], np.float32), found["share"]) if found else train([])
 
 
 def score(

@@ -41,6 +41,42 @@ def test_labels_held_out_are_not_used(spark):
     assert np.array_equal(a, b)
 
 
+def test_one_id_in_many_rows_is_one_text_of_the_sample(spark):
+    docs, labels = sample(spark)
+    many = docs.unionByName(docs.filter("doc_id = 1").crossJoin(spark.range(5000)).drop("id"))
+    once, again = (Q.fit(d, labels, per_class=10) for d in (docs, many))
+    assert np.array_equal(once.weights, again.weights)
+
+
+def test_training_matches_a_plain_loop(spark):
+    """The same features and steps, word by word and vector by vector."""
+    texts = ["the house stands", "the the $$$ x", "été à l'eau", "$$$ $$$ near"]
+    rows = []
+    for label, text in enumerate(texts):
+        ids, counts = next(Q.sparse_features(next(slices(pa.array([text.encode()], pa.binary())))))
+        assert list(ids).count(Q.BIAS) == 1 and len(set(ids)) == len(ids)
+        rows.append((ids, counts, label % 2, np.float32(1)))
+    random_ = np.random.default_rng(7)
+    vectors = random_.uniform(-1 / Q.DIMENSIONS, 1 / Q.DIMENSIONS, (Q.BUCKETS + 2, Q.DIMENSIONS)).astype(np.float32)
+    output = [[0.0] * Q.DIMENSIONS for _ in range(2)]
+    step, steps = 0, Q.EPOCHS * len(rows)
+    for _ in range(Q.EPOCHS):
+        for k in random_.permutation(len(rows)):
+            ids, counts, label, _ = rows[k]
+            total = sum(map(float, counts))
+            mean = [sum(float(c) / total * float(vectors[i][d]) for i, c in zip(ids, counts)) for d in range(Q.DIMENSIONS)]
+            raw = [sum(o * m for o, m in zip(output[y], mean)) for y in range(2)]
+            parts = [np.exp(v - max(raw)) for v in raw]
+            pull = [Q.RATE * (1 - step / steps) * (p / sum(parts) - (y == label)) for y, p in enumerate(parts)]
+            back = [sum(pull[y] * output[y][d] for y in range(2)) for d in range(Q.DIMENSIONS)]
+            output = [[output[y][d] - pull[y] * mean[d] for d in range(Q.DIMENSIONS)] for y in range(2)]
+            for i, c in zip(ids, counts):
+                vectors[i] -= np.array([float(c) / total * v * len(ids) ** 0.5 for v in back], np.float32)
+            step += 1
+    wanted = vectors @ (np.array(output[1], np.float32) - np.array(output[0], np.float32))
+    assert np.allclose(Q.train(rows).weights, wanted, atol=1e-4)
+
+
 def test_odd_texts_and_labels(spark):
     docs, labels = sample(spark)
     model = Q.fit(docs, labels)
