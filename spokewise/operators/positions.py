@@ -28,18 +28,18 @@ from spokewise.operators.ordering import (
 )
 from spokewise.session import stage
 
-_SLOT = "__slot"
+SLOT = "__slot"
 _PART = "__part"
 _BASE = "__base"
 _TIE = "__tie"
 # monotonically_increasing_id keeps the partition number above this bit.
-_PART_SHIFT = 33
+PART_SHIFT = 33
 # Up to here a position is found with a top-k sort, to which every task sends that
 # many rows; beyond, with staged positions. Both follow one order, down to ties.
 SHORT_RANGE = 100
 
 
-def _settled(df: DataFrame, order_by: Order) -> tuple[DataFrame, Order]:
+def settled(df: DataFrame, order_by: Order) -> tuple[DataFrame, Order]:
     """The table and its order with a hash of the row as the last key.
 
     Rows that are equal in the order then have a fixed order, too, unless they are
@@ -57,11 +57,11 @@ class PlacedRows:
         self.rows = stage(
             df.repartitionByRange(*columns)
             .sortWithinPartitions(*columns)
-            .withColumn(_SLOT, F.monotonically_increasing_id()),
+            .withColumn(SLOT, F.monotonically_increasing_id()),
             "positions",
         )
         # One row per partition, so bounded by the number of shuffle partitions.
-        counts = self.rows.groupBy(F.shiftright(_SLOT, _PART_SHIFT).alias(_PART)).count().collect()
+        counts = self.rows.groupBy(F.shiftright(SLOT, PART_SHIFT).alias(_PART)).count().collect()
         counts.sort(key=lambda row: row[_PART])
         self.parts = [row[_PART] for row in counts]
         ends = list(accumulate(row["count"] for row in counts))
@@ -73,12 +73,12 @@ class PlacedRows:
         bases = spark.createDataFrame(
             list(zip(self.parts, self.bases)), f"{_PART} bigint, {_BASE} bigint"
         )
-        local = F.col(_SLOT).bitwiseAND(F.lit((1 << _PART_SHIFT) - 1))
+        local = F.col(SLOT).bitwiseAND(F.lit((1 << PART_SHIFT) - 1))
         return (
-            self.rows.withColumn(_PART, F.shiftright(_SLOT, _PART_SHIFT))
+            self.rows.withColumn(_PART, F.shiftright(SLOT, PART_SHIFT))
             .join(F.broadcast(bases), _PART)
             .withColumn(name, F.col(_BASE) + local + 1)
-            .drop(_PART, _BASE, _SLOT)
+            .drop(_PART, _BASE, SLOT)
         )
 
     def at(self, positions: Sequence[int]) -> dict[int, Row]:
@@ -86,9 +86,9 @@ class PlacedRows:
         slots = {}
         for position in positions:
             i = bisect_right(self.bases, position - 1) - 1
-            slots[(self.parts[i] << _PART_SHIFT) + position - 1 - self.bases[i]] = position
-        found = self.rows.filter(F.col(_SLOT).isin(list(slots))).collect()
-        return {slots[row[_SLOT]]: row for row in found}
+            slots[(self.parts[i] << PART_SHIFT) + position - 1 - self.bases[i]] = position
+        found = self.rows.filter(F.col(SLOT).isin(list(slots))).collect()
+        return {slots[row[SLOT]]: row for row in found}
 
 
 def row_index(df: DataFrame, order_by: Order, name: str = "row_index") -> DataFrame:
@@ -133,7 +133,7 @@ def slice_rows(df: DataFrame, order_by: Order, start: int, stop: int) -> DataFra
     """Rows ``start`` to ``stop`` of the order, both 1-based and included."""
     if start < 1 or stop < start:
         raise ValueError(f"not a row range: {start}..{stop}")
-    df, order_by = _settled(df, order_by)
+    df, order_by = settled(df, order_by)
     return _slice(df, order_by, start, stop).drop(_TIE)
 
 
@@ -153,7 +153,7 @@ def split_at(df: DataFrame, order_by: Order, cut: int) -> tuple[DataFrame, DataF
     """The first ``cut`` rows of the order, and all others."""
     if cut < 1:
         raise ValueError("the cut must be at least 1")
-    df, order_by = _settled(df, order_by)
+    df, order_by = settled(df, order_by)
     first, rest = _split(df, order_by, cut)
     return first.drop(_TIE), rest.drop(_TIE)
 
@@ -174,7 +174,7 @@ def last_rows(df: DataFrame, order_by: Order, count: int = 6) -> DataFrame:
     if count > SHORT_RANGE:
         size = df.count()
         return sort_rows(slice_rows(df, order_by, max(size - count, 0) + 1, size), *order_by)
-    df, order_by = _settled(df, order_by)
+    df, order_by = settled(df, order_by)
     last = df.orderBy(*sort_columns(order_by, reverse=True)).limit(count)
     return last.orderBy(*sort_columns(order_by)).drop(_TIE)
 
@@ -186,7 +186,7 @@ def first_rows(df: DataFrame, order_by: Order, count: int) -> DataFrame:
 
 def null_first_rows(df: DataFrame, column: str, order_by: Order, count: int) -> DataFrame:
     """Set ``column`` to NULL in the first ``count`` rows of the order."""
-    df, order_by = _settled(df, order_by)
+    df, order_by = settled(df, order_by)
     cuts = _cuts(df, order_by, [count])
     if cuts is None:
         name = "__row_index"

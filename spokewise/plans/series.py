@@ -11,6 +11,7 @@ from spokewise.functions.formats import percent_text, with_dollar_text
 from spokewise.functions.numbers import to_number
 from spokewise.functions.text import separate, unite
 from spokewise.operators.aggregates import with_trend
+from spokewise.operators import long_series as long
 from spokewise.operators.columns import rename_with, title_name
 from spokewise.operators.ordering import sort_rows
 from spokewise.operators.positions import last_rows
@@ -25,7 +26,7 @@ from spokewise.operators.windows import (
     trailing_median,
     with_change,
 )
-from spokewise.plans.sales import dollars_by
+from spokewise.plans.sales import SalesTables, dollars_by
 
 
 def yearly_sales(sales: DataFrame) -> DataFrame:
@@ -118,6 +119,31 @@ def monthly_rolling_median(sales: DataFrame, length: int = 3) -> DataFrame:
     return monthly_sales(sales).withColumn(f"roll_median_{length}m", median)
 
 
+LINE_ORDER = ("order_date", *SalesTables.LINE_KEY)
+
+
+def lines_running(sales: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """Running total, mean and share of total of all order lines, or of each group's, in order of date."""
+    x = F.col("total_price")
+    return long.along(
+        sales, LINE_ORDER, within, running_sales=long.running_sum(x), running_mean=long.running_mean(x), running_share=long.running_share(x)
+    )
+
+
+def lines_trailing(sales: DataFrame, lengths: tuple[int, ...] = (30, 1000)) -> DataFrame:
+    """Each order line with the one before it, the change from it and from the first, and trailing means."""
+    x = F.col("total_price")
+    found = long.along(
+        sales,
+        LINE_ORDER,
+        sales_lag_1=long.previous(x, fill_self=True),
+        sales_lag_7=long.previous(x, 7),
+        sales_first=long.first_value(x),
+        **{f"roll_mean_{k}": long.trailing_mean(x, k) for k in lengths},
+    )
+    return found.withColumns({"pct_diff": relative_change(x, F.col("sales_lag_1")), "increase": relative_change(x, F.col("sales_first"))})
+
+
 def sales_by_calendar_month(sales: DataFrame) -> DataFrame:
     """Sales per month of the year, January first."""
     summed = dollars_by(sales, F.month("order_date").alias("month"))

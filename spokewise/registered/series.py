@@ -8,7 +8,7 @@ from spokewise.functions import dates as d
 from spokewise.functions.formats import with_dollar_text
 from spokewise.plans import series as p
 from spokewise.plans.sales import SalesTables
-from spokewise.registered.registry import MONTHLY, YEARLY, as_long, query, rounded, with_sales
+from spokewise.registered.registry import LINE_KEY, MONTHLY, YEARLY, as_long, query, rounded, with_sales
 
 # What rounds to zero has no sign.
 _PERCENT = "format('{{:,.1f}}%', CASE WHEN abs(100 * {0}) < 0.05 THEN 0.0 ELSE round(100 * {0}, 8) END)"
@@ -184,6 +184,65 @@ def monthly_rolling_median(t: SalesTables) -> DataFrame:
     return _monthly(p.monthly_rolling_median(_sales(t)), roll_median_3m=4)
 
 
+_LINES = f"{LINE_KEY}, round(total_price, 2) AS total_price"
+_ALONG = f"ORDER BY order_date, {LINE_KEY}"
+# Means of amounts with one decimal often end in a half; this settles to which side it goes.
+_NUDGE = 3.1e-7
+_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def _running_lines(within: str = "") -> str:
+    along = f"({within} {_ALONG} {_SO_FAR})"
+    return (
+        f"round(sum(total_price) OVER {along}, 2) AS running_sales, round(avg(total_price) OVER {along} + {_NUDGE}, 2) AS running_mean, "
+        f"round(sum(total_price) OVER {along} / sum(total_price) OVER ({within}), 6) AS running_share"
+    )
+
+
+def _lines(t: SalesTables, *columns: str) -> DataFrame:
+    return t.sales("order_date", *t.LINE_KEY, "total_price", *columns)
+
+
+@query("lines_running", "W6 W7 W8 A12", with_sales(f"SELECT {_LINES}, {_running_lines()} FROM sales"))
+def lines_running(t: SalesTables) -> DataFrame:
+    found = as_long(p.lines_running(_lines(t)), "order_line").drop("order_date")
+    found = found.withColumn("running_mean", F.col("running_mean") + _NUDGE)
+    return rounded(found, total_price=2, running_sales=2, running_mean=2, running_share=6)
+
+
+@query(
+    "lines_running_by_category",
+    "W6 W7 W8 A12",
+    with_sales(f"SELECT {_LINES}, category_1, {_running_lines('PARTITION BY category_1')} FROM sales"),
+)
+def lines_running_by_category(t: SalesTables) -> DataFrame:
+    found = as_long(p.lines_running(_lines(t, "category_1"), ("category_1",)), "order_line").drop("order_date")
+    found = found.withColumn("running_mean", F.col("running_mean") + _NUDGE)
+    return rounded(found, total_price=2, running_sales=2, running_mean=2, running_share=6)
+
+
+def _rolling_lines(k: int) -> str:
+    frame = f"({_ALONG} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN row_number() OVER ({_ALONG}) >= {k} THEN round(avg(total_price) OVER {frame}, 6) ELSE 0.0 END AS roll_mean_{k}"
+
+
+@query(
+    "lines_trailing",
+    "W1 W2 W3 W4 W9",
+    with_sales(
+        f"""SELECT {_LINES}, round(prev, 2) AS sales_lag_1, round(seventh, 2) AS sales_lag_7, round(f, 2) AS sales_first,
+          round((total_price - prev) / prev, 6) AS pct_diff, round((total_price - f) / f, 6) AS increase, roll_mean_30, roll_mean_1000
+        FROM (SELECT *, coalesce(lag(total_price) OVER ({_ALONG}), total_price) AS prev, lag(total_price, 7) OVER ({_ALONG}) AS seventh,
+          first_value(total_price) OVER ({_ALONG}) AS f, {_rolling_lines(30)}, {_rolling_lines(1000)} FROM sales)"""
+    ),
+)
+def lines_trailing(t: SalesTables) -> DataFrame:
+    found = as_long(p.lines_trailing(_lines(t)), "order_line").drop("order_date")
+    return rounded(
+        found, total_price=2, sales_lag_1=2, sales_lag_7=2, sales_first=2, pct_diff=6, increase=6, roll_mean_30=6, roll_mean_1000=6
+    )
+
+
 @query(
     "sales_by_calendar_month",
     "P16 A17 O3 D7 D8 X1",
