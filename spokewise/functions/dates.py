@@ -2,59 +2,90 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 SECOND = 1
 MINUTE = 60
 DAY = 86_400
 
-# Date layouts after all separators are turned into one blank.
-YMD = ("y M d", "yyyyMMdd", "yy M d")
-MDY = ("M d yyyy", "M d yy", "MMMM d yyyy", "MMM d yyyy", "MMMM d yy", "MMM d yy")
-DMY = ("d M yyyy", "d M yy", "d MMMM yyyy", "d MMM yyyy", "d MMMM yy", "d MMM yy")
+# Order of the parts of a date.
+YMD, MDY, DMY = "ymd", "mdy", "dmy"
 # Two-digit years above this one belong to the 1900s.
-LAST_SHORT_YEAR = 2068
+LAST_SHORT_YEAR = 68
+# English month names, read in full or by their first three letters in any case.
+MONTHS = (
+    "january february march april may june july august september october november december"
+).split()
+
+_SEPARATORS = r"(?<=\d)T(?=\d)|[^\p{L}\p{N}]+"
+
+
+def _small_number(text: Column) -> Column:
+    """A number of one or two digits as text, else NULL."""
+    return F.when((F.length(text) <= 2) & text.try_cast("int").isNotNull(), text)
+
+
+def _year(text: Column) -> Column:
+    number = text.try_cast("int")
+    century = F.when(number > LAST_SHORT_YEAR, "19").otherwise("20")
+    return F.when(number.isNull(), None).when(F.length(text) == 4, text).when(F.length(text) == 2, F.concat(century, text))
+
+
+def _month(text: Column) -> Column:
+    names = F.create_map(*[F.lit(v) for k, m in enumerate(MONTHS) for n in dict.fromkeys([m, m[:3]]) for v in (n, str(k + 1))])
+    return F.coalesce(_small_number(text), F.try_element_at(names, F.lower(text)))
+
+
+def _parse(text: Column, parts: str, clock: bool) -> Column:
+    """Read a date, or with ``clock`` a date and time of day, in one pass over the text.
 
+    The text is split into words once, and the words are the parts; a date of year,
+    month and day may also be one word of eight digits. Casts that give NULL instead of
+    an error check the ranges.
+    """
+    size = len(parts) + (3 if clock else 0)
 
-def _parse(text: Column, layouts: Sequence[str]) -> Column:
-    plain = F.regexp_replace(F.trim(text), r"(?<=\d)T(?=\d)|[^\p{L}\p{N}]+", " ")
-    attempts = []
-    for layout in layouts:
-        parsed = F.try_to_timestamp(plain, F.lit(layout))
-        if "yy" in layout.replace("yyyy", ""):
-            earlier = F.add_months(F.to_date(parsed), -1200)
-            seconds = F.unix_seconds(parsed) - F.unix_seconds(F.date_trunc("day", parsed))
-            moved = F.timestamp_seconds(F.unix_seconds(earlier.cast("timestamp")) + seconds)
-            parsed = F.when(F.year(parsed) > LAST_SHORT_YEAR, moved).otherwise(parsed)
-        attempts.append(parsed)
-    return F.coalesce(*attempts)
+    def joined(mark: str, *texts: Column) -> Column:
+        # NULL if a part is: a shorter text would be the first of a month or year.
+        return F.concat(*[t for text in texts for t in (F.lit(mark), text)][1:])
 
+    def read(words: Column) -> Column:
+        at = {part: F.get(words, F.lit(k)) for k, part in enumerate(parts)}
+        found = F.when(F.size(words) == size, joined("-", _year(at["y"]), _month(at["m"]), _small_number(at["d"])))
+        if parts == YMD:
+            first = F.get(words, F.lit(0))
+            digits = joined("-", *[F.substr(first, F.lit(a), F.lit(n)) for a, n in ((1, 4), (5, 2), (7, 2))])
+            found = found.when((F.size(words) == size - 2) & (F.length(first) == 8) & first.try_cast("int").isNotNull(), digits)
+        if not clock:
+            return found
+        time = joined(":", *[_small_number(F.get(words, F.size(words) - k)) for k in (3, 2, 1)])
+        return F.concat(found, F.lit(" "), time)
 
-def _long_year(layouts: Sequence[str]) -> list[str]:
-    return ["yyyy" + layout[1:] if layout.startswith("y ") else layout for layout in layouts]
+    # Through an array, so that the words are cut once and then shared.
+    whole = F.transform(F.array(F.split(F.trim(text), _SEPARATORS)), read)[0]
+    return whole.try_cast("timestamp" if clock else "date")
 
 
 def parse_ymd(text: Column) -> Column:
     """Date from year-month-day text; NULL where it is none."""
-    return F.to_date(_parse(text, _long_year(YMD)))
+    return _parse(text, YMD, False)
 
 
 def parse_mdy(text: Column) -> Column:
-    return F.to_date(_parse(text, MDY))
+    """Date from month-day-year text, the month as number or English name."""
+    return _parse(text, MDY, False)
 
 
 def parse_dmy(text: Column) -> Column:
-    return F.to_date(_parse(text, DMY))
+    return _parse(text, DMY, False)
 
 
 def parse_ymd_hms(text: Column) -> Column:
-    return _parse(text, [f"{layout} H m s" for layout in _long_year(YMD)])
+    return _parse(text, YMD, True)
 
 
 def parse_mdy_hms(text: Column) -> Column:
-    return _parse(text, [f"{layout} H m s" for layout in MDY])
+    return _parse(text, MDY, True)
 
 
 def as_date(moment: Column) -> Column:

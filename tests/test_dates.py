@@ -27,6 +27,35 @@ def value(spark, column):
         (d.parse_mdy, "January 1 1985", DAY(1985, 1, 1)),
         (d.parse_mdy, "Jan 1, 1985", DAY(1985, 1, 1)),
         (d.parse_dmy, "24.12.2025", DAY(2025, 12, 24)),
+        (d.parse_ymd, "99-1-2", DAY(1999, 1, 2)),
+        (d.parse_ymd, "2024 2 29", DAY(2024, 2, 29)),
+        (d.parse_ymd, "2023 2 29", None),
+        (d.parse_ymd, "20230229", None),
+        (d.parse_ymd, "2023-2", None),
+        (d.parse_ymd, "2023", None),
+        (d.parse_ymd, "", None),
+        (d.parse_ymd, None, None),
+        (d.parse_ymd, "2023-13-01", None),
+        (d.parse_ymd, "2023-0-1", None),
+        (d.parse_ymd, "2023-01-01-01", None),
+        (d.parse_ymd, "2023-1-1T", None),
+        (d.parse_ymd, "2023-1-5T6", None),
+        (d.parse_ymd, "123-1-1", None),
+        (d.parse_ymd, "2023-001-1", None),
+        (d.parse_ymd, "x2023-1-1", None),
+        (d.parse_mdy, "MARCH 5 99", DAY(1999, 3, 5)),
+        (d.parse_mdy, "Sept 5 1999", None),
+        (d.parse_mdy, "13/1/2020", None),
+        (d.parse_mdy, "20200101", None),
+        (d.parse_dmy, "1 may 2020", DAY(2020, 5, 1)),
+        (d.parse_dmy, "29 Feb 2021", None),
+        (d.parse_dmy, "5-dEc-07", DAY(2007, 12, 5)),
+        (d.parse_ymd_hms, "20250601 6:3:5", dt.datetime(2025, 6, 1, 6, 3, 5)),
+        (d.parse_ymd_hms, "2025-06-01 24:00:00", None),
+        (d.parse_ymd_hms, "2025-06-01 06:30", None),
+        (d.parse_ymd_hms, "2025-06-01 06:30:61", None),
+        (d.parse_ymd_hms, "2025-06-01", None),
+        (d.parse_mdy_hms, "Jan 5, 2020 1:02:03", dt.datetime(2020, 1, 5, 1, 2, 3)),
         (d.parse_ymd_hms, "2025-06-01 06:30:30", dt.datetime(2025, 6, 1, 6, 30, 30)),
         (d.parse_ymd_hms, "2025-06-01T06:30:30", dt.datetime(2025, 6, 1, 6, 30, 30)),
         (d.parse_mdy_hms, "06/01/25 06:30:30", dt.datetime(2025, 6, 1, 6, 30, 30)),
