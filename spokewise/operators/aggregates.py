@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from spokewise.operators.long_series import along, running_sum, total as whole_sum
 from spokewise.operators.ordering import column_of, sort_columns
 from spokewise.session import stage
 
-# Rank error of the sketch that brackets a quantile: one part in so many.
-_SKETCH_ACCURACY = 10_000
-# Distinct values of one bracket that one task sorts; a bracket with more is narrowed first.
-BRACKET_VALUES = 1_000_000
-# Parts a bracket is cut into to narrow it.
-_PARTS = 64
-
 _VALUE = "__value"
 
 
@@ -77,24 +71,15 @@ def _per_group(df: DataFrame, facts: DataFrame, keys: Sequence[str], name: str)
     return df.join(renamed, test, "left").drop(*[f"__group_{i}" for i in range(len(keys))])
 
 
-def quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    column: str,
-    probabilities: dict[str, float],
-    bracket_values: int = BRACKET_VALUES,
-) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], column: str, probabilities: dict[str, float]) -> DataFrame:
     """Exact quantiles per group, with linear interpolation between ranks.
 
     ``probabilities`` maps output names to probabilities; missing values are
-    skipped. One pass brackets each quantile by a sketch of fixed size. A second
-    counts what lies below and the equal values inside, so only the few values
-    inside a bracket are shuffled. A bracket with more distinct values than one
-    task should sort is narrowed until it fits.
+    skipped. The rows are read once, into a table of the distinct values of each
+    group and how often they occur; a prefix scan gives these their ranks, so a
+    group of any size is spread over many tasks.
     """
-    rows = _values(df, keys, column)
-    bounds = stage(rows.groupBy(*[column_of(k) for k in keys]).agg(*_sketch(probabilities.values())), "bounds")
-    return _bracketed(rows, bounds, keys, probabilities, bracket_values)
+    return _at_ranks(_ranked(_weighed(df, keys, column), keys), keys, probabilities)
 
 
 def medians(
@@ -109,141 +94,29 @@ def medians(
     return with_group_facts(found, missing, keys).select(*[column_of(k) for k in keys], strict)
 
 
-def _values(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    return df.select(*[column_of(k) for k in keys], column_of(column).cast("double").alias(_VALUE))
-
-
-def _sketch(probabilities: Iterable[float]) -> list[Column]:
-    """Aggregates of a group: its values' count and range, and marks around each quantile."""
-    slack = 2.0 / _SKETCH_ACCURACY
-    probs = list(probabilities)
-    marks = [max(p - slack, 0.0) for p in probs] + [min(p + slack, 1.0) for p in probs]
-    return [
-        F.count(_VALUE).alias("__n"),
-        F.min(_VALUE).alias("__least"),
-        F.max(_VALUE).alias("__greatest"),
-        F.percentile_approx(_VALUE, marks, _SKETCH_ACCURACY).alias("__marks"),
-    ]
+def _weighed(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """The distinct values of each group, NULL among them, and how many rows have each."""
+    rows = df.select(*[column_of(k) for k in keys], column_of(column).cast("double").alias(_VALUE))
+    return rows.groupBy(*[column_of(k) for k in keys], _VALUE).agg(F.count(F.lit(1)).alias("__w"))
 
 
-def _targets(bounds: DataFrame, keys: Sequence[str], probs: Sequence[float], whole: bool = False) -> DataFrame:
-    """Per group the ranks to find for each quantile, and the range of values to look in."""
-    targets = []
-    for i, p in enumerate(probs):
-        at = (F.col("__n") - 1) * F.lit(p)
-        low = F.col("__least") if whole else F.col("__marks")[i]
-        high = F.col("__greatest") if whole else F.col("__marks")[len(probs) + i]
-        targets.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                (F.floor(at) + 1).alias("first"),
-                (F.ceil(at) + 1).alias("last"),
-                (at - F.floor(at)).alias("part"),
-                low.alias("low"),
-                high.alias("high"),
-            )
-        )
-    return bounds.filter("__n > 0").select(*[column_of(k) for k in keys], F.array(*targets).alias("__targets"))
-
-
-def _inside(rows: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group and quantile the weight of each value in the bracket; NULL for all below it."""
-    value = F.col(_VALUE)
-    wanted = F.filter(F.col("__g.__targets"), lambda t: value <= t["high"])
-    each = F.transform(wanted, lambda t: F.struct(t["i"].alias("i"), F.when(value >= t["low"], value).alias("v")))
-    found = _per_group(rows.filter(value.isNotNull()), targets, keys, "__g").select(
-        *[column_of(k) for k in keys], F.explode(each).alias("__t")
-    )
-    grouping = [*[column_of(k) for k in keys], F.col("__t.i").alias("__i"), F.col("__t.v").alias("__v")]
-    return stage(found.groupBy(*grouping).agg(F.count(F.lit(1)).alias("__w")), "inside")
-
-
-def _brackets(inside: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group and quantile: what is below, what is inside, and the ranks to find."""
-    value, weight = F.col("__v"), F.col("__w")
-    tallied = inside.groupBy(*[column_of(k) for k in keys], "__i").agg(
-        F.coalesce(F.sum(F.when(value.isNull(), weight)), F.lit(0)).alias("__below"),
-        F.coalesce(F.sum(F.when(value.isNotNull(), weight)), F.lit(0)).alias("__within"),
-        F.count(value).alias("__distinct"),
-    )
-    ranks = targets.select(*[column_of(k) for k in keys], F.inline("__targets"))
-    ranks = ranks.select(*[column_of(k) for k in keys], F.col("i").alias("__i"), "first", "last", "part")
-    return with_group_facts(ranks, tallied, [*keys, "__i"])
+def _ranked(weighed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The values in order with the rank of the last row of each, and the rows of the group."""
+    weight = F.col("__w")
+    values = weighed.filter(F.col(_VALUE).isNotNull())
+    return along(values, [_VALUE], keys, __rank=running_sum(weight), __n=whole_sum(weight))
 
 
-def _bracketed(
-    rows: DataFrame, bounds: DataFrame, keys: Sequence[str], probabilities: dict[str, float], bracket_values: int
-) -> DataFrame:
-    names, probs = list(probabilities), list(probabilities.values())
-    places = [*keys, "__i"]
-    targets = _targets(bounds, keys, probs)
-    inside = _inside(rows, targets, keys)
-    brackets = stage(_brackets(inside, targets, keys), "brackets")
-    found = brackets.agg(
-        F.max(~F.coalesce((F.col("__below") < F.col("first")) & (F.col("__below") + F.col("__within") >= F.col("last")), F.lit(False))),
-        F.max("__distinct"),
-    ).first()
-    if found[0]:
-        # A sketch worse than its promise: look through the whole range instead.
-        targets = _targets(bounds, keys, probs, whole=True)
-        inside = _inside(rows, targets, keys)
-        brackets = stage(_brackets(inside, targets, keys), "brackets")
-        found = brackets.agg(F.lit(False), F.max("__distinct")).first()
-    inside = inside.filter("__v is not null")
-    most = found[1] or 0
-    while most > bracket_values:
-        inside, brackets = _narrowed(inside, brackets, places)
-        narrower = brackets.agg(F.max("__distinct")).first()[0]
-        if narrower >= most:
-            break
-        most = narrower
-    so_far = (
-        Window.partitionBy(*[column_of(k) for k in places])
-        .orderBy("__v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = _per_group(inside, brackets, places, "__b").withColumn("__rank", F.col("__b.__below") + F.sum("__w").over(so_far))
+def _at_ranks(ranked: DataFrame, keys: Sequence[str], probabilities: dict[str, float]) -> DataFrame:
     picked = []
-    for i, name in enumerate(names):
-        own, rank = F.col("__i") == i, F.col("__rank")
-        low = F.min(F.when(own & (rank >= F.col("__b.first")), F.col("__v")))
-        high = F.min(F.when(own & (rank >= F.col("__b.last")), F.col("__v")))
-        part = F.max(F.when(own, F.col("__b.part")))
-        picked.append((low + (high - low) * part).alias(name))
+    for name, p in probabilities.items():
+        at = (F.col("__n") - 1) * F.lit(p)
+        low = F.min(F.when(F.col("__rank") >= F.floor(at) + 1, F.col(_VALUE)))
+        high = F.min(F.when(F.col("__rank") >= F.ceil(at) + 1, F.col(_VALUE)))
+        picked.append((low + (high - low) * F.max(at - F.floor(at))).alias(name))
     return ranked.groupBy(*[column_of(k) for k in keys]).agg(*picked)
 
 
-def _narrowed(inside: DataFrame, brackets: DataFrame, places: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Cut each bracket into parts of about as many distinct values, and keep those with the ranks."""
-    cuts = inside.groupBy(*[column_of(k) for k in places]).agg(
-        F.percentile_approx("__v", [k / _PARTS for k in range(1, _PARTS)], _SKETCH_ACCURACY).alias("cuts")
-    )
-    parted = _per_group(inside, cuts, places, "__c").withColumn(
-        "__part", F.size(F.filter(F.col("__c.cuts"), lambda c: c < F.col("__v")))
-    )
-    parted = stage(parted.drop("__c"), "parted")
-    sizes = parted.groupBy(*[column_of(k) for k in places], "__part").agg(F.sum("__w").alias("__size"), F.count(F.lit(1)).alias("__values"))
-    ahead = Window.partitionBy(*[column_of(k) for k in places]).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = _per_group(sizes, brackets, places, "__b").withColumn(
-        "__start", F.col("__b.__below") + F.coalesce(F.sum("__size").over(ahead), F.lit(0))
-    )
-    holds = (F.col("__start") < F.col("__b.last")) & (F.col("__start") + F.col("__size") >= F.col("__b.first"))
-    kept = stage(sizes.filter(holds), "parts")
-    narrower = kept.groupBy(*[column_of(k) for k in places]).agg(
-        F.first("__b.first").alias("first"),
-        F.first("__b.last").alias("last"),
-        F.first("__b.part").alias("part"),
-        F.min("__start").alias("__below"),
-        F.sum("__size").alias("__within"),
-        F.sum("__values").alias("__distinct"),
-        F.min("__part").alias("__from"),
-        F.max("__part").alias("__to"),
-    )
-    narrower = stage(narrower, "brackets")
-    chosen = _per_group(parted, narrower, places, "__b").filter(F.col("__part").between(F.col("__b.__from"), F.col("__b.__to")))
-    return stage(chosen.drop("__b", "__part"), "inside"), narrower
-
-
 def with_group_facts(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-join per-group columns onto a table; a NULL key matches a NULL key."""
     joined = _per_group(df, facts, keys, "__facts")
@@ -251,31 +124,37 @@ def with_group_facts(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Da
     return joined.select(*[column_of(c) for c in df.columns], *[F.col(f"__facts.{n}").alias(n) for n in names])
 
 
-def six_statistics(
-    df: DataFrame, keys: Sequence[str], column: str, bracket_values: int = BRACKET_VALUES
-) -> DataFrame:
+def six_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Count, mean, median, standard deviation, minimum and maximum per group.
 
     Mean and median skip missing values; the other three are NULL if one is
-    missing. The pass that sketches the median takes the other five along.
+    missing. All six come from one table of weighed values.
     """
-    rows, x = _values(df, keys, column), F.col(_VALUE)
-    measures = [
-        F.count(F.lit(1)).alias("__rows"),
-        F.avg(x).alias("__mean"),
-        F.stddev_samp(x).alias("__sd"),
-        *_sketch([0.5]),
-    ]
-    facts = stage(rows.groupBy(*[column_of(k) for k in keys]).agg(*measures), "bounds")
-    middle = _bracketed(rows, facts, keys, {"__median": 0.5}, bracket_values)
-    joined = with_group_facts(facts, middle, keys)
+    weighed, x, weight = stage(_weighed(df, keys, column), "weighed"), F.col(_VALUE), F.col("__w")
+    present = F.coalesce(F.sum(F.when(x.isNotNull(), weight)), F.lit(0))
+    facts = summarise(
+        weighed,
+        [column_of(k) for k in keys],
+        __rows=F.coalesce(F.sum(weight), F.lit(0)),
+        __n=present,
+        __mean=F.try_divide(F.sum(x * weight), present),
+        __least=F.min(x),
+        __greatest=F.max(x),
+    )
+    facts = stage(facts, "facts")
+    # Squares of distances from the mean, which keep their digits.
+    far = _per_group(weighed, facts, keys, "__f")
+    far = summarise(far, [column_of(k) for k in keys], __squares=F.sum(F.pow(x - F.col("__f.__mean"), 2) * weight))
+    middle = _at_ranks(_ranked(weighed, keys), keys, {"__median": 0.5})
+    joined = with_group_facts(with_group_facts(facts, far, keys), middle, keys)
     whole = F.col("__n") == F.col("__rows")
+    deviation = F.sqrt(F.try_divide(F.col("__squares"), F.nullif(F.col("__n") - 1, F.lit(0))))
     return joined.select(
         *[column_of(k) for k in keys],
         F.col("__rows").alias("count"),
         F.col("__mean").alias(f"avg_{column}"),
         F.col("__median").alias(f"median_{column}"),
-        F.when(whole, F.col("__sd")).alias(f"sd_{column}"),
+        F.when(whole, deviation).alias(f"sd_{column}"),
         F.when(whole, F.col("__least")).alias(f"min_{column}"),
         F.when(whole, F.col("__greatest")).alias(f"max_{column}"),
     )
@@ -316,26 +195,25 @@ def with_trend(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataF
     return with_group_facts(df, linear_trend(df, x, y, keys), keys).withColumn("fitted", fitted)
 
 
-def box_statistics(
-    df: DataFrame, keys: Sequence[str], column: str, bracket_values: int = BRACKET_VALUES
-) -> DataFrame:
-    """Quartiles, whisker ends within 1.5 quartile ranges, and outliers per group."""
+def box_statistics(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Quartiles, whisker ends within 1.5 quartile ranges, and outliers per group, from one table of weighed values."""
     quarters = {"least": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "greatest": 1.0}
-    marks = quantiles(df, keys, column, quarters, bracket_values)
+    ranked = stage(_ranked(_weighed(df, keys, column), keys), "ranked")
+    marks = _at_ranks(ranked, keys, quarters)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     marks = stage(
         marks.withColumns({"__low": F.col("q1") - reach, "__high": F.col("q3") + reach}), "marks"
     )
-    rows, x = _values(df, keys, column), F.col(_VALUE)
+    x, weight = F.col(_VALUE), F.col("__w")
     inside = x.between(F.col("__m.__low"), F.col("__m.__high"))
     measured = summarise(
-        _per_group(rows.filter(x.isNotNull()), marks, keys, "__m"),
-        keys,
+        _per_group(ranked, marks, keys, "__m"),
+        [column_of(k) for k in keys],
         whisker_low=F.min(F.when(inside, x)),
         whisker_high=F.max(F.when(inside, x)),
-        outliers=F.count(F.when(~inside, 1)),
+        outliers=F.coalesce(F.sum(F.when(~inside, weight)), F.lit(0)),
     )
     fixed = [F.col(f"__m.{n}").alias(n) for n in quarters]
     return _per_group(measured, marks, keys, "__m").select(
-        *keys, *fixed, "whisker_low", "whisker_high", "outliers"
+        *[column_of(k) for k in keys], *fixed, "whisker_low", "whisker_high", "outliers"
     )

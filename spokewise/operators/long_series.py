@@ -51,6 +51,11 @@ def running_share(column: Column) -> Figure:
     )
 
 
+def total(column: Column) -> Figure:
+    """Sum of the whole series; NULL if a value is missing."""
+    return Figure(column, lambda s: F.when(s.total("missing") == 0, s.total("sum")), sums=True)
+
+
 def running_count(column: Column) -> Figure:
     """How many rows so far have a value."""
     return Figure(column, lambda s: s.place() - s.missing_so_far())

@@ -32,36 +32,24 @@ def table(spark, groups):
     return spark.createDataFrame(rows, "g string, v double").repartition(5)
 
 
-@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
-@pytest.mark.parametrize("accuracy", [10_000, 10])
-def test_quantiles_are_exact(table, groups, monkeypatch, bracket_values, accuracy):
-    """An accuracy of 10 makes wide brackets; the result must not change."""
-    monkeypatch.setattr(a, "_SKETCH_ACCURACY", accuracy)
-    found = {r.g: r for r in a.quantiles(table, ["g"], "v", PROBS, bracket_values).collect()}
+def test_quantiles_are_exact(table, groups):
+    found = {r.g: r for r in a.quantiles(table, ["g"], "v", PROBS).collect()}
     assert set(found) == set(groups)
     for g, values in groups.items():
         for name, p in PROBS.items():
             assert found[g][name] == pytest.approx(np.quantile(values, p), rel=1e-12), (g, name)
 
 
-@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
-def test_quantiles_of_the_whole_table(table, groups, bracket_values):
+def test_quantiles_of_the_whole_table(table, groups):
     values = [v for group in groups.values() for v in group]
-    row = a.quantiles(table, [], "v", PROBS, bracket_values).first()
+    row = a.quantiles(table, [], "v", PROBS).first()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
-def test_a_bracket_that_misses_falls_back_to_the_whole_range(table, groups, monkeypatch):
-    honest = a._sketch
-
-    def misled(probs):
-        *facts, marks = honest(probs)
-        return [*facts, F.transform(marks, lambda m: m + 1e6).alias("__marks")]
-
-    monkeypatch.setattr(a, "_sketch", misled)
-    found = {r.g: r.mid for r in a.quantiles(table, ["g"], "v", {"mid": 0.5}).collect()}
-    assert found == {g: pytest.approx(np.median(v)) for g, v in groups.items()}
+def test_values_are_ranked_in_many_tasks(table):
+    plan = a._ranked(a._weighed(table, [], "v"), [])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
 def test_strict_and_lenient(spark):
@@ -82,13 +70,12 @@ def test_grouped_mean(spark):
     assert means == {"A": 1.5, "B": 3.0, None: 4.0}
 
 
-@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
-def test_six_statistics(table, groups, bracket_values):
-    found = {r.g: r for r in a.six_statistics(table, ["g"], "v", bracket_values).collect()}
+def test_six_statistics(table, groups):
+    found = {r.g: r for r in a.six_statistics(table, ["g"], "v").collect()}
     assert found["one"].sd_v is None and found["one"].avg_v == 4.0
     assert found["ties"].sd_v == pytest.approx(np.std(groups["ties"], ddof=1))
     assert found["hot"].avg_v == pytest.approx(np.mean(groups["hot"]))
-    whole = a.six_statistics(table, [], "v", bracket_values).first()
+    whole = a.six_statistics(table, [], "v").first()
     assert whole["count"] == table.count() and whole.sd_v is None
     assert found["two"]["count"] == 3 and found["two"].median_v == 1.5
     assert found["two"].sd_v is None and found["two"].min_v is None
@@ -118,12 +105,11 @@ def test_trend(spark):
     assert all(r.fitted == pytest.approx(r.y) for r in fitted)
 
 
-@pytest.mark.parametrize("bracket_values", [a.BRACKET_VALUES, 5])
-def test_box(spark, bracket_values):
+def test_box(spark):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0]
     df = spark.createDataFrame([("a", v) for v in values] + [("a", None)], "g string, v double")
-    box = a.box_statistics(df, ["g"], "v", bracket_values).first()
+    box = a.box_statistics(df, ["g"], "v").first()
     assert (box.q1, box.median, box.q3) == tuple(np.quantile(values, [0.25, 0.5, 0.75]))
     assert (box.whisker_low, box.whisker_high, box.outliers, box.greatest) == (1.0, 5.0, 1, 100.0)
-    whole = a.box_statistics(df, [], "v", bracket_values).first()
+    whole = a.box_statistics(df, [], "v").first()
     assert (whole.median, whole.outliers) == (box.median, 1)
