@@ -45,16 +45,18 @@ def normal_digest(text: bytes | None) -> bytes:
     return hashlib.sha256((text or b"").translate(_LOWER)).digest()
 
 
-def with_digest(docs: DataFrame, text_column: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep``, then ``__digest``."""
+def with_digest(docs: DataFrame, text_column: str, keep: list[str], shared: Broadcast | None = None) -> DataFrame:
+    """The columns ``keep``, then ``__digest`` and, given a filter, ``__maybe``."""
     rows = docs.select(*[F.col(f"`{n}`") for n in keep], F.col(f"`{text_column}`").cast("binary").alias("__text"))
-    schema = extended([docs.schema[n] for n in keep], __digest=T.BinaryType())
+    flags = {} if shared is None else {"__maybe": T.BooleanType()}
+    schema = extended([docs.schema[n] for n in keep], __digest=T.BinaryType(), **flags)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(keep))
             digests = pa.array([normal_digest(t.as_py()) for t in texts], pa.binary())
-            yield batch_of(*batch.columns[: len(keep)], digests)
+            maybe = [] if shared is None else [pa.array(_maybe(shared.value, digests))]
+            yield batch_of(*batch.columns[: len(keep)], digests, *maybe)
 
     return map_batches(rows, run, schema)
 
@@ -195,7 +197,8 @@ def drop_exact_copies(
     digests = stage(with_digest(docs, text_column, []), "digests")
     shared = _filter_of(digests, bits_per_row, max_bits)
     plain = by_place(docs)
-    rows = _flagged(with_digest(plain, place_of(docs, text_column), plain.columns), shared)
+    # One pass through Python, not two: each costs every executor a worker process per task.
+    rows = with_digest(plain, place_of(docs, text_column), plain.columns, shared)
     # Equal ids: any one rule will do, as long as reruns agree.
     hashed = [f.name for f in plain.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     own_id = F.col(place_of(docs, id_column)).cast("long")
