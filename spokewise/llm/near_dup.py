@@ -12,10 +12,10 @@ whose sets are linked already need no comparison, so a large family of near copi
 chained together in the first round, costs no work that grows with its square.
 
 Comparison inside a node estimates similarity from signatures to find candidates; every
-link is confirmed on the full sets. Before the exhaustive comparison the shingles of all
-candidates are counted once: shingles that a document shares with no other candidate
-bound its similarity to any of them, which rules out most pairs of a family of edited
-copies without looking at them. Components are found by star contraction.
+link is confirmed on the full sets. Before large nodes branch, the shingles of all sets that
+may still have a partner outside their component are counted: shingles that a set shares with no other bound its
+similarity to any of them, which rules out most of a family of edited copies without
+looking at a pair. Only what is left branches and is compared. Components are found by star contraction.
 
 Results for odd input: NULL text, text without words and empty text have an empty set
 and link with nothing; a text of fewer words than a shingle is one shingle; rows that
@@ -64,6 +64,8 @@ SLACK = 0.15
 # A partner at the threshold shares so few with chance 4e-10, a more alike one with less.
 PROBES = 32
 LEAST_SHARED = 8
+# The same by all tokens, for sets that share a node with another component: chance 3.4e-10.
+LEAST_SHARED_OF_ALL = 64
 
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _FACTORS = (_SEEDS[:HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -252,7 +254,7 @@ def _compare(threshold: float, what: str):
     """Candidates between the two packs of each row (or inside one, if there is no second).
 
     ``what``: ``chain`` for as few pairs as join the components, ``all`` for all pairs of
-    different components, ``ends`` for the members of such pairs, each as a pair with itself.
+    different components.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,13 +279,7 @@ def _compare(threshold: float, what: str):
                     pairs = _chain(likeness, comps, threshold - SLACK)
                 else:
                     likeness[comps[:, None] == comps[None, :]] = -1.0
-                    near = likeness >= threshold - SLACK
-                    if what == "ends":
-                        ends = ids[near.any(axis=1)].tolist()
-                        first += ends
-                        second += ends
-                        continue
-                    pairs = np.argwhere(np.triu(near, 1)).tolist()
+                    pairs = np.argwhere(np.triu(likeness >= threshold - SLACK, 1)).tolist()
                 for x, y in pairs:
                     if ids[x] != ids[y]:
                         first.append(min(ids[x], ids[y])), second.append(max(ids[x], ids[y]))
@@ -441,16 +437,46 @@ def near_duplicates(
     return rows.withColumn("kept", F.col("component_id").isNull() | (F.col(f"`{id_column}`") == F.col("component_id")))
 
 
+def _alone(rows: DataFrame, probes: int) -> DataFrame:
+    """(kind, alone) of rows (kind, sig): how many of the first tokens no other kind has."""
+    tokens = rows.select("kind", F.posexplode(F.slice("sig", 1, probes)).alias("place", "token"))
+    tokens = tokens.groupBy("place", "token").agg(F.min("kind").alias("kind"), F.max("kind").alias("other"))
+    return tokens.filter("kind = other").groupBy("kind").agg(F.count(F.lit(1)).alias("alone"))
+
+
 def _with_partners(classes: DataFrame, sets: DataFrame) -> DataFrame:
     """The classes that share enough minwise tokens with others, going by token counts alone."""
     kind = F.xxhash64("set_key")
-    tokens = sets.select(kind.alias("kind"), F.posexplode(F.slice("sig", 1, PROBES)).alias("place", "token"))
-    tokens = tokens.groupBy("place", "token").agg(F.min("kind").alias("kind"), F.max("kind").alias("other"))
-    alone = tokens.filter("kind = other").groupBy("kind").agg(F.count(F.lit(1)).alias("alone"))
+    alone = _alone(sets.select(kind.alias("kind"), "sig"), PROBES)
     out = alone.filter(F.col("alone") > PROBES - LEAST_SHARED).select(F.col("kind").alias("o_kind"))
     return classes.join(out.hint("merge"), kind == F.col("o_kind"), "left_anti")
 
 
+def _with_shared_tokens(members: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The ids among ``members`` that share enough of all their minwise tokens with others of them."""
+    members = members.select(F.col("id").alias("kind"))
+    rows = members.join(sigs.hint("merge"), F.col("kind") == F.col("g_id"))
+    out = _alone(rows, HASHES).filter(F.col("alone") > HASHES - LEAST_SHARED_OF_ALL).select(F.col("kind").alias("o_kind"))
+    return members.join(out.hint("merge"), F.col("kind") == F.col("o_kind"), "left_anti").select(F.col("kind").alias("id"))
+
+
+def _bounds(sets: DataFrame, threshold: float) -> DataFrame:
+    """(id, n, shared) of the sets that share enough shingles with the others to be linked to one.
+
+    What is ruled out no longer counts for the rest, so the count is repeated as long as it
+    rules out half of what it looks at.
+    """
+    before = None
+    while True:
+        bounds = _shared_shingles(sets).filter(F.col("shared") >= threshold * F.col("n"))
+        bounds = stage(bounds, "bounds")
+        left = bounds.count()
+        if left == 0 or (before is not None and 2 * left > before):
+            return bounds
+        before = left
+        sets = sets.join(bounds.select(F.col("id").alias("b_id")).hint("merge"), F.col("id") == F.col("b_id"), "left_semi")
+
+
 def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """(id, comp) of every linked head."""
     picks = _coordinates(DEPTH)
@@ -468,8 +494,22 @@ def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float
     sets = _sets_of(known, texts, width)
     components = connected(stage(_confirmed(pairs, sets, threshold), "links"))
 
+    # Sets that share a node with another component, as far as their shingles allow a link.
+    nodes = _nodes(first, components).select(F.col("node").alias("n_node"))
+    members = first.join(nodes, F.col("node") == F.col("n_node"), "left_semi").select("id").distinct()
+    members = stage(_with_shared_tokens(members, sigs), "members")
+    new = members.join(sets.select(F.col("id").alias("s_id")).distinct(), F.col("id") == F.col("s_id"), "left_anti")
+    new = stage(new, "ends")
+    if not new.isEmpty():
+        sets = sets.unionByName(_sets_of(new, texts, width))
+    near = sets.join(members.toDF("m_id").hint("merge"), F.col("id") == F.col("m_id"), "left_semi")
+    bounds = _bounds(near, threshold)
+    short = short.select(F.col("id").alias("k_id"), "short").join(bounds, F.col("k_id") == F.col("id")).drop("k_id")
+    entries = first.join(bounds.select(F.col("id").alias("b_id")), F.col("id") == F.col("b_id"), "left_semi")
+    entries = stage(entries, "nodes")
+
     # Nodes with several components left: small ones are done, large ones branch.
-    entries, leaves = first, []
+    leaves = []
     for level in range(1, DEPTH + 1):
         nodes = stage(_nodes(entries, components), "open")
         last = level == DEPTH
@@ -486,19 +526,6 @@ def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float
     sized = stage(_unlike(sized), "sizes")
     leaf = leaf.select("node", "path", "id")
 
-    # The members of open candidate pairs, and what their shingles allow.
-    packs = stage(_packs(with_component(leaf, components), short, sized, True), "packs")
-    ends = stage(_across(packs, threshold, "ends").select(F.col("a").alias("id")), "ends")
-    new = ends.join(sets.select(F.col("id").alias("s_id")).distinct(), F.col("id") == F.col("s_id"), "left_anti")
-    new = stage(new, "ends")
-    if not new.isEmpty():
-        sets = sets.unionByName(_sets_of(new, texts, width))
-    near = sets.join(ends.toDF("e_id"), F.col("id") == F.col("e_id"), "left_semi")
-    bounds = _shared_shingles(near)
-    bounds = stage(bounds.filter(F.col("shared") >= threshold * F.col("n")), "bounds")
-    short = short.select(F.col("id").alias("k_id"), "short").join(bounds, F.col("k_id") == F.col("id")).drop("k_id")
-    leaf = stage(leaf.join(bounds.select(F.col("id").alias("b_id")), F.col("id") == F.col("b_id"), "left_semi"), "leaves")
-
     # Chain what is left, then compare every open pair once.
     packs = None
     for what in ("chain", "all"):
