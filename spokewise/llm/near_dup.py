@@ -15,7 +15,8 @@ Comparison inside a node estimates similarity from signatures to find candidates
 link is confirmed on the full sets. Before large nodes branch, the shingles of all sets that
 may still have a partner outside their component are counted: shingles that a set shares with no other bound its
 similarity to any of them, which rules out most of a family of edited copies without
-looking at a pair. Only what is left branches and is compared. Components are found by star contraction.
+looking at a pair. Only what is left branches and is compared, a node whose children would
+hold no fewer pairs as it is. Candidates get a second look by longer signatures. Components are found by star contraction.
 
 Results for odd input: NULL text, text without words and empty text have an empty set
 and link with nothing; a text of fewer words than a shingle is one shingle; rows that
@@ -59,6 +60,9 @@ SMALL_NODE = 256
 HASHES = 128
 # Candidates: estimated similarity at least this. Four standard deviations of the estimate below the threshold.
 SLACK = 0.15
+# Second look at candidates, by longer signatures: five standard deviations below the threshold.
+FINE = 1024
+FINE_SLACK = 0.07
 
 # A class is left out if it shares fewer of its first PROBES minwise tokens with any other.
 # A partner at the threshold shares so few with chance 4e-10, a more alike one with less.
@@ -67,9 +71,16 @@ LEAST_SHARED = 8
 # The same by all tokens, for sets that share a node with another component: chance 3.4e-10.
 LEAST_SHARED_OF_ALL = 64
 
-_SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-_FACTORS = (_SEEDS[:HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_SHIFTS = (_SEEDS[HASHES:] >> np.uint64(32)).astype(np.uint32)
+
+
+def _functions(count: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of so many hash functions."""
+    seeds = mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * np.uint64(salt)) >> np.uint64(32)
+    return seeds[:count].astype(np.uint32) | np.uint32(1), seeds[count:].astype(np.uint32)
+
+
+_COARSE = _functions(HASHES, 0xA0761D6478BD642F)
+_FINE = _functions(FINE, 0xE7037ED1A0B428DB)
 
 
 def shingle_sets(piece: TextSlice, width: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -92,12 +103,13 @@ def shingle_sets(piece: TextSlice, width: int = SHINGLE) -> Iterator[np.ndarray]
             yield np.zeros(0, np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray] = _COARSE) -> np.ndarray:
     """The least value of each hash function over a set."""
-    low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+    factors, shifts = functions
+    low = np.full(len(factors), 0xFFFFFFFF, np.uint32)
     values = (shingles >> np.uint64(32)).astype(np.uint32)
     for k in range(0, len(values), 1024):
-        block = values[k : k + 1024, None] * _FACTORS + _SHIFTS
+        block = values[k : k + 1024, None] * factors + shifts
         np.minimum(low, block.min(axis=0), out=low)
     return low
 
@@ -151,14 +163,23 @@ def _coordinates(depth: int) -> list[list[int]]:
 
 
 def _children(entries: DataFrame, level: int, picks: list[int]) -> DataFrame:
-    """From (node, path, id, sig) to the entries (node, path, id) one level down."""
+    """From (node, path, id, sig) to the entries (parent, node, path, id) one level down."""
     table = F.array(*[F.lit(p) for p in picks])
     branches = []
     for b in range(PICKS):
         path = F.col("path") * PICKS + b
         value = F.element_at("sig", F.element_at(table, path + 1) + 1)
         branches.append(F.struct(F.xxhash64("node", F.lit(level), path, value).alias("node"), path.alias("path")))
-    return entries.select("id", F.explode(F.array(*branches)).alias("e")).select("e.node", "e.path", "id")
+    born = entries.select(F.col("node").alias("parent"), "id", F.explode(F.array(*branches)).alias("e"))
+    return born.select("parent", "e.node", "e.path", "id")
+
+
+def _stuck(nodes: DataFrame, born: DataFrame) -> DataFrame:
+    """The nodes whose children together hold no fewer pairs: branching does not part their sets."""
+    counts = born.groupBy("parent", "node").agg(F.count(F.lit(1)).alias("part"))
+    counts = counts.groupBy("parent").agg(F.sum(F.col("part") * F.col("part")).alias("pairs"))
+    rows = nodes.join(counts, F.col("node") == F.col("parent")).filter(F.col("pairs") >= F.col("size") * F.col("size"))
+    return rows.select(F.col("node").alias("n_node"), "size", "least", "most", "members")
 
 
 def _nodes(entries: DataFrame, components: DataFrame | None) -> DataFrame:
@@ -206,15 +227,25 @@ def _packs(entries: DataFrame, short: DataFrame, sized: DataFrame, by_component:
         count = F.ceil(F.coalesce("part", "size") / SMALL_NODE)
     rows = rows.select("node", "id", "comp", own.alias("own"), F.pmod(F.xxhash64("node", "id"), count).alias("slice"))
     rows = rows.join(short.withColumnRenamed("id", "h_id"), F.col("id") == F.col("h_id"))
-    members = F.collect_list(F.struct("id", "comp", "short", "n", "shared")).alias("members")
+    members = F.collect_list(F.struct("id", "comp", "short", "n", "shared", "fine")).alias("members")
     return rows.groupBy("node", "own", "slice").agg(members)
 
 
 def _unpack(column: pa.Array, k: int) -> list[np.ndarray]:
-    """Ids, components, set sizes, shared shingles and signatures of one pack."""
+    """Ids, components, set sizes, shared shingles, signatures and long signatures (rows without: none) of one pack."""
     rows = column[k].values
     short = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint8).reshape(len(rows), HASHES)
-    return [rows.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 3, 4)] + [short]
+    known = rows.field(5).is_valid().to_numpy(zero_copy_only=False)
+    fine = np.frombuffer(b"".join(rows.field(5).drop_null().to_pylist()), np.uint8).reshape(-1, FINE)
+    at = np.where(known, np.cumsum(known) - 1, -1)
+    return [rows.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 3, 4)] + [short, at, fine]
+
+
+def _two_packs(first: list[np.ndarray], second: list[np.ndarray]) -> list[np.ndarray]:
+    """Both packs as one."""
+    at = second[5]
+    second = [*second[:5], np.where(at < 0, -1, at + len(first[6])), second[6]]
+    return [np.concatenate(both) for both in zip(first, second)]
 
 
 def _likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -225,6 +256,17 @@ def _likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / HASHES - 1 / 256) * (256 / 255)
 
 
+def _look_again(likeness: np.ndarray, comps: np.ndarray, at: np.ndarray, fine: np.ndarray, threshold: float) -> None:
+    """Strike the candidates of different components that long signatures rule out."""
+    near = np.triu(likeness >= threshold - SLACK, 1) & (comps[:, None] != comps[None, :])
+    x, y = np.nonzero(near & (at[:, None] >= 0) & (at[None, :] >= 0))
+    for k in range(0, len(x), 4096):
+        i, j = x[k : k + 4096], y[k : k + 4096]
+        same = (fine[at[i]] == fine[at[j]]).mean(axis=1)
+        far = (same - 1 / 256) * (256 / 255) < threshold - FINE_SLACK
+        likeness[i[far], j[far]] = likeness[j[far], i[far]] = -1.0
+
+
 def _possible(sizes: np.ndarray, shared: np.ndarray, threshold: float) -> np.ndarray:
     """Whether sets that share so many shingles with any other can be similar enough."""
     common = np.minimum(shared[:, None], shared[None, :])
@@ -265,8 +307,8 @@ def _compare(threshold: float, what: str):
                 cross = 0
                 if batch.column(1)[k].is_valid:
                     cross = len(own[0])
-                    own = [np.concatenate(both) for both in zip(own, _unpack(batch.column(1), k))]
-                ids, comps, sizes, shared, short = own
+                    own = _two_packs(own, _unpack(batch.column(1), k))
+                ids, comps, sizes, shared, short, at, fine = own
                 if len(ids) < 2 or comps.min() == comps.max():
                     continue
                 possible = _possible(sizes, shared, threshold)
@@ -275,6 +317,7 @@ def _compare(threshold: float, what: str):
                 if not (possible & (comps[:, None] != comps[None, :])).any():
                     continue
                 likeness = np.where(possible, _likeness(short, short), -1.0)
+                _look_again(likeness, comps, at, fine, threshold)
                 if what == "chain":
                     pairs = _chain(likeness, comps, threshold - SLACK)
                 else:
@@ -368,6 +411,19 @@ def _shared_shingles(sets: DataFrame) -> DataFrame:
     return sizes.join(alone, F.col("id") == F.col("a_id"), "left").select("id", "n", shared.alias("shared"))
 
 
+def _long_signatures(sets: DataFrame) -> DataFrame:
+    """(id, fine); ids of several sets get none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [signature(np.frombuffer(x.as_buffer(), np.uint64), _FINE) for x in batch.column(1)]
+            found = [(low & 0xFF).astype(np.uint8).tobytes() for low in found]
+            yield batch_of(batch.column(0), pa.array(found, pa.binary()))
+
+    each = map_batches(sets, run, "id long, fine binary")
+    return each.groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.max("fine")).alias("fine"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) that are as similar as asked for."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
@@ -481,11 +537,12 @@ def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float
     """(id, comp) of every linked head."""
     picks = _coordinates(DEPTH)
     # Until shingles are counted, all of a set may be shared.
-    short = heads.select("id", "short", "n", F.col("n").alias("shared"))
+    none = F.lit(None).cast("binary").alias("fine")
+    short = heads.select("id", "short", "n", F.col("n").alias("shared"), none)
     sigs = heads.select(F.col("id").alias("g_id"), "sig")
     roots = heads.select(F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("path"), "id", "sig")
     roots = roots.withColumn("node", F.col("path").cast("long"))
-    first = stage(_children(roots, 0, picks[0]), "nodes")
+    first = stage(_children(roots, 0, picks[0]).drop("parent"), "nodes")
 
     # Round one: chain the members of every first node, pack by pack.
     sized = stage(_unlike(_nodes(first, None)), "sizes")
@@ -504,7 +561,10 @@ def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float
         sets = sets.unionByName(_sets_of(new, texts, width))
     near = sets.join(members.toDF("m_id").hint("merge"), F.col("id") == F.col("m_id"), "left_semi")
     bounds = _bounds(near, threshold)
+    left = near.join(bounds.select(F.col("id").alias("b_id")).hint("merge"), F.col("id") == F.col("b_id"), "left_semi")
+    fine = stage(_long_signatures(left), "fine").withColumnRenamed("id", "f_id")
     short = short.select(F.col("id").alias("k_id"), "short").join(bounds, F.col("k_id") == F.col("id")).drop("k_id")
+    short = stage(short.join(fine, F.col("id") == F.col("f_id")).drop("f_id"), "short")
     entries = first.join(bounds.select(F.col("id").alias("b_id")), F.col("id") == F.col("b_id"), "left_semi")
     entries = stage(entries, "nodes")
 
@@ -516,11 +576,15 @@ def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float
         ends = nodes if last else nodes.filter(F.col("size") <= SMALL_NODE)
         ends = ends.select(F.col("node").alias("n_node"), "size", "least", "most", "members")
         leaves.append(entries.join(ends, F.col("node") == F.col("n_node")).drop("n_node"))
-        more = nodes.filter(F.col("size") > SMALL_NODE).select(F.col("node").alias("n_node"))
+        more = nodes.filter(F.col("size") > SMALL_NODE)
         if last or more.isEmpty():
             break
-        parents = entries.join(more, F.col("node") == F.col("n_node"), "left_semi").join(sigs, F.col("id") == F.col("g_id"))
-        entries = stage(_children(parents, level, picks[level]), "nodes")
+        wanted = more.select(F.col("node").alias("n_node"))
+        parents = entries.join(wanted, F.col("node") == F.col("n_node"), "left_semi").join(sigs, F.col("id") == F.col("g_id"))
+        born = stage(_children(parents, level, picks[level]), "nodes")
+        stuck = stage(_stuck(more, born), "stuck")
+        leaves.append(entries.join(stuck, F.col("node") == F.col("n_node")).drop("n_node"))
+        entries = born.join(stuck.select("n_node"), F.col("parent") == F.col("n_node"), "left_anti").drop("parent")
     leaf = stage(reduce(DataFrame.unionByName, leaves), "leaves")
     sized = leaf.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "least", "most", "members")])
     sized = stage(_unlike(sized), "sizes")
