@@ -63,6 +63,8 @@ SLACK = 0.15
 # Second look at candidates, by longer signatures: five standard deviations below the threshold.
 FINE = 1024
 FINE_SLACK = 0.07
+# Sets of at most so many shingles travel with their signatures and are intersected on the spot.
+CARRIED = 4096
 
 # A class is left out if it shares fewer of its first PROBES minwise tokens with any other.
 # A partner at the threshold shares so few with chance 4e-10, a more alike one with less.
@@ -227,24 +229,27 @@ def _packs(entries: DataFrame, short: DataFrame, sized: DataFrame, by_component:
         count = F.ceil(F.coalesce("part", "size") / SMALL_NODE)
     rows = rows.select("node", "id", "comp", own.alias("own"), F.pmod(F.xxhash64("node", "id"), count).alias("slice"))
     rows = rows.join(short.withColumnRenamed("id", "h_id"), F.col("id") == F.col("h_id"))
-    members = F.collect_list(F.struct("id", "comp", "short", "n", "shared", "fine")).alias("members")
+    members = F.collect_list(F.struct("id", "comp", "short", "n", "shared", "fine", "carried")).alias("members")
     return rows.groupBy("node", "own", "slice").agg(members)
 
 
 def _unpack(column: pa.Array, k: int) -> list[np.ndarray]:
-    """Ids, components, set sizes, shared shingles, signatures and long signatures (rows without: none) of one pack."""
+    """Ids, components, set sizes, shared shingles, signatures, long signatures and carried sets (None: not carried) of one pack."""
     rows = column[k].values
     short = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint8).reshape(len(rows), HASHES)
     known = rows.field(5).is_valid().to_numpy(zero_copy_only=False)
     fine = np.frombuffer(b"".join(rows.field(5).drop_null().to_pylist()), np.uint8).reshape(-1, FINE)
     at = np.where(known, np.cumsum(known) - 1, -1)
-    return [rows.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 3, 4)] + [short, at, fine]
+    sets = np.empty(len(rows), object)
+    for k, x in enumerate(rows.field(6)):
+        sets[k] = np.frombuffer(x.as_buffer(), np.uint64) if x.is_valid else None
+    return [rows.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 3, 4)] + [short, at, fine, sets]
 
 
 def _two_packs(first: list[np.ndarray], second: list[np.ndarray]) -> list[np.ndarray]:
     """Both packs as one."""
     at = second[5]
-    second = [*second[:5], np.where(at < 0, -1, at + len(first[6])), second[6]]
+    second = [*second[:5], np.where(at < 0, -1, at + len(first[6])), *second[6:]]
     return [np.concatenate(both) for both in zip(first, second)]
 
 
@@ -292,12 +297,23 @@ def _chain(likeness: np.ndarray, comps: np.ndarray, least: float) -> list[tuple[
     return out
 
 
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether the intersection of two sorted sets is so many percent of their union."""
+    if min(len(x), len(y)) * 100 < max(len(x), len(y)) * percent:
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _compare(threshold: float, what: str):
     """Candidates between the two packs of each row (or inside one, if there is no second).
 
     ``what``: ``chain`` for as few pairs as join the components, ``all`` for all pairs of
-    different components.
+    different components. Pairs of carried sets are given only if they are similar enough.
     """
+    percent = round(threshold * 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +324,7 @@ def _compare(threshold: float, what: str):
                 if batch.column(1)[k].is_valid:
                     cross = len(own[0])
                     own = _two_packs(own, _unpack(batch.column(1), k))
-                ids, comps, sizes, shared, short, at, fine = own
+                ids, comps, sizes, shared, short, at, fine, sets = own
                 if len(ids) < 2 or comps.min() == comps.max():
                     continue
                 possible = _possible(sizes, shared, threshold)
@@ -323,6 +339,7 @@ def _compare(threshold: float, what: str):
                 else:
                     likeness[comps[:, None] == comps[None, :]] = -1.0
                     pairs = np.argwhere(np.triu(likeness >= threshold - SLACK, 1)).tolist()
+                pairs = [(x, y) for x, y in pairs if sets[x] is None or sets[y] is None or alike(sets[x], sets[y], percent)]
                 for x, y in pairs:
                     if ids[x] != ids[y]:
                         first.append(min(ids[x], ids[y])), second.append(max(ids[x], ids[y]))
@@ -373,14 +390,8 @@ def _confirm(threshold: float):
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for k in range(batch.num_rows):
-                x = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint64)
-                y = np.frombuffer(batch.column(3)[k].as_buffer(), np.uint64)
-                if min(len(x), len(y)) * 100 < max(len(x), len(y)) * percent:
-                    continue
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep[k] = 100 * common >= percent * (len(both) - common)
+                x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in (2, 3))
+                keep[k] = alike(x, y, percent)
             yield batch_of(*batch.columns[:2]).filter(pa.array(keep))
 
     return run
@@ -412,16 +423,18 @@ def _shared_shingles(sets: DataFrame) -> DataFrame:
 
 
 def _long_signatures(sets: DataFrame) -> DataFrame:
-    """(id, fine); ids of several sets get none."""
+    """(id, fine, carried): long signature and, unless it is large, the set; ids of several sets get none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [signature(np.frombuffer(x.as_buffer(), np.uint64), _FINE) for x in batch.column(1)]
             found = [(low & 0xFF).astype(np.uint8).tobytes() for low in found]
-            yield batch_of(batch.column(0), pa.array(found, pa.binary()))
+            small = [x.as_py() if len(x.as_buffer()) <= 8 * CARRIED else None for x in batch.column(1)]
+            yield batch_of(batch.column(0), pa.array(found, pa.binary()), pa.array(small, pa.binary()))
 
-    each = map_batches(sets, run, "id long, fine binary")
-    return each.groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.max("fine")).alias("fine"))
+    each = map_batches(sets, run, "id long, fine binary, carried binary")
+    single = F.count(F.lit(1)) == 1
+    return each.groupBy("id").agg(*[F.when(single, F.max(c)).alias(c) for c in ("fine", "carried")])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -537,8 +550,8 @@ def _components(heads: DataFrame, texts: DataFrame, width: int, threshold: float
     """(id, comp) of every linked head."""
     picks = _coordinates(DEPTH)
     # Until shingles are counted, all of a set may be shared.
-    none = F.lit(None).cast("binary").alias("fine")
-    short = heads.select("id", "short", "n", F.col("n").alias("shared"), none)
+    none = [F.lit(None).cast("binary").alias(c) for c in ("fine", "carried")]
+    short = heads.select("id", "short", "n", F.col("n").alias("shared"), *none)
     sigs = heads.select(F.col("id").alias("g_id"), "sig")
     roots = heads.select(F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("path"), "id", "sig")
     roots = roots.withColumn("node", F.col("path").cast("long"))
