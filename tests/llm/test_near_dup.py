@@ -137,3 +137,20 @@ def test_shingle_hashes_stand_for_word_runs(width):
     sets = [set(s.tolist()) for p in pieces for s in N.shingle_sets(p, width)]
     assert sets[1] <= sets[0] and not sets[3]
     assert len(sets[0]) == 7 - width + 1
+
+
+def test_sets_too_large_to_carry_are_confirmed_all_the_same(documents, prose, monkeypatch):
+    rows = []
+    for family in range(2):
+        words = prose(120, 60 + family)
+        rows += [(100 * family + k, " ".join(edited(words, k % 9, 7 * k + family))) for k in range(20)]
+    monkeypatch.setattr(N, "CARRIED", 0)
+    check(documents(rows), rows)
+
+
+def test_alike_is_exact_at_the_threshold():
+    whole = np.arange(8, dtype=np.uint64)
+    assert N.alike(whole, whole[:6], 75)
+    assert not N.alike(whole, whole[:5], 75)
+    assert N.alike(whole[:7], whole[1:], 75)
+    assert not N.alike(whole[:6], whole[1:7], 75)
