@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from spokewise.plans.sales import SalesTables, export_sales
 from spokewise.registered.registry import query, rounded, with_sales
 from spokewise.session import shared_folder
+from spokewise.sources import cells
 from spokewise.sources import files as f
 
 
@@ -51,6 +52,59 @@ def csv_inferred_types(t: SalesTables) -> DataFrame:
     return f.read_csv(t.spark, path)
 
 
+@query(
+    "csv_guessed_types",
+    "S1 S2",
+    "SELECT CAST(o_orderkey AS INTEGER) AS order_id, o_orderkey * 10000000000 AS wide_id, "
+    "'0' || o_orderkey AS code, o_totalprice AS price, CAST(o_orderdate AS DATE) AS day, "
+    "CASE WHEN o_orderkey % 5 > 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) "
+    "+ to_seconds(o_orderkey % 86400) END AS placed, "
+    "CAST(o_orderkey % 86400 AS INTEGER) AS second_of_day, o_orderkey % 2 = 0 AS is_even, "
+    "CAST(NULL AS BOOLEAN) AS nothing, "
+    "CASE WHEN o_orderkey = 1 THEN 'first' ELSE CAST(o_orderkey AS VARCHAR) END AS mixed FROM orders",
+)
+def csv_guessed_types(t: SalesTables) -> DataFrame:
+    path = _folder(t, "orders-guess-csv")
+    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    clock = F.date_format(F.timestamp_seconds(key % 86400), "HH:mm:ss")
+    placed = F.concat_ws(" ", day.cast("string"), clock)
+    orders = t.table("orders").select(
+        key.alias("order_id"),
+        (key * F.lit(10_000_000_000)).alias("wide_id"),
+        F.concat(F.lit("0"), key.cast("string")).alias("code"),
+        F.col("o_totalprice").alias("price"),
+        day.cast("string").alias("day"),
+        F.when(key % 5 > 0, placed).alias("placed"),
+        clock.alias("clock"),
+        F.when(key % 2 == 0, "T").otherwise("F").alias("is_even"),
+        F.lit(None).cast("string").alias("nothing"),
+        F.when(key == 1, "first").otherwise(key.cast("string")).alias("mixed"),
+    )
+    f.write_csv(orders, path)
+    guessed = cells.read_guessed(t.spark, path)
+    part = lambda unit: F.extract(F.lit(unit), "clock")
+    second = part("HOUR") * 3600 + part("MINUTE") * 60 + part("SECOND")
+    return guessed.withColumn("second_of_day", second.cast("int")).drop("clock")
+
+
+@query(
+    "csv_cell_problems",
+    "S3",
+    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, 'p_size' AS column_name, 'int' AS expected, 'n/a' AS found "
+    "FROM part WHERE p_size > 25 "
+    "UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'p_retailprice', 'double', 'dear ' || p_partkey "
+    "FROM part WHERE p_partkey % 3 = 0",
+)
+def csv_cell_problems(t: SalesTables) -> DataFrame:
+    path = _folder(t, "cells-csv")
+    size = F.when(F.col("p_size") > 25, "n/a").otherwise(F.col("p_size").cast("string"))
+    dear = F.concat(F.lit("dear "), F.col("p_partkey").cast("string"))
+    price = F.when(F.col("p_partkey") % 3 == 0, dear).otherwise(F.col("p_retailprice").cast("string"))
+    f.write_csv(t.table("part").select("p_partkey", size.alias("p_size"), price.alias("p_retailprice")), path)
+    schema = "p_partkey bigint, p_size int, p_retailprice double"
+    return cells.cell_problems(t.spark, path, schema, keep=["p_partkey"]).drop("file", "row")
+
+
 @query(
     "snapshot_round_trip",
     "P4 S4 S11 S9",
