@@ -58,12 +58,13 @@ parts AS (SELECT *, regexp_matches(p, '^[A-Za-z][A-Za-z0-9+.-]*://') AS has_sche
 base AS (SELECT page_id AS n, url, CASE WHEN has_scheme THEN host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END ELSE p END AS k,
     1600000000 + page_id * 41 % 5000011 AS t, '"' || md5(html) || '"' AS tag, '"' || md5(html || '+') || '"' AS other, length(html) AS size FROM parts),
 responses AS (SELECT n * 4 AS id, k, t AS ts, tag AS etag, t - 60 AS modified, size FROM base
-  UNION ALL SELECT n * 4 + 3, k, t + 864000, other, t + 864000 - 60, size FROM base WHERE n % 3 = 0),
-revisits AS (SELECT n * 4 + 1 AS id, url, k, t + (n % 9 - 2) * 86400 AS ts, CASE WHEN n % 5 = 0 THEN other ELSE 'W/' || tag END AS etag,
+  UNION SELECT n * 4 + 3, k, t + 864000, other, t + 864000 - 60, size FROM base WHERE n % 3 = 0),
+visits AS (SELECT n * 4 + 1 AS id, url, k, t + (n % 9 - 2) * 86400 AS ts, CASE WHEN n % 5 = 0 THEN other ELSE 'W/' || tag END AS etag,
     CAST(NULL AS BIGINT) AS modified FROM base
   UNION ALL SELECT n * 4 + 2, url, k, t + 2592000, NULL, CASE WHEN n % 3 = 0 THEN t + 864000 ELSE t END - 60 FROM base),
+revisits AS (SELECT *, row_number() OVER () AS visit FROM visits),
 joined AS (SELECT v.*, r.id AS rid, r.etag AS r_etag, r.modified AS r_modified, r.size AS r_size,
-    row_number() OVER (PARTITION BY v.id ORDER BY r.ts DESC, r.id DESC) AS place
+    row_number() OVER (PARTITION BY v.visit ORDER BY r.ts DESC, r.id DESC) AS place
   FROM revisits v LEFT JOIN responses r ON v.k = r.k AND r.ts < v.ts),
 judged AS (SELECT *, CASE WHEN rid IS NULL THEN 'orphan' WHEN etag IS NOT NULL
     THEN CASE WHEN replace(etag, 'W/', '') = r_etag THEN 'resolved' ELSE 'changed' END

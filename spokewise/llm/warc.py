@@ -12,9 +12,11 @@ through the windows; headers are joined to the result by record id.
 
 Results for odd input: a record without URL or time, and a revisit without an earlier
 response, is ``orphan``; equal times are not earlier; of responses of the same second
-the one with the largest id counts; NULL headers are empty ones; repeated revisits are
-resolved each (their ids should differ: equal ids pair up with each other's headers);
-an empty table gives an empty result; further columns do no harm.
+the one with the largest id counts; of responses with equal id, URL and time the one with
+the least headers as text counts, so copies of a response are one; each repeated revisit
+gives a row of its own, also where revisits of one id differ; NULL headers are empty ones;
+an empty table gives an empty result; further columns do no harm; values of any length are
+carried whole.
 """
 
 from __future__ import annotations
@@ -51,7 +53,10 @@ def canonical_url(url: Column) -> Column:
 
 
 def latest_earlier(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame:
-    """(revisit_id, response_id) from (id, url_key, captured, is_response); captured in whole seconds."""
+    """The response before each revisit, from (id, url_key, captured, is_response); captured in whole seconds.
+
+    Returns revisit_id, response_id, response_at, and url_key and revisit_at of the revisit.
+    """
     rows = records.filter(F.col("url_key").isNotNull() & F.col("captured").isNotNull())
     rows = rows.withColumn("block", F.floor(F.col("captured") / block_seconds))
     response = F.when(F.col("is_response"), F.struct("captured", "id"))
@@ -61,7 +66,14 @@ def latest_earlier(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> Da
     inside = Window.partitionBy("url_key", "block").orderBy("captured").rangeBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("near", F.max(response).over(inside)).filter(~F.col("is_response"))
     rows = rows.join(blocks, (F.col("url_key") == F.col("b_key")) & (F.col("block") == F.col("b_block")))
-    return rows.select(F.col("id").alias("revisit_id"), F.coalesce("near", "carried")["id"].alias("response_id"))
+    found = F.coalesce("near", "carried")
+    return rows.select(
+        F.col("id").alias("revisit_id"),
+        found["id"].alias("response_id"),
+        found["captured"].alias("response_at"),
+        "url_key",
+        F.col("captured").alias("revisit_at"),
+    )
 
 
 def _opaque(etag: Column) -> Column:
@@ -88,11 +100,21 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
         F.coalesce("headers", empty).alias("headers"),
     )
     rows = rows.filter("is_response or is_revisit")
-    pairs = latest_earlier(rows.select("id", "url_key", "captured", "is_response"), block_seconds).distinct()
+    # Id, URL and time name a record: with one row for each, a join adds no rows.
+    pairs = latest_earlier(rows.select("id", "url_key", "captured", "is_response"), block_seconds)
+    pairs = pairs.groupBy(F.col("revisit_id"), F.col("url_key").alias("p_key"), "revisit_at").agg(
+        F.max(F.struct("response_at", "response_id")).alias("p")
+    )
     revisits = rows.filter("is_revisit").drop("is_response", "is_revisit")
-    responses = rows.filter("is_response").select(F.col("id").alias("r_id"), F.col("headers").alias("r_headers"))
-    found = revisits.join(pairs, F.col("id") == F.col("revisit_id"), "left")
-    found = found.join(responses, F.col("response_id") == F.col("r_id"), "left")
+    in_order = F.array_sort(F.map_entries("headers")).cast("string")
+    responses = rows.filter("is_response").groupBy(
+        F.col("id").alias("r_id"), F.col("url_key").alias("r_key"), F.col("captured").alias("r_at")
+    )
+    responses = responses.agg(F.min_by("headers", in_order).alias("r_headers"))
+    same_visit = (F.col("id") == F.col("revisit_id")) & (F.col("url_key") == F.col("p_key")) & (F.col("captured") == F.col("revisit_at"))
+    found = revisits.join(pairs, same_visit, "left").withColumn("response_id", F.col("p.response_id"))
+    same_response = (F.col("response_id") == F.col("r_id")) & (F.col("url_key") == F.col("r_key")) & (F.col("p.response_at") == F.col("r_at"))
+    found = found.join(responses, same_response, "left")
     etag, modified = F.col("headers")["etag"], F.col("headers")["last-modified"]
     agrees = F.when(etag.isNotNull(), F.coalesce(_opaque(etag) == _opaque(F.col("r_headers")["etag"]), F.lit(False))).when(
         modified.isNotNull(), F.coalesce(modified == F.col("r_headers")["last-modified"], F.lit(False))

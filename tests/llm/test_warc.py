@@ -59,3 +59,42 @@ def test_validators_and_headers(spark):
     assert by_id[4].response_id == 1 and by_id[3].headers is None and by_id[6].response_id is None
     assert sum(r.record_id == 5 for r in found) == 2
     assert W.resolve_revisits(spark.createDataFrame(rows, SCHEMA).limit(0)).count() == 0
+
+
+def test_copies_of_records_do_not_multiply(spark):
+    tags = [{"etag": '"1"', "server": "b"}, {"etag": '"1"', "server": "a"}]
+    rows = [(1, "http://a/x", 10, "response", 200, tags[k % 2], 0) for k in range(40)]
+    rows += [(1, "http://a/y", 10, "response", 200, {"etag": '"y"'}, 0)]
+    rows += [(2, "http://a/x", 20, "revisit", 304, {"etag": '"1"'}, 0)] * 30
+    rows += [(2, "http://a/y", 30, "revisit", 304, {"etag": '"y"'}, 0), (2, "http://a/z", 30, "revisit", 304, None, 0)]
+    found = W.resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == 32
+    assert {(r.url, r.status, r.headers and r.headers.get("server")) for r in found} == {
+        ("http://a/x", "resolved", "a"), ("http://a/y", "resolved", None), ("http://a/z", "orphan", None)
+    }
+
+
+def test_very_long_headers_are_carried_whole(spark):
+    rows = [
+        (1, "http://a/" + "p" * 200_000, 10, "response", 200, {"etag": '"1"', "server": "s" * 1_000_000}, 0),
+        (2, "http://a/" + "p" * 200_000, 20, "revisit", 304, {"etag": '"1"'}, 0),
+    ]
+    (row,) = W.resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert row.status == "resolved" and len(row.headers["server"]) == 1_000_000
+
+
+def test_repeated_pages_give_their_revisits_in_both_engines(spark, tmp_path):
+    import duckdb
+
+    from spokewise.llm import queries
+
+    pages = [(3, "http://a.example/x", "<p>x</p>")] * 4 + [(4, "http://a.example/y", "<p>y</p>"), (5, None, None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    found = queries.QUERIES["op3_warc_revisits"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    cursor = con.execute(queries.SQL["op3_warc_revisits"])
+    names = [d[0] for d in cursor.description]
+    wanted = sorted((tuple(dict(zip(names, r))[n] for n in found[0].asDict()) for r in cursor.fetchall()), key=str)
+    assert sorted((tuple(r) for r in found), key=str) == wanted
+    assert sum(r.record_id in (13, 14) for r in found) == 8
