@@ -121,6 +121,24 @@ def snapshot_round_trip(t: SalesTables) -> DataFrame:
     return rounded(back.select(*columns, "order_year"), total_price=2)
 
 
+@query(
+    "refreshed_snapshot",
+    "S11 S4 P4",
+    with_sales(
+        "SELECT order_date, order_id, order_line, CASE WHEN year(order_date) = 1997 THEN 2 * quantity ELSE quantity END "
+        "AS quantity, CAST(year(order_date) AS INTEGER) AS order_year FROM sales WHERE year(order_date) >= 1995"
+    ),
+)
+def refreshed_snapshot(t: SalesTables) -> DataFrame:
+    path = _folder(t, "sales-by-year")
+    columns = ["order_date", "order_id", "order_line", "quantity"]
+    sales = t.sales(*columns).withColumn("order_year", F.year("order_date"))
+    f.write_table(sales, path, ["order_year"])
+    changed = sales.filter(F.year("order_date") == 1997).withColumn("quantity", 2 * F.col("quantity"))
+    f.refresh_table(changed, path, ["order_year"])
+    return f.read_table(t.spark, path, sales.schema).filter(F.col("order_year") >= 1995)
+
+
 @query(
     "catalog_table",
     "S8",

@@ -74,6 +74,19 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace those partitions of a table for which ``df`` has rows; files of all others stay as they are.
+
+    ``df`` holds the whole new content of these partitions. It is written aside and moved in when all
+    tasks are done, so a write that fails leaves the table as it was. A partition without rows in
+    ``df`` is kept, not emptied.
+    """
+    if not partition_by:
+        raise ValueError("name the partition columns of the table")
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def list_datasets(spark: SparkSession, folder: str) -> list[str]:
     """Names of the tables in a folder, without their file extension."""
     jvm = spark.sparkContext._jvm

@@ -67,6 +67,31 @@ def test_snapshot_keeps_types_and_lists(spark, table, tmp_path):
     assert f.list_datasets(spark, folder) == ["parted", "plain"]
 
 
+def test_refresh_replaces_only_the_given_parts(spark, tmp_path):
+    path = str(tmp_path / "years")
+    old = spark.range(60).selectExpr("id", "id * 2 AS v", "int(2010 + id % 3) AS year")
+    f.write_table(old, path, ["year"])
+    files = lambda year: {(x.name, x.stat().st_mtime_ns) for x in (tmp_path / "years" / f"year={year}").glob("*.parquet")}
+    before = {y: files(y) for y in (2010, 2011, 2012)}
+    new = spark.createDataFrame([(7, -1, 2011), (8, -2, 2013)], "id long, v long, year int")
+    f.refresh_table(new, path, ["year"])
+    assert files(2010) == before[2010] and files(2012) == before[2012] and not files(2011) & before[2011]
+    back = f.read_table(spark, path, old.schema)
+    assert tuples(back) == tuples(old.filter("year != 2011").unionAll(new))
+    plan = back.filter("year = 2011")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan.split("PartitionFilters")[1]
+    # A write that fails half-way changes nothing.
+    broken = old.withColumn("v", F.when(F.col("id") < 50, F.col("v")).otherwise(F.raise_error(F.lit("broken")).cast("long")))
+    with pytest.raises(Exception, match="broken"):
+        f.refresh_table(broken, path, ["year"])
+    assert tuples(f.read_table(spark, path, old.schema)) == tuples(old.filter("year != 2011").unionAll(new))
+    # Nothing new, and no partition columns.
+    f.refresh_table(new.limit(0), path, ["year"])
+    assert f.read_table(spark, path, old.schema).count() == 42
+    with pytest.raises(ValueError, match="partition"):
+        f.refresh_table(new, path, [])
+
+
 def test_stage_uses_the_shared_folder(spark, table):
     staged = stage(table, "check")
     assert shared_folder(spark) in staged.inputFiles()[0] and tuples(staged) == tuples(table)
