@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from spokewise.operators import columns as c
 from spokewise.operators.aggregates import missing_share
+from spokewise.operators.profiles import full_profile
 from spokewise.plans.sales import SalesTables, clean_order_lines
 from spokewise.plans.summaries import shop_revenue
 from spokewise.registered.registry import query, rounded, with_sales
@@ -264,3 +265,40 @@ def missing_by_column(t: SalesTables) -> DataFrame:
         "c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("c_acctbal")
     )
     return rounded(missing_share(blanked), c_acctbal=6)
+
+
+_PROFILED = {
+    "quantity": "CAST(quantity AS DOUBLE)",
+    "order_id": "CAST(order_id AS DOUBLE)",
+    "total_price": "total_price",
+    "order_date": "CAST(CAST(order_date AS DATE) - DATE '1970-01-01' AS DOUBLE)",
+    "model": "CAST(NULL AS DOUBLE)",
+    "city": "CAST(NULL AS DOUBLE)",
+}
+_CELLS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS v, {x} AS x FROM sales""" for c, x in _PROFILED.items()
+)
+_BIN = "CASE WHEN hi > lo THEN least(CAST(floor((x - lo) / (hi - lo) * 10) AS INTEGER), 9) ELSE 0 END"
+
+
+@query(
+    "full_profile_of_sales",
+    "C25",
+    with_sales(
+        'SELECT f.*, histogram FROM f LEFT JOIN h USING ("column")',
+        f"u AS ({_CELLS})",
+        """f AS (SELECT "column", count(*) AS rows, count(*) - count(v) AS missing, count(DISTINCT v) AS "distinct",
+  min(x) AS p0, round(quantile_cont(x, 0.25), 4) AS p25, round(quantile_cont(x, 0.5), 4) AS p50,
+  round(quantile_cont(x, 0.75), 4) AS p75, max(x) AS p100 FROM u GROUP BY 1)""",
+        f"""b AS (SELECT "column", {_BIN} AS bin, count(*) AS c
+  FROM u JOIN (SELECT "column", min(x) AS lo, max(x) AS hi FROM u GROUP BY 1) USING ("column")
+  WHERE x IS NOT NULL GROUP BY 1, 2)""",
+        """h AS (SELECT name AS "column", string_agg(CAST(coalesce(c, 0) AS VARCHAR), ' ' ORDER BY k) AS histogram
+  FROM (SELECT name, unnest(range(10)) AS k FROM (SELECT DISTINCT "column" AS name FROM b))
+  LEFT JOIN b ON b."column" = name AND bin = k GROUP BY 1)""",
+    ),
+)
+def full_profile_of_sales(t: SalesTables) -> DataFrame:
+    sales = t.sales(*_PROFILED).withColumn("order_date", F.to_date("order_date"))
+    found = full_profile(sales, list(_PROFILED)).withColumn("histogram", F.array_join("histogram", " "))
+    return rounded(found, p25=4, p50=4, p75=4)
