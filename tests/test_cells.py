@@ -89,3 +89,32 @@ def test_rows_are_counted_through_blocks_and_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert blocks > 5
     assert {(r.file.rsplit("/", 1)[1], r.row, r.k) for r in found} == wanted and len(found) == len(wanted)
+
+
+EDGES = [
+    *["2147483647", "2147483648", "-2147483648", "-2147483649", "+2147483647", "9223372036854775807", "9223372036854775808"],
+    *["-9223372036854775808", "-9223372036854775809", "+9223372036854775807", "1" * 18, "1" * 19, "9" * 20, "1" * 24, "1" * 400, "0", "-0", "00", "+"],
+    *["1e400", "4.", ".5", ".", "NaN", "Inf", "-Inf", "inf", "T", "true", "TRUE", "t", "2011-01-07", "2011/1/8", "2011-02-30", "0000-01-01", "2011-1"],
+    *["2011-01-07 10:11", "2011-01-07 25:11", "2011-02-30 10:11", "2011-01-07T10:11:12Z", "2011-01-07T10:11:12+99:00", "9:05", "24:00", "23:59:59.1234567"],
+    *["12\n", "T\n", "1.5\n", "9:05\n", "12\u2028", "9223372036854775807\n", "-9223372036854775808\n", "a:b", "", " ", "words", "1 ", None],
+]
+
+
+def test_a_cell_fits_what_it_can_be_read_as(spark):
+    """The bits of a cell are those of all kinds it can be turned into."""
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(EDGES)], "k int, v string")
+    cell = c.F.col("v")
+    each = [c.F.when(c.to_kind(cell, kind).isNotNull(), c._BIT[kind]).otherwise(0) for kind in c.KINDS]
+    wanted = c.F.when(cell.isNotNull(), c.F.lit(0) + sum(each))
+    rows = df.select("v", c._fits(cell).alias("found"), wanted.alias("wanted")).collect()
+    assert [(r.v, r.found) for r in rows] == [(r.v, r.wanted) for r in rows]
+
+
+def test_the_code_that_judges_does_not_grow_with_the_columns(spark, monkeypatch):
+    """One copy of the rules for all columns: with one copy each, Java no longer compiles the generated method."""
+    asked = []
+    real = c._fits
+    monkeypatch.setattr(c, "_fits", lambda cell: asked.append(cell) or real(cell))
+    df = spark.createDataFrame([("1", "x", None, "9:05")] * 3, "a string, `b.c` string, d string, e string")
+    assert c.guess_types(df) == {"a": "int", "b.c": "string", "d": "boolean", "e": c.TIME_TYPE}
+    assert len(asked) == 1
