@@ -7,6 +7,9 @@ carries these totals forward over the partitions, of which there are as many as
 partitions. Each partition also gets the last rows of those before it, as many as its
 figures look back. With both, every partition works out its own rows.
 
+Trailing sums are put together from sums of 10, 100 and so on rows, each of ten earlier ones, so a
+row costs a few additions for any length, and only values of its own frame are ever added.
+
 The figures are those of ``windows`` and have the same results: NULL from the first
 missing value on, or where a frame has one, and NULL for a zero base. Rows that are equal
 in the order follow each other by a hash of the row.
@@ -23,6 +26,8 @@ from spokewise.operators.ordering import Order, column_of, key_columns
 from spokewise.operators.positions import PART_SHIFT, SLOT, PlacedRows, settled
 
 _AT, _POS, _OWN, _IN = "__at", "__pos", "__own", "__in"
+# Rows of one level of trailing sums that make one of the next.
+_STEP = 10
 
 
 @dataclass(frozen=True)
@@ -33,6 +38,8 @@ class Figure:
     result: Callable[[Along], Column]
     back: int = 0
     sums: bool = False
+    firsts: bool = False
+    trailing: int = 0
 
 
 def running_sum(column: Column) -> Figure:
@@ -62,7 +69,7 @@ def running_count(column: Column) -> Figure:
 
 
 def first_value(column: Column) -> Figure:
-    return Figure(column, lambda s: s.first())
+    return Figure(column, lambda s: s.first(), firsts=True)
 
 
 def previous(column: Column, steps: int = 1, fill_self: bool = False) -> Figure:
@@ -75,22 +82,45 @@ def previous(column: Column, steps: int = 1, fill_self: bool = False) -> Figure:
     return Figure(column, result, back=steps)
 
 
-def _trailing(column: Column, length: int, fill: float | None, of: Callable[[Column, object], Column]) -> Figure:
+def _trailing(column: Column, length: int, fill: float | None, of: Callable[[Column], Column]) -> Figure:
+    if length < 1:
+        raise ValueError("a trailing figure needs a length of one row or more")
+
     def result(s: Along) -> Column:
-        frame = s.window.rowsBetween(1 - length, Window.currentRow)
-        value = F.when(~F.max(s.value.isNull()).over(frame), of(s.value, frame))
+        value = of(s.trailing_sum(length).cast("double"))
         return F.when(s.place() >= length, value).otherwise(F.lit(fill).cast("double"))
 
-    return Figure(column, result, back=length - 1)
+    return Figure(column, result, back=length - 1, trailing=length)
 
 
 def trailing_mean(column: Column, length: int, fill: float | None = 0.0) -> Figure:
     """Mean of the last ``length`` rows; ``fill`` where there are fewer."""
-    return _trailing(column, length, fill, lambda x, frame: F.avg(x).over(frame))
+    return _trailing(column, length, fill, lambda total: total / length)
 
 
 def trailing_sum(column: Column, length: int, fill: float | None = 0.0) -> Figure:
-    return _trailing(column, length, fill, lambda x, frame: F.sum(x).over(frame).cast("double"))
+    return _trailing(column, length, fill, lambda total: total)
+
+
+def _with_trailing_sums(rows: DataFrame, number: int, length: int, window) -> DataFrame:
+    """Add the sums of the last 1, 10, 100, ... rows up to ``length``; NULL where a value is missing."""
+    kind = rows.schema[f"__x{number}"].dataType
+    if isinstance(kind, T.DecimalType):
+        kind = T.DecimalType(min(kind.precision + 10, 38), kind.scale)
+    else:
+        kind = T.LongType() if isinstance(kind, T.IntegralType) else T.DoubleType()
+    rows, span = rows.withColumn(_last(number, 1), F.col(f"__x{number}").cast(kind)), 1
+    while span * _STEP <= length:
+        smaller, total = F.col(_last(number, span)), F.col(_last(number, span))
+        for k in range(1, _STEP):
+            total = (total + F.lag(smaller, k * span).over(window)).cast(kind)
+        span *= _STEP
+        rows = rows.withColumn(_last(number, span), total)
+    return rows
+
+
+def _last(number: int, span: int) -> str:
+    return f"__x{number}_last{span}"
 
 
 class Along:
@@ -120,6 +150,19 @@ class Along:
         carried = F.when(self._is_head, F.col(f"{_IN}.before.{self._name(what)}"))
         return self._local(what, self._so_far) + F.coalesce(carried, F.lit(0))
 
+    def trailing_sum(self, length: int) -> Column:
+        """Sum of the last ``length`` rows, of which there must be that many; NULL if a value is missing."""
+        span, done, total = 1, 0, None
+        while span * _STEP <= length:
+            span *= _STEP
+        while done < length:
+            while span > length - done:
+                span //= _STEP
+            part = F.col(_last(self.number, span))
+            part = F.lag(part, done).over(self.window) if done else part
+            total, done = part if total is None else total + part, done + span
+        return total
+
     def sum_so_far(self) -> Column:
         return self._with_carry("sum")
 
@@ -183,18 +226,22 @@ def _carried(parts: list[int], runs: dict[int, list[Row]], facts: Sequence[str])
 def along(df: DataFrame, order_by: Order, within: Sequence[str] = (), **figures: Figure) -> DataFrame:
     """Add figures along the rows in the given order, or along each group of ``within``."""
     spark = df.sparkSession
-    numbered = list(enumerate(figures.values()))
+    # Figures of one column share its number.
+    columns = {id(f.column): f.column for f in figures.values()}
+    numbers = {key: i for i, key in enumerate(columns)}
+    numbered = [(numbers[id(f.column)], f) for f in figures.values()]
+    sums, firsts = ({i for i, f in numbered if wanted(f)} for wanted in (lambda f: f.sums, lambda f: f.firsts))
     rows, order = settled(df, order_by)
-    rows = rows.withColumns({f"__x{i}": f.column for i, f in numbered})
+    rows = rows.withColumns({f"__x{numbers[key]}": column for key, column in columns.items()})
     placed = PlacedRows(rows, [*within, *order])
     part = F.shiftright(SLOT, PART_SHIFT).alias(_AT)
 
     # One row per partition and group; kept are the first and last group of a partition.
     facts = [F.count(F.lit(1)).alias("count")]
-    for i, f in numbered:
-        facts += [F.count_if(F.col(f"__x{i}").isNull()).alias(f"missing{i}"), F.min_by(F.struct(f"__x{i}"), SLOT)[f"__x{i}"].alias(f"first{i}")]
-        facts += [F.sum(f"__x{i}").alias(f"sum{i}")] if f.sums else []
-    names = ["count", *[n for i, f in numbered for n in (f"missing{i}", f"first{i}", *([f"sum{i}"] if f.sums else []))]]
+    facts += [F.count_if(F.col(f"__x{i}").isNull()).alias(f"missing{i}") for i in numbers.values()]
+    facts += [F.min_by(f"__x{i}", SLOT).alias(f"first{i}") for i in sorted(firsts)]
+    facts += [F.sum(f"__x{i}").alias(f"sum{i}") for i in sorted(sums)]
+    names = ["count", *[f"missing{i}" for i in numbers.values()], *[f"first{i}" for i in sorted(firsts)], *[f"sum{i}" for i in sorted(sums)]]
     runs = placed.rows.groupBy(part, *[column_of(k) for k in within]).agg(*facts, F.min(SLOT).alias("from"), F.max(SLOT).alias("to"))
     edge = runs.groupBy(_AT).agg(F.min("from").alias("e_from"), F.max("to").alias("e_to")).withColumnRenamed(_AT, "e_at")
     runs = runs.join(edge, F.col(_AT) == F.col("e_at")).filter((F.col("from") == F.col("e_from")) | (F.col("to") == F.col("e_to")))
@@ -231,9 +278,14 @@ def along(df: DataFrame, order_by: Order, within: Sequence[str] = (), **figures:
         near = F.filter("later", lambda t: t["base"] - F.col(_POS) <= back)
         own = F.concat(own, F.transform(near, lambda t: F.struct(t["at"].alias("at"), F.lit(False).alias("own"))))
     rows = rows.withColumn("__to", F.explode(own)).withColumns({_AT: F.col("__to.at"), _OWN: F.col("__to.own")})
-    rows = rows.drop("p", "base", "later", "__to").join(known.select("p", _IN), F.col(_AT) == F.col("p"))
+    rows = rows.drop("p", "base", "later", "__to")
     window = Window.partitionBy(_AT, *[column_of(k) for k in within]).orderBy(_POS)
-    results = {name: f.result(Along(i, window, f.sums)) for (i, f), name in zip(numbered, figures)}
+    longest = {i: max(f.trailing for j, f in numbered if j == i) for i in numbers.values()}
+    for i, length in longest.items():
+        if length:
+            rows = _with_trailing_sums(rows, i, length, window)
+    rows = rows.join(known.select("p", _IN), F.col(_AT) == F.col("p"))
+    results = {name: f.result(Along(i, window, i in sums)) for (i, f), name in zip(numbered, figures)}
     kept = [column_of(n) for n in df.columns if n not in figures]
     rows = rows.select(*kept, _OWN, *[c.alias(n) for n, c in results.items()])
     return rows.filter(_OWN).drop(_OWN)

@@ -1,6 +1,8 @@
 """Figures along a long series: partition by partition, with totals and last rows carried over."""
 
+import decimal
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +103,47 @@ def test_names_with_dots_and_replaced_columns(spark):
 def test_queries_over_all_lines_stay_spread(spark, name):
     df = REGISTERED[name].build(SalesTables(spark, SMALL))
     assert "SinglePartition" not in plan(df)
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_trailing_figures_of_any_length_and_value(spark, parts):
+    """Lengths on both sides of each level; a huge or undefined value leaves no trace once it is out of the frame."""
+    rng = random.Random(4)
+    odd = {40: 1e300, 41: -1e300, 150: float("inf"), 260: float("nan"), 300: None}
+    rows = [(k, k % 2, odd.get(k, rng.randrange(1000) / 4), rng.randrange(1 << 30), decimal.Decimal(k) / 10) for k in range(420)]
+    df = spark.createDataFrame(rows, "k int, g int, x double, n int, m decimal(9,1)")
+    lengths = (1, 2, 9, 10, 11, 99, 100, 101, 137)
+    x, n, m = F.col("x"), F.col("n"), F.col("m")
+    figures = {f"x{k}": s.trailing_mean(x, k) for k in lengths} | {f"n{k}": s.trailing_sum(n, k, None) for k in lengths}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for within in ([], ["g"]):
+            got = s.along(df, ["k"], within, m11=s.trailing_sum(m, 11), m10=s.trailing_mean(m, 10), **figures).collect()
+            assert len(got) == len(rows)
+            for r in got:
+                series = [v for v in rows if not within or v[1] == r.g]
+                series = series[: next(i for i, v in enumerate(series) if v[0] == r.k) + 1]
+                for k in lengths:
+                    frame = series[-k:]
+                    short, values = len(frame) < k, [v[2] for v in frame]
+                    mean = 0.0 if short else None if None in values else sum(values) / k
+                    assert r[f"x{k}"] == mean or r[f"x{k}"] == pytest.approx(mean, rel=1e-9, abs=1e285 if 1e300 in values else 0, nan_ok=True)
+                    assert r[f"n{k}"] == (None if short else float(sum(v[3] for v in frame)))
+                if len(series) >= 11:
+                    assert r.m11 == float(sum(v[4] for v in series[-11:])) and r.m10 == pytest.approx(float(sum(v[4] for v in series[-10:])) / 10)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_a_trailing_figure_costs_no_more_than_its_levels(spark):
+    """A sliding frame adds up all its rows again for each row: a thousand times the work."""
+    x = F.col("x")
+    found = s.along(build(spark), ["d", "k"], short=s.trailing_mean(x, 30), long=s.trailing_mean(x, 1000))
+    text = plan(found)
+    frames = re.findall(r"specifiedwindowframe\(RowFrame, (-\d+), currentrow", text)
+    assert not frames and 20 < text.count("lag(") and text.count("Sort [") <= 2
+    with pytest.raises(ValueError):
+        s.trailing_sum(x, 0)
