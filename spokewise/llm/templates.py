@@ -40,22 +40,23 @@ def token_count(masked: Column) -> Column:
 
 
 def masked_line(line: Column) -> Column:
-    """The line with a field for each token that has a digit; NULL for one too short to drop."""
-    line = F.trim(line)
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
-    return F.when(token_count(masked) >= LEAST_TOKENS, masked)
+    """The trimmed line with a field for each token that has a digit."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
 
 
 def _unfolded(docs: DataFrame, text_column: str, *carried: Column) -> DataFrame:
-    """One row per line that may be dropped: what is carried along, and ``masked``."""
-    lines = docs.select(*carried, F.explode(F.split(F.col(f"`{text_column}`"), "\n")).alias("line"))
+    """One row per line that may be dropped: what is carried along, its ``place`` in the text, and ``masked``."""
+    lines = docs.select(*carried, F.posexplode(F.split(F.col(f"`{text_column}`"), "\n")).alias("place", "line"))
     names = [c for c in lines.columns if c != "line"]
-    return lines.select(*names, masked_line(F.col("line")).alias("masked")).filter("masked is not null")
+    lines = lines.select(*names, F.trim("line").alias("line"))
+    # A field is one token like the token it stands for, so short lines go before any is masked.
+    lines = lines.filter(token_count(F.col("line")) >= LEAST_TOKENS)
+    return lines.select(*names, masked_line(F.col("line")).alias("masked"))
 
 
-def _name_of(masked: Column) -> Column:
-    """128 bits that stand for a masked line, so that its text need not travel."""
-    return F.struct(F.xxhash64(masked).alias("a"), F.xxhash64(F.lit(1), masked).alias("b"))
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text, so that it need not travel."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
 
 def leaf_of(masked: Column) -> Column:
@@ -63,16 +64,19 @@ def leaf_of(masked: Column) -> Column:
     return F.xxhash64(token_count(masked), F.substring_index(masked, " ", LEADING))
 
 
-def recurring_lines(docs: DataFrame, text_column: str = "text", least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """(masked, template, documents): the masked lines whose template recurs."""
+def _lines_and_recurring(docs: DataFrame, text_column: str, least_documents: int) -> tuple[DataFrame, DataFrame]:
+    """The lines of frequent leaves (row, text_key, leaf, masked, places), and those that recur (masked, template, documents)."""
     # Lines bound documents from above, which is enough to leave out rare leaves.
     leaves = _unfolded(docs, text_column).select(leaf_of(F.col("masked")).alias("o_leaf"))
     often = leaves.groupBy("o_leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_documents)
     often = stage(often.select("o_leaf"), "leaves")
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    lines = _unfolded(numbered, text_column, F.col("__row").alias("row")).withColumn("leaf", leaf_of(F.col("masked")))
+    # The key is taken before the text is unfolded, else it would be once per line.
+    text = F.col(f"`{text_column}`")
+    numbered = docs.select(text, F.monotonically_increasing_id().alias("row"), text_key(text).alias("text_key"))
+    lines = _unfolded(numbered, text_column, F.col("row"), F.col("text_key")).withColumn("leaf", leaf_of(F.col("masked")))
+    lines = lines.join(often, F.col("leaf") == F.col("o_leaf"), "left_semi")
     # The row number is fixed by being written; it only serves to count documents.
-    lines = stage(lines.join(often, F.col("leaf") == F.col("o_leaf"), "left_semi").distinct(), "lines")
+    lines = stage(lines.groupBy("row", "text_key", "leaf", "masked").agg(F.collect_list("place").alias("places")), "lines")
     weighed = stage(lines.groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("weight")), "weighed")
     sizes = weighed.groupBy("leaf").agg(F.sum("weight").alias("size"))
     places = weighed.select("leaf", "weight", F.posexplode(F.split("masked", " ")).alias("place", "token"))
@@ -94,7 +98,12 @@ def recurring_lines(docs: DataFrame, text_column: str = "text", least_documents:
     counts = named.select("template", "row").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("documents"))
     counts = counts.filter(F.col("documents") >= least_documents).withColumnRenamed("template", "t_template")
     found = parsed.join(counts, F.col("template") == F.col("t_template"))
-    return found.select("masked", "template", "documents")
+    return lines, found.select("masked", "template", "documents")
+
+
+def recurring_lines(docs: DataFrame, text_column: str = "text", least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """(masked, template, documents): the masked lines whose template recurs."""
+    return _lines_and_recurring(docs, text_column, least_documents)[1]
 
 
 def drop_recurring_lines(
@@ -103,22 +112,20 @@ def drop_recurring_lines(
     """All columns of ``docs``, the text without recurring lines, and ``n_lines`` and ``n_dropped``."""
     names, text_at = docs.columns, place_of(docs, text_column)
     docs = by_place(docs)
-    recurring = recurring_lines(docs, text_at, least_documents).select(_name_of(F.col("masked")).alias("r_name"))
-    recurring = stage(recurring, "recurring")
-    text = F.col(text_at)
+    lines, recurring = _lines_and_recurring(docs, text_at, least_documents)
+    recurring = stage(recurring.select(F.col("masked").alias("r_masked")), "recurring")
+    hits = lines.join(recurring, F.col("masked") == F.col("r_masked"), "left_semi")
     # What goes depends on the text alone, so equal texts share one row of hits.
-    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
-    hits = _unfolded(docs, text_at, key.alias("text_key")).select("text_key", _name_of(F.col("masked")).alias("name"))
-    hits = hits.join(recurring, F.col("name") == F.col("r_name"), "left_semi")
-    hits = hits.groupBy("text_key").agg(F.collect_set("name").alias("gone"))
-    rows = docs.join(hits, key == F.col("text_key"), "left")
-    stays = lambda line: ~F.coalesce(F.array_contains("gone", _name_of(masked_line(line))), F.lit(False))
-    kept = F.filter(F.split(text, "\n"), stays)
-    # Unpacked from one struct, so that the lines are filtered once.
-    result = F.when(F.col("gone").isNotNull(), F.struct(F.array_join(kept, "\n").alias("text"), F.size(kept).alias("kept")))
-    lines = F.when(text.isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
-    rows = rows.withColumns({"__lines": lines.cast("long"), "__result": result})
-    new_text = F.when(F.col("gone").isNull(), text).otherwise(F.col("__result.text"))
-    gone = F.when(F.col("gone").isNull(), 0).otherwise(F.col("__lines") - F.col("__result.kept")).cast("long")
+    hits = hits.select(F.col("text_key").alias("__key"), F.explode("places").alias("place"))
+    hits = hits.groupBy("__key").agg(F.collect_set("place").alias("__gone"))
+    text = F.col(text_at)
+    rows = docs.join(hits, text_key(text) == F.col("__key"), "left")
+    count = F.when(text.isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    rows = rows.withColumns({"__lines": count, "__parts": F.when(F.col("__gone").isNotNull(), F.split(text, "\n"))})
+    # Line by line by its place: both steps take time in proportion to the lines.
+    stays = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("__gone"))
+    rows = rows.withColumn("__kept", F.transform(stays, lambda k: F.get(F.col("__parts"), k)))
+    new_text = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join("__kept", "\n"))
+    gone = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long")
     columns = [new_text if n == text_at else F.col(n) for n in docs.columns]
-    return rows.select(*columns, F.col("__lines"), gone).toDF(*names, "n_lines", "n_dropped")
+    return rows.select(*columns, F.col("__lines").cast("long"), gone).toDF(*names, "n_lines", "n_dropped")

@@ -46,3 +46,23 @@ def test_very_long_lines(documents):
     long = "word " * 100_000 + "end"
     found = run(documents([long, long, long, "other " * 5]), least_documents=3)
     assert [found[k].n_dropped for k in range(4)] == [1, 1, 1, 0]
+
+
+def test_lines_are_unfolded_twice_and_masked_once_each(documents, monkeypatch):
+    """The places of lines to drop come from the lines already found; neither texts nor masks are worked out again."""
+    passes, masks = [], []
+    unfolded, masked = L._unfolded, L.masked_line
+    monkeypatch.setattr(L, "_unfolded", lambda *a: passes.append(a) or unfolded(*a))
+    monkeypatch.setattr(L, "masked_line", lambda line: masks.append(line) or masked(line))
+    rows = [f"Posted by us on day {k}\n{'abc'[k]} line of its own\nx\n Posted by us on day {k}{k} \n" for k in range(3)]
+    docs = documents(rows + rows[:1])
+    found = L.drop_recurring_lines(docs, least_documents=4)
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in found.collect()}
+    assert len(passes) == len(masks) == 2
+    for k in range(4):
+        lines = (rows + rows[:1])[k].split("\n")
+        assert got[k] == ("\n".join([lines[1], "x", ""]), 5, 2)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "transform(__parts" not in text and "transform(array_except(" in text and "[0-9]" not in text
+    kept = L.recurring_lines(docs, least_documents=4)
+    assert kept.columns == ["masked", "template", "documents"] and {(r.masked, r.documents) for r in kept.collect()} == {("Posted by us on day <*>", 4)}
