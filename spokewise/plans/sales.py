@@ -31,6 +31,11 @@ SALES_COLUMNS = (
     "state",
 )
 
+# Bytes of the written order lines in a piece of them. Each piece reads all lines and joins
+# whole dimensions, so there are at most so many; from there on pieces grow with the table.
+PIECE_BYTES = 64_000_000
+MOST_PIECES = 8
+
 
 def clean_order_lines(raw: DataFrame) -> DataFrame:
     """Clean the names of a raw order-line table, whose first column has no name."""
@@ -89,15 +94,16 @@ def sales_model(
     return pick(sales, list(columns))
 
 
-def export_sales(sales: DataFrame, folder: str) -> None:
-    """Write the sales table as Parquet by order year, and as CSV.
+def export_sales(sales: DataFrame, folder: str, pieces: int = 1) -> None:
+    """Write the sales table as Parquet by order year, and as CSV compressed by gzip.
 
-    The CSV is written from the Parquet table, so the joins run once.
+    The CSV is written from the Parquet table, so the joins run once, or once for
+    each of several ``pieces`` of the orders (see ``write_table``).
     """
     by_year = sales.withColumn("order_year", F.year("order_date"))
-    write_table(by_year, f"{folder}/parquet", ["order_year"])
+    write_table(by_year, f"{folder}/parquet", ["order_year"], pieces, "order_id")
     written = read_table(sales.sparkSession, f"{folder}/parquet", by_year.schema)
-    write_csv(pick(written, sales.columns), f"{folder}/csv")
+    write_csv(pick(written, sales.columns), f"{folder}/csv", compression="gzip")
 
 
 # Declared, so that no file has to be opened to plan a query.
@@ -143,6 +149,11 @@ class SalesTables:
             F.col("l_extendedprice").alias("list_amount"),
         )
 
+    def pieces(self) -> int:
+        """In how many pieces to join the order lines where the disk must not hold all shuffles at once."""
+        size = self.table("lineitem")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return min(MOST_PIECES, int(str(size)) // PIECE_BYTES + 1)
+
     def order_lines(self) -> DataFrame:
         header = self.table("orders").select(
             F.col("o_orderkey"),

@@ -47,7 +47,7 @@ def sales_by_year_line(t: SalesTables) -> DataFrame:
 def sales_export(t: SalesTables) -> DataFrame:
     folder = f.join_path(shared_folder(t.spark), f"export-{uuid.uuid4().hex}")
     sales = rounded(t.sales(), price=2, total_price=2)
-    export_sales(sales, folder)
+    export_sales(sales, folder, t.pieces())
     back = {
         "parquet": f.read_table(t.spark, f.join_path(folder, "parquet")).select(*SALES_COLUMNS),
         "csv": f.read_csv(t.spark, f.join_path(folder, "csv"), sales.schema),

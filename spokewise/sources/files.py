@@ -5,13 +5,16 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from spokewise.operators.columns import quoted
+from spokewise.session import freed_shuffles
 
 # Column that holds the raw text of a row with a cell of the wrong type.
 BAD_ROW = "_bad_row"
+# A compressed file is read by one task, so none gets longer than this.
+COMPRESSED_ROWS = 1_000_000
 
 
 def join_path(folder: str, *parts: str) -> str:
@@ -53,8 +56,12 @@ def problems(df: DataFrame) -> DataFrame:
     return df.filter(F.col(BAD_ROW).isNotNull() & (F.length(F.concat_ws("", *others)) >= 0))
 
 
-def write_csv(df: DataFrame, path: str, missing: str = "NA") -> None:
-    df.write.mode("overwrite").options(header=True, nullValue=missing).csv(path)
+def write_csv(df: DataFrame, path: str, missing: str = "NA", compression: str | None = None) -> None:
+    """Write CSV files with a header, plain or with a ``compression`` that :func:`read_csv` tells by their names."""
+    writer = df.write.mode("overwrite").options(header=True, nullValue=missing)
+    if compression is not None:
+        writer = writer.options(compression=compression, maxRecordsPerFile=COMPRESSED_ROWS)
+    writer.csv(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -63,15 +70,32 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), pieces: int = 1, piece_key: str = "") -> None:
     """Write a typed Parquet table.
 
     Rows are brought together by partition value, and adaptive execution
     splits a large value over several files.
+
+    With several ``pieces`` the rows are worked out and written one piece after
+    the other, dealt by a hash of ``piece_key``, so that disk holds the shuffle
+    files of one piece at a time. ``df`` must give the same rows each time it is
+    read. The marker of a finished write comes with the last piece.
     """
+    with freed_shuffles(df.sparkSession):
+        if pieces == 1:
+            return _writer(df, partition_by).mode("overwrite").parquet(path)
+        # Not the hash by which rows are shuffled: a piece would fill only some of the shuffle partitions.
+        piece = F.pmod(F.xxhash64(quoted(piece_key)), F.lit(pieces))
+        for k in range(pieces):
+            writer = _writer(df.filter(piece == k), partition_by).mode("append" if k else "overwrite")
+            writer = writer.option("partitionOverwriteMode", "static")
+            writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", k == pieces - 1).parquet(path)
+
+
+def _writer(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.write.partitionBy(*partition_by)
 
 
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
