@@ -82,7 +82,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), piec
     read. The marker of a finished write comes with the last piece.
     """
     with freed_shuffles(df.sparkSession):
-        if pieces == 1:
+        if pieces < 2:
             return _writer(df, partition_by).mode("overwrite").parquet(path)
         # Not the hash by which rows are shuffled: a piece would fill only some of the shuffle partitions.
         piece = F.pmod(F.xxhash64(quoted(piece_key)), F.lit(pieces))
